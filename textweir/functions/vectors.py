@@ -27,3 +27,8 @@ def unit(vector: str) -> Column:
         lambda x, n: F.when(n > 0, x / n).otherwise(x),
     )
     return scaled
+
+
+def summed(vector: Column, dims: int) -> Column:
+    """Aggregate: element-wise sum of ``dims`` numbers, one plain sum per element."""
+    return F.array(*[F.sum(F.get(vector, F.lit(i))) for i in range(dims)])

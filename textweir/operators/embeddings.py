@@ -41,9 +41,9 @@ def fit_word_vectors(
 
     Vocabulary, windowed co-occurrence, PPMI, truncated SVD, rows scaled to length one.
     """
-    counts = terms.term_counts(docs)
     n_docs = terms.count_documents(docs) if isinstance(min_df, float) else None
-    vocab = stage(terms.fit_vocabulary(counts, n_docs, min_df, max_features), "vocab")
+    stats = terms.term_statistics(docs)
+    vocab = stage(terms.fit_vocabulary(stats, n_docs, min_df, max_features), "vocab")
     size = vocab.count()
     sequence = cooccurrence.known_sequence(docs, vocab, size)
     cells = stage(cooccurrence.cooccurrence(sequence, window), "cooccurrence")
@@ -63,10 +63,10 @@ def fit_term_document_vectors(
     seed: int = 42,
 ) -> WordVectors:
     """Term vectors from the transposed unigram TF-IDF matrix; rows are not rescaled."""
-    counts = terms.term_counts(docs)
-    vocab = stage(terms.fit_vocabulary(counts, n_docs, min_df, max_features), "vocab")
+    stats = terms.term_statistics(docs)
+    vocab = stage(terms.fit_vocabulary(stats, n_docs, min_df, max_features), "vocab")
     size = vocab.count()
-    cells = weights.tfidf(counts, vocab, n_docs, size).select(
+    cells = weights.tfidf(docs, vocab, (1, 1), n_docs, size).select(
         F.col("term_id").alias("row_id"), F.col("doc_id").alias("col_id"),
         F.col("weight").alias("x"),
     )

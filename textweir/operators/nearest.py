@@ -6,13 +6,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textweir.functions.vectors import norm
+from textweir.functions.vectors import norm, summed
 from textweir.session import broadcast_if_bounded
 
 # Query vectors are shipped to the tasks in chunks of at most this many bytes.
@@ -91,23 +89,22 @@ def mean_embedding(
 ) -> DataFrame:
     """``(doc_id, embedding)``: mean over the known words, repeated words counting again.
 
-    Words are split at blanks; a document without known words gets the zero vector. Words
-    are counted per document before the vectors are attached.
+    Words are split at blanks; a document without known words gets the zero vector.
     """
     words = docs.select("doc_id", F.explode(F.split(clean, " ")).alias("term"))
-    counts = words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    table = vectors.select("term", array_to_vector("embedding").alias("v"))
-    means = (
-        counts.join(broadcast_if_bounded(table, max_rows), "term")
-        .groupBy("doc_id")
-        .agg(Summarizer.mean(F.col("v"), F.col("tf").cast("double")).alias("m"))
-        .select("doc_id", vector_to_array("m").alias("m"))
+    known = words.join(broadcast_if_bounded(vectors.select("term", "embedding"), max_rows), "term")
+    totals = known.groupBy("doc_id").agg(
+        summed(F.col("embedding"), dims).alias("total"), F.count(F.lit(1)).alias("words")
     )
+    mean = F.zip_with(
+        "total", F.array_repeat("words", dims), lambda total, n: total / n
+    )
+    means = totals.select("doc_id", mean.alias("mean"))
     zeros = F.array_repeat(F.lit(0.0), dims)
     return (
         docs.select("doc_id")
         .join(means, "doc_id", "left")
-        .select("doc_id", F.coalesce("m", zeros).alias("embedding"))
+        .select("doc_id", F.coalesce("mean", zeros).alias("embedding"))
     )
 
 

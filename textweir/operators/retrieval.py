@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textweir.functions.text import Normalizer, label_name, snippet
 from textweir.operators import terms, weights
-from textweir.session import broadcast_if_bounded, broadcast_if_measured, stage
+from textweir.session import broadcast_if_measured, stage
 
 MAX_TOP_K = 50
 NGRAMS = (1, 2)
@@ -22,16 +22,17 @@ REQUEST_COLUMNS = ("query_id", "query", "sentiment", "top_k")
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """``vocab`` (term, term_id, df, cf), ``postings`` (term, doc_id, label, weight) and
-    ``documents`` (doc_id, label, text), the text cut to the length hits show."""
+    """``vocab`` (term, term_id, df, cf), ``postings`` (term_id, doc_id, label, weight) and
+    ``documents`` (doc_id, label, text), the text cut to the length hits show.
+
+    ``vocab`` is stored, and carries a broadcast hint if its measured size allows."""
 
     normalizer: Normalizer
     vocab: DataFrame
     postings: DataFrame
     documents: DataFrame
-    n_docs: Column | int
-    avgdl: Column | float
-    vocab_rows: int | None
+    n_docs: int
+    avgdl: float
     k1: float = 1.5
     b: float = 0.75
 
@@ -42,31 +43,33 @@ def fit_index(
     max_features: int | None = 150_000,
     min_df: int | float = 2,
 ) -> SearchIndex:
-    """An index over ``(doc_id, text, label)`` as lazy DataFrames."""
-    clean = terms.by_document(normalizer.apply(documents), "label")
-    counts = terms.term_counts(clean, NGRAMS)
-    n_docs = terms.count_documents(documents)
-    vocab = terms.fit_vocabulary(counts, n_docs, min_df, max_features)
-    avgdl = weights.mean_length(vocab, n_docs)
+    """An index over ``(doc_id, text, label)``; its postings are a lazy DataFrame.
+
+    Clean text and vocabulary are stored once. The postings are computed from them, so the
+    vocabulary is known, and its size measured, before it is joined.
+    """
+    clean = stage(normalizer.apply(documents).select("doc_id", "clean", "label"), "clean")
+    n_docs = clean.count()
+    stats = terms.term_statistics(clean, NGRAMS)
+    vocab = stage(terms.fit_vocabulary(stats, n_docs, min_df, max_features), "vocab")
+    total = vocab.agg(F.coalesce(F.sum("cf"), F.lit(0))).first()[0]
     index = SearchIndex(
         normalizer,
-        vocab,
+        broadcast_if_measured(vocab, ["term"]),
         vocab,
         documents.select("doc_id", "label", snippet(F.col("text")).alias("text")),
         n_docs,
-        avgdl,
-        max_features,
+        float(total) / n_docs if n_docs else 0.0,
     )
-    return replace(index, postings=_postings(clean, index))
+    spread = terms.by_document(clean, "label")
+    postings = _weighted(spread, index, ("label",))
+    return replace(index, postings=postings.select("term_id", "doc_id", "label", "weight"))
 
 
-def _postings(clean: DataFrame, index: SearchIndex) -> DataFrame:
-    counts = terms.term_counts(clean, NGRAMS, carry=("label",))
-    weighted = weights.bm25(
-        counts, index.vocab, index.n_docs, index.avgdl, index.vocab_rows, index.k1, index.b,
-        carry=("label",),
+def _weighted(docs: DataFrame, index: SearchIndex, carry: tuple[str, ...]) -> DataFrame:
+    return weights.bm25(
+        docs, index.vocab, NGRAMS, index.n_docs, index.avgdl, None, index.k1, index.b, carry
     )
-    return weighted.select("term", "doc_id", "label", "weight")
 
 
 def build_index(
@@ -78,40 +81,20 @@ def build_index(
 ) -> str:
     """Fit and store an index.
 
-    Clean text is staged once; the vocabulary is stored before the postings need it, so
-    its measured size decides whether it is broadcast. Postings are range-partitioned by
-    (term, doc_id): a frequent term spreads over many files, and each file covers a narrow
-    range of terms, which parquet statistics can skip.
+    Postings are range-partitioned by (term_id, doc_id): a frequent term spreads over many
+    files, and each file covers a narrow range of terms, which parquet statistics can skip.
     """
     spark = documents.sparkSession
-    clean = stage(normalizer.apply(documents).select("doc_id", "clean", "label"), "clean")
-    spread = terms.by_document(clean, "label")
-    n_docs = clean.count()
-    vocab = terms.fit_vocabulary(terms.term_counts(spread, NGRAMS), n_docs, min_df, max_features)
-    vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    vocab = spark.read.schema(vocab.schema).parquet(f"{path}/vocab")
-    total = vocab.agg(F.coalesce(F.sum("cf"), F.lit(0))).first()[0]
-    avgdl = float(total) / n_docs if n_docs else 0.0
-
-    index = SearchIndex(
-        normalizer,
-        broadcast_if_measured(vocab, ["term"]),
-        vocab,
-        documents.select("doc_id", "label", snippet(F.col("text")).alias("text")),
-        n_docs,
-        avgdl,
-        None,
-    )
-    postings = _postings(spread, index)
-    postings.repartitionByRange("term", "doc_id").sortWithinPartitions(
-        "term", "doc_id"
+    index = fit_index(documents, normalizer, max_features, min_df)
+    index.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
+    index.postings.repartitionByRange("term_id", "doc_id").sortWithinPartitions(
+        "term_id", "doc_id"
     ).write.mode("overwrite").parquet(f"{path}/postings")
     index.documents.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.mode(
         "overwrite"
     ).parquet(f"{path}/documents")
-
     stats = "n_docs bigint, avgdl double, k1 double, b double"
-    spark.createDataFrame([(n_docs, avgdl, index.k1, index.b)], stats).write.mode(
+    spark.createDataFrame([(index.n_docs, index.avgdl, index.k1, index.b)], stats).write.mode(
         "overwrite"
     ).parquet(f"{path}/corpus_stats")
     save_normalizer(spark, normalizer, f"{path}/config")
@@ -155,7 +138,6 @@ def load_index(source: SparkSession | SearchIndex, path: str | None = None) -> S
         source.read.parquet(f"{path}/documents"),
         stats["n_docs"],
         stats["avgdl"],
-        None,
         stats["k1"],
         stats["b"],
     )
@@ -179,16 +161,11 @@ def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def query_weights(index: SearchIndex, requests: DataFrame) -> DataFrame:
-    """``(query_id, sentiment, top_k, term, query_weight)`` by the index statistics."""
+    """``(query_id, sentiment, top_k, term_id, query_weight)`` by the index statistics."""
     asked = requests.select(F.col("query_id").alias("doc_id"), "query", "sentiment", "top_k")
     clean = index.normalizer.apply(asked, "query")
-    counts = terms.term_counts(clean, NGRAMS, carry=("sentiment", "top_k"))
-    weighted = weights.bm25(
-        counts, index.vocab, index.n_docs, index.avgdl, index.vocab_rows, index.k1, index.b,
-        carry=("sentiment", "top_k"),
-    )
-    return weighted.select(
-        F.col("doc_id").alias("query_id"), "sentiment", "top_k", "term",
+    return _weighted(clean, index, ("sentiment", "top_k")).select(
+        F.col("doc_id").alias("query_id"), "sentiment", "top_k", "term_id",
         F.col("weight").alias("query_weight"),
     )
 
@@ -202,7 +179,7 @@ def rank_hits(postings: DataFrame, query_terms: DataFrame) -> DataFrame:
     """
     wanted = F.when(F.col("sentiment") == "positive", 1).when(F.col("sentiment") == "negative", 0)
     scores = (
-        postings.join(query_terms, "term")
+        postings.join(query_terms, "term_id")
         .where(wanted.isNull() | (F.col("label") == wanted))
         .groupBy("query_id", "top_k", "doc_id")
         .agg(F.sum(F.col("weight") * F.col("query_weight")).alias("score"))
@@ -226,20 +203,15 @@ def _show(hits: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
-def search_many(index: SearchIndex, requests: DataFrame, max_requests: int | None = None):
+def search_many(index: SearchIndex, requests: DataFrame) -> DataFrame:
     """Hits ``(query_id, rank, doc_id, score, sentiment, text)`` for all valid requests.
 
-    With ``max_requests`` as a bound on the batch, its weighted terms and its hits are
-    broadcast while they stay small; otherwise they are stored, and measured first.
+    The weighted terms of the batch and its hits are stored and measured; each is broadcast
+    if small, otherwise Spark joins on its key.
     """
     valid, _ = split_requests(requests)
-    query_terms = query_weights(index, valid)
-    if max_requests is None:
-        query_terms = broadcast_if_measured(stage(query_terms, "query-terms"), ["term"])
-        hits = broadcast_if_measured(stage(rank_hits(index.postings, query_terms), "hits"), [])
-    else:
-        hits = rank_hits(index.postings, broadcast_if_bounded(query_terms, 1000 * max_requests))
-        hits = broadcast_if_bounded(hits, MAX_TOP_K * max_requests)
+    query_terms = broadcast_if_measured(stage(query_weights(index, valid), "query-terms"), [])
+    hits = broadcast_if_measured(stage(rank_hits(index.postings, query_terms), "hits"), [])
     return _show(hits, index.documents)
 
 
@@ -273,9 +245,9 @@ def search(
         [(0, query, wanted, top_k)], "query_id bigint, query string, sentiment string, top_k int"
     )
     query_terms = stage(query_weights(index, request), "query-terms")
-    known = [r["term"] for r in query_terms.select("term").collect()]
-    postings = index.postings.where(F.col("term").isin(known))
-    hits = stage(rank_hits(postings, broadcast_if_measured(query_terms, ["term"])), "hits")
+    known = [r["term_id"] for r in query_terms.select("term_id").collect()]
+    postings = index.postings.where(F.col("term_id").isin(known))
+    hits = stage(rank_hits(postings, broadcast_if_measured(query_terms, [])), "hits")
     ids = [r["doc_id"] for r in hits.select("doc_id").collect()]
     found = _show(F.broadcast(hits), index.documents.where(F.col("doc_id").isin(ids)))
     return found.drop("query_id").orderBy("rank")

@@ -1,9 +1,10 @@
 """Truncated SVD of a sparse matrix in long form, by randomized subspace iteration.
 
 Method: Halko, Martinsson and Tropp, "Finding structure with randomness" (2011). One pass
-forms ``Z = A (A' Y)`` block by block over the columns of ``A``: each block multiplies down
-to its columns and back up to the rows, and the partial rows are summed by Spark. Only the
-small ``Z'Z`` (rank plus oversampling, squared) reaches the driver.
+forms ``Z = A (A' Y)``: each block of columns of ``A`` multiplies down to its columns and
+back up to the rows, and the partial results are added up. The dense matrices travel as
+chunks of rows, one binary value each; only ``Z'Z`` (rank plus oversampling, squared)
+reaches the driver.
 """
 
 from __future__ import annotations
@@ -12,8 +13,6 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,68 +20,116 @@ from textweir.session import stage
 
 _CELLS_PER_BLOCK = 8_000_000
 _PANEL_BYTES = 256 * 1024 * 1024
+_CHUNKS = 256
+_FAN_IN = 64
+_GRAMS = 64
 
 
-def _random_rows(width: int, seed: int):
-    """A task function: one reproducible Gaussian row per id, whatever the partitioning."""
+def _random_chunks(n_rows: int, rows: int, width: int, seed: int):
+    """Task function: reproducible Gaussian rows per chunk, whatever the partitioning."""
 
     def fill(batches):
         for batch in batches:
-            rows = [np.random.default_rng([seed, int(i)]).standard_normal(width) for i in batch["id"]]
-            yield pd.DataFrame({"row_id": batch["id"], "z": rows})
+            for chunk in batch["id"]:
+                size = min(rows, n_rows - chunk * rows)
+                z = np.random.default_rng([seed, int(chunk)]).standard_normal((size, width))
+                yield pd.DataFrame({"chunk": [chunk], "z": [z.tobytes()]})
 
     return fill
 
 
-def _gram_block(n_rows: int, basis: np.ndarray | None):
-    """A task function: the contribution of one column block to ``A (A' Y)``."""
+def _turned(width: int, parts: list[np.ndarray]):
+    """Task function: every chunk times each panel of a basis."""
 
-    def multiply(cells: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        if cells.empty or rows.empty:
-            return pd.DataFrame({"panel": [], "row_id": [], "z": []})
-        dense = np.stack(rows["z"].to_numpy())
-        if basis is not None:
-            panel = int(rows["panel"].iloc[0])
-            dense = dense @ basis[panel]
-        y = np.zeros((dense.shape[1], n_rows))
-        y[:, rows["row_id"].to_numpy()] = dense.T
-        row = cells["row_id"].to_numpy()
+    def turn(batches):
+        for batch in batches:
+            for chunk, data in zip(batch["chunk"], batch["z"], strict=True):
+                z = np.frombuffer(data).reshape(-1, width)
+                yield pd.DataFrame(
+                    {
+                        "chunk": chunk,
+                        "panel": range(len(parts)),
+                        "y": [(z @ part).tobytes() for part in parts],
+                    }
+                )
+
+    return turn
+
+
+def _multiply_block(n_rows: int, rows: int, widths: list[int]):
+    """Task function: the contribution of one column block to one panel of ``A (A' Y)``."""
+    schema = ["block", "panel", "chunk", "y"]
+
+    def multiply(cells: pd.DataFrame, chunks: pd.DataFrame) -> pd.DataFrame:
+        if cells.empty:
+            return pd.DataFrame({c: [] for c in schema})
+        block, panel = int(cells["block"].iloc[0]), int(cells["panel"].iloc[0])
+        y = np.empty((widths[panel], n_rows))
+        for chunk, data in zip(chunks["chunk"], chunks["y"], strict=True):
+            part = np.frombuffer(data).reshape(-1, widths[panel])
+            y[:, chunk * rows : chunk * rows + len(part)] = part.T
+        row, x = cells["row_id"].to_numpy(), cells["x"].to_numpy()
         cols, col = np.unique(cells["col_id"].to_numpy(), return_inverse=True)
-        x = cells["x"].to_numpy()
-        touched = np.unique(row)
-        out = np.empty((len(touched), len(y)))
         for j, axis in enumerate(y):
             down = np.bincount(col, x * axis[row], len(cols))
-            out[:, j] = np.bincount(row, x * down[col], n_rows)[touched]
+            y[j] = np.bincount(row, x * down[col], n_rows)
+        out = np.ascontiguousarray(y.T)
+        starts = range(0, n_rows, rows)
         return pd.DataFrame(
-            {"panel": rows["panel"].iloc[0], "row_id": touched, "z": list(out)}
+            {
+                "block": block,
+                "panel": panel,
+                "chunk": range(len(starts)),
+                "y": [out[s : s + rows].tobytes() for s in starts],
+            }
         )
 
     return multiply
 
 
-def _partial_gram(batches):
-    """Task function: ``z'z`` of the rows of one partition, one output row per line."""
-    total = None
-    for batch in batches:
-        if len(batch):
-            z = np.stack(batch["z"].to_numpy())
-            total = z.T @ z if total is None else total + z.T @ z
-    if total is not None:
-        yield pd.DataFrame({"i": np.arange(len(total)), "z": list(total)})
+def _added(group: pd.DataFrame) -> pd.DataFrame:
+    """Task function: sum of the partial results of one chunk and panel."""
+    total = sum(np.frombuffer(data) for data in group["y"])
+    return group.iloc[:1][["block", "panel", "chunk"]].assign(y=[total.tobytes()])
+
+
+def _joined_panels(widths: list[int]):
+    """Task function: sum the partial results of a chunk and put its panels side by side."""
 
+    def join(group: pd.DataFrame) -> pd.DataFrame:
+        panels = []
+        for panel, width in enumerate(widths):
+            parts = group["y"][group["panel"] == panel]
+            panels.append(sum(np.frombuffer(data) for data in parts).reshape(-1, width))
+        z = np.hstack(panels)
+        return pd.DataFrame({"chunk": [group["chunk"].iloc[0]], "z": [z.tobytes()]})
 
-def _sum_vectors(df: DataFrame, *keys: str) -> DataFrame:
-    summed = df.groupBy(*keys).agg(Summarizer.sum(array_to_vector("z")).alias("z"))
-    return summed.withColumn("z", vector_to_array("z"))
+    return join
 
 
-def _rotate(matrix: np.ndarray):
+def _gram(width: int):
+    """Task function: ``z'z`` over the chunks of one partition."""
+
+    def add(batches):
+        total = np.zeros((width, width))
+        for batch in batches:
+            for data in batch["z"]:
+                z = np.frombuffer(data).reshape(-1, width)
+                total += z.T @ z
+        yield pd.DataFrame({"g": [total.tobytes()]})
+
+    return add
+
+
+def _rows(width: int, rows: int, matrix: np.ndarray):
+    """Task function: chunks times ``matrix``, one output row per matrix row."""
+
     def turn(batches):
         for batch in batches:
-            if len(batch):
-                z = np.stack(batch["z"].to_numpy()) @ matrix
-                yield pd.DataFrame({"row_id": batch["row_id"], "embedding": list(z)})
+            for chunk, data in zip(batch["chunk"], batch["z"], strict=True):
+                z = np.frombuffer(data).reshape(-1, width) @ matrix
+                ids = np.arange(chunk * rows, chunk * rows + len(z))
+                yield pd.DataFrame({"row_id": ids, "embedding": list(z)})
 
     return turn
 
@@ -101,12 +148,19 @@ def truncated_svd(
     get a zero vector. Coordinates are defined up to rotation: compare cosines.
     """
     spark = cells.sparkSession
-    width = min(rank + oversampling, n_rows)
+    rank = min(rank, n_rows)
+    ids = spark.range(n_rows).select(F.col("id").cast("int").alias("row_id"))
+    zero = F.array_repeat(F.lit(0.0), rank).alias("embedding")
     n_cells = cells.count()
+    if n_cells == 0:
+        return ids.select("row_id", zero), np.zeros(rank)
+
+    width = min(rank + oversampling, n_rows)
+    rows = max(64, math.ceil(n_rows / _CHUNKS))
     blocks = max(spark.sparkContext.defaultParallelism, math.ceil(n_cells / _CELLS_PER_BLOCK))
-    # Each task holds one panel of the dense block: all rows, but only some of its columns.
-    panels = min(width, max(1, math.ceil(8 * n_rows * width / _PANEL_BYTES)))
-    slots = F.explode(F.array(*[F.lit(p) for p in range(panels)]))
+    # A task holds one panel of the dense matrix: all its rows, but only some columns.
+    panels = min(width, math.ceil(8 * n_rows * width / _PANEL_BYTES))
+    slots = F.explode(F.sequence(F.lit(0), F.lit(panels - 1)))
     blocked = (
         cells.withColumn("block", F.pmod(F.hash("col_id"), F.lit(blocks)))
         .withColumn("panel", slots)
@@ -116,56 +170,47 @@ def truncated_svd(
     )
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    z = spark.range(n_rows).mapInPandas(
-        _random_rows(width, seed), "row_id int, z array<double>"
+    z = spark.range(math.ceil(n_rows / rows)).mapInPandas(
+        _random_chunks(n_rows, rows, width, seed), "chunk int, z binary"
     )
-    basis = None
+    basis = np.eye(width)
     for _ in range(passes):
-        spread = z.withColumn("block", every_block).withColumn("panel", slots)
-        columns = np.eye(width) if basis is None else basis
-        parts = np.array_split(columns, panels, axis=1)
-        product = (
+        parts = np.array_split(basis, panels, axis=1)
+        widths = [part.shape[1] for part in parts]
+        spread = z.mapInPandas(_turned(width, parts), "chunk int, panel int, y binary")
+        partial = (
             blocked.groupBy("block", "panel")
-            .cogroup(spread.groupBy("block", "panel"))
-            .applyInPandas(_gram_block(n_rows, parts), "panel int, row_id int, z array<double>")
+            .cogroup(spread.withColumn("block", every_block).groupBy("block", "panel"))
+            .applyInPandas(
+                _multiply_block(n_rows, rows, widths),
+                "block int, panel int, chunk int, y binary",
+            )
         )
-        z = _sum_vectors(product, "panel", "row_id")
-        if panels > 1:
-            z = z.groupBy("row_id").agg(
-                F.flatten(
-                    F.transform(
-                        F.array_sort(F.collect_list(F.struct("panel", "z"))), lambda s: s["z"]
-                    )
-                ).alias("z")
+        width, pending = basis.shape[1], blocks
+        while pending > _FAN_IN:
+            pending = math.ceil(pending / _FAN_IN)
+            partial = (
+                partial.withColumn("block", F.pmod("block", F.lit(pending)))
+                .groupBy("chunk", "panel", "block")
+                .applyInPandas(_added, "block int, panel int, chunk int, y binary")
             )
-        z = stage(z.select("row_id", "z"), "svd-rows")
-        lines = _sum_vectors(z.mapInPandas(_partial_gram, "i int, z array<double>"), "i").collect()
-        if not lines:
-            break
-        gram = np.array([r["z"] for r in sorted(lines, key=lambda r: r["i"])])
+        z = partial.groupBy("chunk").applyInPandas(_joined_panels(widths), "chunk int, z binary")
+        z = stage(z, "svd-rows")
+        grams = z.coalesce(_GRAMS).mapInPandas(_gram(width), "g binary").collect()
+        gram = sum(np.frombuffer(g["g"]) for g in grams).reshape(width, width)
         squares, directions = np.linalg.eigh((gram + gram.T) / 2)
-        squares, directions = squares[::-1], directions[:, ::-1]
-        kept = squares > 1e-13 * max(squares[0], 0.0)
-        lengths = np.sqrt(squares[kept])
-        basis = directions[:, kept] / lengths
-        width = basis.shape[1]
-        if width < panels:
-            raise ValueError("matrix rank is below the number of panels; lower the rank")
+        kept = np.flatnonzero(squares > 1e-13 * squares[-1])[::-1]
+        lengths, directions = np.sqrt(squares[kept]), directions[:, kept]
+        basis = directions / lengths
+        panels_needed = min(panels, basis.shape[1])
+        if panels_needed < panels:
+            raise ValueError("the matrix has a lower rank than the fit has panels")
     blocked.unpersist()
 
-    ids = spark.range(n_rows).select(F.col("id").cast("int").alias("row_id"))
-    rank = min(rank, n_rows)
-    if basis is None:
-        zero = F.array_repeat(F.lit(0.0), rank)
-        return ids.select("row_id", zero.alias("embedding")), np.zeros(rank)
-    top = min(rank, width)
-    # z = A A' Y has singular values sigma^2; its rows turned to U * Sigma.
-    turn = np.zeros((len(gram), rank))
-    turn[:, :top] = directions[:, kept][:, :top] / np.sqrt(lengths[:top])
-    sigma = np.zeros(rank)
+    # z = A A' Y has the singular values sigma^2; its rows are turned to U * Sigma.
+    top = min(rank, len(lengths))
+    turn, sigma = np.zeros((width, rank)), np.zeros(rank)
+    turn[:, :top] = directions[:, :top] / np.sqrt(lengths[:top])
     sigma[:top] = np.sqrt(lengths[:top])
-    rows = z.mapInPandas(_rotate(turn), "row_id int, embedding array<double>")
-    zero = F.array_repeat(F.lit(0.0), rank)
-    return ids.join(rows, "row_id", "left").select(
-        "row_id", F.coalesce("embedding", zero).alias("embedding")
-    ), sigma
+    found = z.mapInPandas(_rows(width, rows, turn), "row_id int, embedding array<double>")
+    return found, sigma

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textweir.session import broadcast_if_bounded
+
 _NOT_WORD = r"[^\p{L}\p{N}_]+"
 
 
@@ -63,10 +65,28 @@ def term_counts(
     return terms.groupBy("doc_id", *carry, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def document_frequency(counts: DataFrame) -> DataFrame:
-    """``(term, df, cf)``: documents holding the term, and its occurrences."""
-    return counts.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")
+def term_statistics(docs: DataFrame, ngram_range: tuple[int, int] = (1, 1)) -> DataFrame:
+    """``(term, df, cf)``: documents holding the term, and its occurrences.
+
+    Each document sorts its own n-grams, so the first of a run counts the document. Terms
+    then need one aggregation with partial sums, and no table of (document, term) pairs.
+    """
+    words = docs.select(vocabulary_tokens(F.col("clean")).alias("words"))
+    grams = words.select(F.sort_array(ngrams("words", *ngram_range)).alias("grams"))
+    before = F.slice(
+        F.concat(F.array(F.lit(None).cast("string")), "grams"), F.lit(1), F.size("grams")
+    )
+    marked = F.zip_with(
+        "grams",
+        before,
+        lambda term, last: F.struct(
+            term.alias("term"), F.when(term.eqNullSafe(last), 0).otherwise(1).alias("first")
+        ),
+    )
+    return (
+        grams.select(F.inline(marked))
+        .groupBy("term")
+        .agg(F.sum("first").alias("df"), F.count(F.lit(1)).alias("cf"))
     )
 
 
@@ -130,12 +150,38 @@ def term_index(vocabulary: DataFrame, bounded: bool) -> DataFrame:
 
 
 def fit_vocabulary(
-    counts: DataFrame,
+    stats: DataFrame,
     n_docs: Column | int | None = None,
     min_df: int | float = 2,
     max_features: int | None = 100_000,
 ) -> DataFrame:
-    """``(term, term_id, df, cf)`` from term counts."""
-    kept = prune(document_frequency(counts), n_docs, min_df, max_features)
+    """``(term, term_id, df, cf)`` from term statistics."""
+    kept = prune(stats, n_docs, min_df, max_features)
     indexed = term_index(kept, max_features is not None)
     return indexed.select("term", "term_id", "df", "cf")
+
+
+def known_counts(
+    docs: DataFrame,
+    vocabulary: DataFrame,
+    ngram_range: tuple[int, int],
+    max_rows: int | None,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """``(doc_id, term_id, tf)``, carried columns and the vocabulary columns but ``term``.
+
+    Unknown n-grams, most of the distinct ones, drop out before anything is counted, and
+    the counting keys are numbers. ``max_rows`` bounds the vocabulary: within the broadcast
+    limit the documents stay where they are, beyond it Spark joins on the term.
+    """
+    keys = [c for c in vocabulary.columns if c != "term"]
+    known = document_terms(docs, ngram_range, carry).join(
+        broadcast_if_bounded(vocabulary, max_rows), "term"
+    )
+    return known.groupBy("doc_id", *carry, *keys).agg(F.count(F.lit(1)).alias("tf"))
+
+
+def named(rows: DataFrame, vocabulary: DataFrame, max_rows: int | None) -> DataFrame:
+    """Add ``term`` to rows with a ``term_id``."""
+    names = vocabulary.select("term_id", "term")
+    return rows.join(broadcast_if_bounded(names, max_rows), "term_id")

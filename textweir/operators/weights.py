@@ -1,8 +1,8 @@
 """Bag of words, TF-IDF and BM25 weights in long form.
 
-All take term counts spread by document and a vocabulary ``(term, term_id, df, cf)``.
-``max_rows`` bounds the vocabulary: within the broadcast limit the lookup keeps the
-document partitioning, beyond it Spark joins on the term.
+All take documents spread by :func:`terms.by_document` and a vocabulary
+``(term, term_id, df, cf)`` of at most ``max_rows`` rows, and return
+``(doc_id, term_id, weight)``. :func:`terms.named` adds the term itself where it is shown.
 """
 
 from __future__ import annotations
@@ -10,21 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from textweir.session import broadcast_if_bounded
+from textweir.operators.terms import known_counts
+
 
 def _per_document() -> WindowSpec:
     return Window.partitionBy("doc_id")
 
 
-def in_vocabulary(counts: DataFrame, vocabulary: DataFrame, max_rows: int | None) -> DataFrame:
-    """Term counts of known terms, with the vocabulary columns."""
-    return counts.join(broadcast_if_bounded(vocabulary, max_rows), "term")
-
-
-def bag_of_words(counts: DataFrame, vocabulary: DataFrame, max_rows: int | None) -> DataFrame:
-    """``(doc_id, term, term_id, weight)`` with raw counts."""
-    known = in_vocabulary(counts, vocabulary, max_rows)
-    return known.select("doc_id", "term", "term_id", F.col("tf").cast("double").alias("weight"))
+def bag_of_words(
+    docs: DataFrame, vocabulary: DataFrame, ngram_range: tuple[int, int], max_rows: int | None
+) -> DataFrame:
+    """Raw counts."""
+    counts = known_counts(docs, vocabulary.select("term", "term_id"), ngram_range, max_rows)
+    return counts.select("doc_id", "term_id", F.col("tf").cast("double").alias("weight"))
 
 
 def tfidf_idf(df: Column, n_docs: Column | int) -> Column:
@@ -32,15 +30,18 @@ def tfidf_idf(df: Column, n_docs: Column | int) -> Column:
 
 
 def tfidf(
-    counts: DataFrame, vocabulary: DataFrame, n_docs: Column | int, max_rows: int | None
+    docs: DataFrame,
+    vocabulary: DataFrame,
+    ngram_range: tuple[int, int],
+    n_docs: Column | int,
+    max_rows: int | None,
 ) -> DataFrame:
-    """``(doc_id, term, term_id, weight)``: smoothed idf, rows scaled to length one."""
-    known = in_vocabulary(
-        counts, vocabulary.withColumn("idf", tfidf_idf(F.col("df"), n_docs)), max_rows
-    )
-    raw = known.select("doc_id", "term", "term_id", (F.col("tf") * F.col("idf")).alias("x"))
+    """Count times smoothed idf, rows scaled to length one."""
+    idf = tfidf_idf(F.col("df"), n_docs).alias("idf")
+    counts = known_counts(docs, vocabulary.select("term", "term_id", idf), ngram_range, max_rows)
+    raw = counts.select("doc_id", "term_id", (F.col("tf") * F.col("idf")).alias("x"))
     length = F.sqrt(F.sum(F.col("x") * F.col("x")).over(_per_document()))
-    return raw.select("doc_id", "term", "term_id", (F.col("x") / length).alias("weight"))
+    return raw.select("doc_id", "term_id", (F.col("x") / length).alias("weight"))
 
 
 def bm25_idf(df: Column, n_docs: Column | int) -> Column:
@@ -56,12 +57,9 @@ def mean_length(vocabulary: DataFrame, n_docs: Column) -> Column:
     return F.when(n_docs > 0, total / n_docs).otherwise(F.lit(0.0))
 
 
-def document_lengths(
-    docs: DataFrame, counts: DataFrame, vocabulary: DataFrame, max_rows: int | None
-) -> DataFrame:
+def document_lengths(docs: DataFrame, counts: DataFrame) -> DataFrame:
     """``(doc_id, doc_len)``; 0 for documents without a known term."""
-    known = in_vocabulary(counts, vocabulary, max_rows)
-    lengths = known.groupBy("doc_id").agg(F.sum("tf").alias("doc_len"))
+    lengths = counts.groupBy("doc_id").agg(F.sum("tf").alias("doc_len"))
     return (
         docs.select("doc_id")
         .join(lengths, "doc_id", "left")
@@ -70,8 +68,9 @@ def document_lengths(
 
 
 def bm25(
-    counts: DataFrame,
+    docs: DataFrame,
     vocabulary: DataFrame,
+    ngram_range: tuple[int, int],
     n_docs: Column | int,
     avgdl: Column | float,
     max_rows: int | None,
@@ -79,12 +78,13 @@ def bm25(
     b: float = 0.75,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(doc_id, term, term_id, tf, weight)`` and carried columns, by fitted statistics."""
-    known = in_vocabulary(
-        counts, vocabulary.withColumn("idf", bm25_idf(F.col("df"), n_docs)), max_rows
-    ).withColumn("doc_len", F.sum("tf").over(_per_document()))
+    """``(doc_id, term_id, tf, weight)`` and carried columns, by the fitted statistics."""
+    idf = bm25_idf(F.col("df"), n_docs).alias("idf")
+    known = vocabulary.select("term", "term_id", idf)
+    counts = known_counts(docs, known, ngram_range, max_rows, carry)
+    lengths = counts.withColumn("doc_len", F.sum("tf").over(_per_document()))
     mean = F.greatest(F.lit(avgdl) if isinstance(avgdl, float) else avgdl, F.lit(1e-12))
     share = F.lit(1.0 - b) + F.lit(b) * F.col("doc_len") / mean
     saturated = F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + F.lit(k1) * share)
     weight = (F.col("idf") * saturated).alias("weight")
-    return known.select("doc_id", *carry, "term", "term_id", "tf", weight)
+    return lengths.select("doc_id", *carry, "term_id", "tf", weight)

@@ -92,12 +92,11 @@ def prepare(
 
 def _weigh(vectorizer: str, docs: DataFrame, vocab: DataFrame, n_docs: int, avgdl: float):
     """Long-form weights; ``vocab`` carries a broadcast hint where its measured size allows."""
-    counts = terms.term_counts(docs, NGRAMS)
     if vectorizer == "bow":
-        return weights.bag_of_words(counts, vocab, None)
+        return weights.bag_of_words(docs, vocab, NGRAMS, None)
     if vectorizer == "tfidf":
-        return weights.tfidf(counts, vocab, n_docs, None)
-    return weights.bm25(counts, vocab, n_docs, avgdl, None)
+        return weights.tfidf(docs, vocab, NGRAMS, n_docs, None)
+    return weights.bm25(docs, vocab, NGRAMS, n_docs, avgdl, None)
 
 
 def fit_model(prepared: PreparedCorpus, vectorizer: str) -> SentimentModel:
@@ -110,7 +109,8 @@ def fit_model(prepared: PreparedCorpus, vectorizer: str) -> SentimentModel:
     if vectorizer == "embedding":
         words = embeddings.fit_word_vectors(docs)
         means = nearest.mean_embedding(docs, words.vectors, words.dims, words.rows)
-        classifier = learn.fit_classifier(learn.dense_features(labels, means))
+        features = learn.dense_features(labels, means)
+        classifier = learn.fit_classifier(features, n_docs * words.dims)
         coef = F.array(*[F.lit(float(x)) for x in classifier.coefficients.toArray()])
         products = F.zip_with("embedding", coef, lambda x, y: x * y)
         score = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
@@ -119,13 +119,13 @@ def fit_model(prepared: PreparedCorpus, vectorizer: str) -> SentimentModel:
             vectorizer, prepared.normalizer, broadcast_if_measured(scored, ["term"]), None,
             classifier.intercept, n_docs, 0.0, words.rows, classifier,
         )
-    counts = terms.term_counts(docs, NGRAMS)
-    vocab = stage(terms.fit_vocabulary(counts, n_docs, 2, MAX_FEATURES), "vocab")
+    stats = terms.term_statistics(docs, NGRAMS)
+    vocab = stage(terms.fit_vocabulary(stats, n_docs, 2, MAX_FEATURES), "vocab")
     size, total = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum("cf"), F.lit(0))).first()
     avgdl = total / n_docs if n_docs else 0.0
     vocab = broadcast_if_measured(vocab, ["term"])
     weighed = _weigh(vectorizer, docs, vocab, n_docs, avgdl)
-    classifier = learn.fit_classifier(learn.sparse_features(labels, weighed, size))
+    classifier = learn.fit_classifier(learn.sparse_features(labels, weighed, size), total)
     return SentimentModel(
         vectorizer, prepared.normalizer, vocab, learn.coefficients(docs.sparkSession, classifier),
         classifier.intercept, n_docs, avgdl, size, classifier,

@@ -138,13 +138,14 @@ def _clean(spark, sf) -> DataFrame:
 
 def _unigrams(spark, sf, max_features: int | None = PAIR_FEATURES):
     clean = _clean(spark, sf)
-    return clean, terms.fit_vocabulary(terms.term_counts(clean), None, 2, max_features)
+    return clean, terms.fit_vocabulary(terms.term_statistics(clean), None, 2, max_features)
 
 
 def _bigram_fit(spark, sf, max_features: int | None = MAX_FEATURES):
-    counts = terms.term_counts(_clean(spark, sf), (1, 2))
+    clean = _clean(spark, sf)
     n_docs = terms.count_documents(tables.documents(spark, sf))
-    return counts, n_docs, terms.fit_vocabulary(counts, n_docs, 2, max_features)
+    vocab = terms.fit_vocabulary(terms.term_statistics(clean, (1, 2)), n_docs, 2, max_features)
+    return clean, n_docs, vocab
 
 
 def ngrams(spark, sf):
@@ -152,7 +153,7 @@ def ngrams(spark, sf):
 
 
 def doc_freq(spark, sf):
-    return terms.document_frequency(terms.term_counts(_clean(spark, sf), (1, 2)))
+    return terms.term_statistics(STANDARD.apply(tables.documents(spark, sf)), (1, 2))
 
 
 def vocab_topk(spark, sf):
@@ -160,20 +161,23 @@ def vocab_topk(spark, sf):
 
 
 def vocab_share(spark, sf):
-    counts = terms.term_counts(_clean(spark, sf), (1, 2))
+    stats = terms.term_statistics(STANDARD.apply(tables.documents(spark, sf)), (1, 2))
     n_docs = terms.count_documents(tables.documents(spark, sf))
-    return terms.fit_vocabulary(counts, n_docs, 0.01, None)
+    return terms.fit_vocabulary(stats, n_docs, 0.01, None)
 
 
 def bow(spark, sf):
-    counts, _, vocab = _bigram_fit(spark, sf)
-    return weights.bag_of_words(counts, vocab, MAX_FEATURES)
+    clean, _, vocab = _bigram_fit(spark, sf)
+    found = weights.bag_of_words(clean, vocab, (1, 2), MAX_FEATURES)
+    return terms.named(found, vocab, MAX_FEATURES)
 
 
 def tfidf(spark, sf):
-    counts, n_docs, vocab = _bigram_fit(spark, sf)
-    found = weights.tfidf(counts, vocab, n_docs, MAX_FEATURES)
-    return found.select("doc_id", "term", "term_id", rounded("weight", "weight"))
+    clean, n_docs, vocab = _bigram_fit(spark, sf)
+    found = weights.tfidf(clean, vocab, (1, 2), n_docs, MAX_FEATURES)
+    return terms.named(found, vocab, MAX_FEATURES).select(
+        "doc_id", "term", "term_id", rounded("weight", "weight")
+    )
 
 
 def bm25_stats(spark, sf):
@@ -193,17 +197,18 @@ def bm25_idf(spark, sf):
 
 
 def doc_lengths(spark, sf):
-    clean = _clean(spark, sf)
-    counts = terms.term_counts(clean, (1, 2))
-    vocab = terms.fit_vocabulary(counts, None, 2, MAX_FEATURES)
-    return weights.document_lengths(clean, counts, vocab, MAX_FEATURES)
+    clean, _, vocab = _bigram_fit(spark, sf)
+    counts = terms.known_counts(clean, vocab.select("term", "term_id"), (1, 2), MAX_FEATURES)
+    return weights.document_lengths(clean, counts)
 
 
 def bm25_weights(spark, sf):
-    counts, n_docs, vocab = _bigram_fit(spark, sf)
+    clean, n_docs, vocab = _bigram_fit(spark, sf)
     avgdl = weights.mean_length(vocab, n_docs)
-    found = weights.bm25(counts, vocab, n_docs, avgdl, MAX_FEATURES)
-    return found.select("doc_id", "term", "term_id", "tf", rounded("weight", "weight"))
+    found = weights.bm25(clean, vocab, (1, 2), n_docs, avgdl, MAX_FEATURES)
+    return terms.named(found, vocab, MAX_FEATURES).select(
+        "doc_id", "term", "term_id", "tf", rounded("weight", "weight")
+    )
 
 
 def _cells(spark, sf):
@@ -267,7 +272,7 @@ def mean_embedding(spark, sf):
 
 def nearest_words(spark, sf):
     """Neighbors of the 20 most frequent words, in vectors learned from all documents."""
-    counts = terms.document_frequency(terms.term_counts(_clean(spark, sf)))
+    counts = terms.term_statistics(_clean(spark, sf))
     asked = counts.orderBy(F.desc("cf"), "term").limit(20).select("term")
     return words.nearest_words(tables.documents(spark, sf), "amazon", asked, max_features=5000)
 
@@ -292,8 +297,9 @@ def _shown(hits: DataFrame) -> DataFrame:
 
 def _frequent_words(spark, sf, sentiment: str | None) -> DataFrame:
     """One request made of the five most frequent words of the corpus."""
-    clean = STANDARD.apply(tables.corpus(spark, sf))
-    counts = terms.document_frequency(terms.term_counts(clean))
+    documents = tables.corpus(spark, sf).select("doc_id", "text", "label")
+    clean = terms.by_document(STANDARD.apply(documents), "label")
+    counts = terms.term_statistics(clean)
     top = counts.orderBy(F.desc("cf"), "term").limit(5)
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("cf")).alias("c"), "term")))
     query = F.array_join(F.transform(ordered, lambda x: x["term"]), " ")
@@ -305,12 +311,12 @@ def _frequent_words(spark, sf, sentiment: str | None) -> DataFrame:
 
 def bm25_search(spark, sf):
     request = _frequent_words(spark, sf, None)
-    return _shown(retrieval.search_many(_index(spark, sf), request, max_requests=1))
+    return _shown(retrieval.search_many(_index(spark, sf), request))
 
 
 def bm25_search_positive(spark, sf):
     request = _frequent_words(spark, sf, "positive")
-    return _shown(retrieval.search_many(_index(spark, sf), request, max_requests=1))
+    return _shown(retrieval.search_many(_index(spark, sf), request))
 
 
 def bm25_search_many(spark, sf):
