@@ -21,7 +21,7 @@ from textweir.session import broadcast_if_bounded, stage
 _SPARSE, _DENSE = 0, 1
 # Weight of the row that evens out the variances; real rows weigh about one.
 _NEGLIGIBLE = 1e-16
-_ENTRIES_PER_PARTITION = 1_000_000
+_ENTRIES_PER_PARTITION = 10_000_000
 
 
 def _vector(kind: int, size: Column, indices: Column, values: Column) -> Column:
@@ -85,7 +85,7 @@ def fit_classifier(
     entries: int,
     max_iter: int = 1000,
     strength: float = 1.0,
-    tol: float = 1e-5,
+    tol: float = 1e-4,
 ) -> LogisticRegressionModel:
     """Logistic regression with an L2 penalty of ``1/strength`` and balanced classes.
 
