@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textweir.session import broadcast_if_bounded
+from textweir.session import broadcast_if_bounded, stage
 
 _NOT_WORD = r"[^\p{L}\p{N}_]+"
 
@@ -127,25 +127,25 @@ def prune(
 def term_index(vocabulary: DataFrame, bounded: bool) -> DataFrame:
     """Add ``term_id``, the dense rank of the term in alphabetical order, from 0.
 
-    A vocabulary cut to ``max_features`` is numbered in one window. An uncut one is
-    numbered per range of its first letters, with the sizes of the ranges before it.
+    A vocabulary cut to ``max_features`` is numbered in one window. An uncut one is stored
+    in term ranges of even size, each numbered on its own after the rows of the ranges
+    before it.
     """
     if bounded:
         rank = F.row_number().over(Window.orderBy("term"))
         return vocabulary.withColumn("term_id", (rank - 1).cast("int"))
-    parted = vocabulary.withColumn("_head", F.substring("term", 1, 4))
-    sizes = parted.groupBy("_head").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col("_head").alias("_start_head"),
-        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
-    )
-    rank = F.row_number().over(Window.partitionBy("_head").orderBy("term"))
+    ranges = vocabulary.repartitionByRange("term").withColumn("part", F.spark_partition_id())
+    ranges = stage(ranges, "term-ranges")
+    sizes = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("start"))
+    rank = F.row_number().over(Window.partitionBy("part").orderBy("term"))
+    # One row per partition of the stored ranges, so the broadcast is small.
     return (
-        parted.withColumn("_rank", rank)
-        .join(starts, F.col("_head") == F.col("_start_head"))
-        .withColumn("term_id", (F.col("_start") + F.col("_rank") - 1).cast("int"))
-        .drop("_head", "_start_head", "_start", "_rank")
+        ranges.withColumn("rank", rank)
+        .join(F.broadcast(starts), "part")
+        .withColumn("term_id", (F.col("start") + F.col("rank") - 1).cast("int"))
+        .drop("part", "start", "rank")
     )
 
 
