@@ -2,45 +2,45 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textweir.functions.vectors import norm, summed
 from textweir.session import broadcast_if_bounded
 
-# Query vectors are shipped to the tasks in chunks of at most this many bytes.
-_CHUNK_BYTES = 32 * 1024 * 1024
+# A task multiplies one block of vectors with one chunk of queries, of at most these bytes.
+_BLOCK_BYTES = 64 * 1024 * 1024
+_CHUNK_BYTES = 16 * 1024 * 1024
 
 
-def _best_of_each_batch(queries: list[tuple], top_k: int):
-    """A task function: for every query the best ``top_k`` rows of the batch, and no more."""
-    keys = [q[0] for q in queries]
-    matrix = np.array([q[1] for q in queries], dtype=np.float64)
+def _best_of_block(top_k: int):
+    """Task function: for every query of a chunk the best ``top_k`` rows of a block."""
 
-    def scan(batches):
-        for batch in batches:
-            names = batch["key"].to_numpy()
-            by_name = np.argsort(names, kind="stable")
-            names = names[by_name]
-            rows = np.stack(batch["vector"].to_numpy())[by_name].astype(np.float64)
-            # Rounded, so that equal vectors tie wherever they are multiplied.
-            scores = np.round(rows @ matrix.T, 12)
-            found = []
-            for q, key in enumerate(keys):
-                mine = np.flatnonzero(names != key)
-                # Rows lie in key order, so a stable sort breaks ties by key.
-                best = mine[np.argsort(-scores[mine, q], kind="stable")[:top_k]]
-                found.append(
-                    pd.DataFrame({"term": key, "neighbor": names[best], "score": scores[best, q]})
-                )
-            yield pd.concat(found)
+    def best(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or queries.empty:
+            none = np.array([], dtype=object)
+            return pd.DataFrame({"term": none, "neighbor": none, "score": np.array([])})
+        rows = rows.sort_values("key")
+        names = rows["key"].to_numpy()
+        # Rounded, so that equal vectors tie wherever they are multiplied.
+        left, right = np.stack(rows["vector"].to_numpy()), np.stack(queries["wish"].to_numpy())
+        found = []
+        for key, vector in zip(queries["asked"], right, strict=True):
+            mine = np.flatnonzero(names != key)
+            scores = np.round(left[mine] @ vector, 12)
+            # Rows lie in key order, so a stable sort breaks ties by key.
+            first = np.argsort(-scores, kind="stable")[:top_k]
+            found.append(
+                pd.DataFrame({"term": key, "neighbor": names[mine[first]], "score": scores[first]})
+            )
+        return pd.concat(found)
 
-    return scan
+    return best
 
 
 def nearest(
@@ -52,13 +52,31 @@ def nearest(
 ) -> DataFrame:
     """``(term, neighbor, score, rank)``: the ``top_k`` rows of largest dot product.
 
-    ``vectors`` holds unit rows, so the product is the cosine. ``queries`` lists keys;
-    unknown ones give no rows, and a row is not its own neighbor. Ties go by key. Each task
-    keeps only the best rows of its batch per query, so no pair table is formed. A long
-    list runs in chunks of bounded size, one pass over the vectors each.
+    ``vectors`` holds unit rows with unique keys, so the product is the cosine. ``queries``
+    lists keys; unknown ones give no rows, and a row is not its own neighbor. Ties go by
+    key. Blocks of vectors meet chunks of queries, and only the best rows of each block go
+    on per query, so no table of pairs is formed.
     """
-    table = vectors.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
+    spark = vectors.sparkSession
+    table = vectors.select(
+        F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector")
+    )
     wanted = table.join(queries.select(F.col(key).alias("key")).distinct(), "key", "left_semi")
+    entries = table.agg(F.coalesce(F.sum(F.size("vector")), F.lit(0))).first()[0]
+    asked = wanted.agg(F.coalesce(F.sum(F.size("vector")), F.lit(0))).first()[0]
+    blocks = max(spark.sparkContext.defaultParallelism, math.ceil(8 * entries / _BLOCK_BYTES))
+    chunks = max(1, math.ceil(8 * asked / _CHUNK_BYTES))
+
+    def slot(count: int) -> Column:
+        return F.pmod(F.hash("key"), F.lit(count))
+
+    def every(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    left = table.withColumn("block", slot(blocks)).withColumn("chunk", every(chunks))
+    right = wanted.select(
+        F.col("key").alias("asked"), F.col("vector").alias("wish"), slot(chunks).alias("chunk")
+    ).withColumn("block", every(blocks))
     key_type = table.schema["key"].dataType
     schema = T.StructType(
         [
@@ -67,18 +85,11 @@ def nearest(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    parts, chunk, size = [], [], 0
-    for row in wanted.toLocalIterator():
-        chunk.append((row["key"], row["vector"]))
-        size += 8 * len(row["vector"])
-        if size >= _CHUNK_BYTES:
-            parts.append(table.mapInPandas(_best_of_each_batch(chunk, top_k), schema))
-            chunk, size = [], 0
-    if chunk:
-        parts.append(table.mapInPandas(_best_of_each_batch(chunk, top_k), schema))
-    if not parts:
-        parts.append(table.sparkSession.createDataFrame([], schema))
-    found = reduce(DataFrame.unionByName, parts)
+    found = (
+        left.groupBy("block", "chunk")
+        .cogroup(right.groupBy("block", "chunk"))
+        .applyInPandas(_best_of_block(top_k), schema)
+    )
     order = Window.partitionBy("term").orderBy(F.desc("score"), "neighbor")
     ranked = found.withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= top_k)

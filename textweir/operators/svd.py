@@ -62,7 +62,7 @@ def _multiply_block(n_rows: int, rows: int, widths: list[int]):
 
     def multiply(cells: pd.DataFrame, chunks: pd.DataFrame) -> pd.DataFrame:
         if cells.empty:
-            return pd.DataFrame({c: [] for c in schema})
+            return pd.DataFrame({c: np.array([], dtype=object) for c in schema})
         block, panel = int(cells["block"].iloc[0]), int(cells["panel"].iloc[0])
         y = np.empty((widths[panel], n_rows))
         for chunk, data in zip(chunks["chunk"], chunks["y"], strict=True):

@@ -90,6 +90,23 @@ def prepare(
     )
 
 
+@dataclass(frozen=True)
+class FittedTerms:
+    """Vocabulary of the training rows, stored; shared by all term vectorizers."""
+
+    vocab: DataFrame
+    size: int
+    total: int
+
+
+def fit_terms(prepared: PreparedCorpus) -> FittedTerms:
+    stats = terms.term_statistics(prepared.train, NGRAMS)
+    fitted = terms.fit_vocabulary(stats, prepared.train_rows, 2, MAX_FEATURES)
+    vocab = stage(fitted, "vocab")
+    size, total = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum("cf"), F.lit(0))).first()
+    return FittedTerms(broadcast_if_measured(vocab, ["term"]), size, total)
+
+
 def _weigh(vectorizer: str, docs: DataFrame, vocab: DataFrame, n_docs: int, avgdl: float):
     """Long-form weights; ``vocab`` carries a broadcast hint where its measured size allows."""
     if vectorizer == "bow":
@@ -99,8 +116,13 @@ def _weigh(vectorizer: str, docs: DataFrame, vocab: DataFrame, n_docs: int, avgd
     return weights.bm25(docs, vocab, NGRAMS, n_docs, avgdl, None)
 
 
-def fit_model(prepared: PreparedCorpus, vectorizer: str) -> SentimentModel:
-    """Fit one vectorizer and the classifier on the training rows only."""
+def fit_model(
+    prepared: PreparedCorpus, vectorizer: str, fitted: FittedTerms | None = None
+) -> SentimentModel:
+    """Fit one vectorizer and the classifier on the training rows only.
+
+    ``fitted`` is the vocabulary of the same corpus, if it is known already.
+    """
     if vectorizer not in VECTORIZERS:
         raise ValueError(f"Unsupported vectorizer: {vectorizer}")
     docs = terms.by_document(prepared.train)
@@ -119,16 +141,15 @@ def fit_model(prepared: PreparedCorpus, vectorizer: str) -> SentimentModel:
             vectorizer, prepared.normalizer, broadcast_if_measured(scored, ["term"]), None,
             classifier.intercept, n_docs, 0.0, words.rows, classifier,
         )
-    stats = terms.term_statistics(docs, NGRAMS)
-    vocab = stage(terms.fit_vocabulary(stats, n_docs, 2, MAX_FEATURES), "vocab")
-    size, total = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum("cf"), F.lit(0))).first()
-    avgdl = total / n_docs if n_docs else 0.0
-    vocab = broadcast_if_measured(vocab, ["term"])
-    weighed = _weigh(vectorizer, docs, vocab, n_docs, avgdl)
-    classifier = learn.fit_classifier(learn.sparse_features(labels, weighed, size), total)
+    fitted = fitted or fit_terms(prepared)
+    avgdl = fitted.total / n_docs if n_docs else 0.0
+    weighed = _weigh(vectorizer, docs, fitted.vocab, n_docs, avgdl)
+    features = learn.sparse_features(labels, weighed, fitted.size)
+    classifier = learn.fit_classifier(features, fitted.total)
     return SentimentModel(
-        vectorizer, prepared.normalizer, vocab, learn.coefficients(docs.sparkSession, classifier),
-        classifier.intercept, n_docs, avgdl, size, classifier,
+        vectorizer, prepared.normalizer, fitted.vocab,
+        learn.coefficients(docs.sparkSession, classifier), classifier.intercept, n_docs, avgdl,
+        fitted.size, classifier,
     )
 
 
@@ -199,6 +220,7 @@ def train_evaluate(
     model_dir: str | None = None,
     sample: int | None = None,
     test_size: float = 0.2,
+    fitted: FittedTerms | None = None,
 ) -> tuple[DataFrame, SentimentModel]:
     """Fit, evaluate and record one setting: a one-row run table, and the model.
 
@@ -206,7 +228,7 @@ def train_evaluate(
     """
     spark = prepared.train.sparkSession
     started = time.time()
-    model = fit_model(prepared, vectorizer)
+    model = fit_model(prepared, vectorizer, fitted)
     predicted = stage(
         predict_clean(model, prepared.test).select("doc_id", "label", "prediction"), "predicted"
     )
@@ -241,16 +263,19 @@ def run_grid(
 ) -> DataFrame:
     """One run per dataset, reduction and vectorizer; each run is a chain of Spark jobs.
 
-    ``load`` gives the corpus of a dataset. Reading, splitting and normalizing happen once
-    per dataset and reduction. Finished runs go to ``ledger`` at once when it is given.
+    ``load`` gives the corpus of a dataset. Reading, splitting, normalizing and the vocabulary
+    of the term vectorizers happen once per dataset and reduction. Finished runs go to ``ledger`` at once when it is given.
     """
     runs = None
     for dataset in datasets:
         corpus = load(dataset)
         for reduction in reductions:
             prepared = prepare(corpus, dataset, reduction, test_size, seed, lemmas)
+            shared = fit_terms(prepared) if set(vectorizers) - {"embedding"} else None
             for vectorizer in vectorizers:
-                run, _ = train_evaluate(prepared, vectorizer, model_dir, sample, test_size)
+                run, _ = train_evaluate(
+                    prepared, vectorizer, model_dir, sample, test_size, shared
+                )
                 if ledger:
                     sinks.append_runs(run, ledger)
                 runs = run if runs is None else runs.unionByName(run)
