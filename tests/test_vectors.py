@@ -13,10 +13,10 @@ def _docs(spark, texts):
 def test_bm25_golden(spark):
     """Three documents, weights worked out by hand; the empty one counts in the mean."""
     docs = _docs(spark, ["red red blue", "blue green", ""])
-    vocab = terms.fit_vocabulary(terms.term_statistics(docs), 3, 1, None)
-    n_docs = terms.count_documents(docs)
-    avgdl = weights.mean_length(vocab, n_docs)
-    found = terms.named(weights.bm25(docs, vocab, (1, 1), n_docs, avgdl, None), vocab, None)
+    fitted = terms.fit_terms(docs, (1, 1), 1, None)
+    assert fitted.avgdl == 5 / 3
+    weighed = weights.bm25(docs, fitted.vocab, (1, 1), fitted.n_docs, fitted.avgdl, None)
+    found = terms.named(weighed, fitted.vocab, None)
     got = {(r.doc_id, r.term): r.weight for r in found.collect()}
 
     def weigh(tf, df, length):

@@ -49,17 +49,14 @@ def fit_index(
     vocabulary is known, and its size measured, before it is joined.
     """
     clean = stage(normalizer.apply(documents).select("doc_id", "clean", "label"), "clean")
-    n_docs = clean.count()
-    stats = terms.term_statistics(clean, NGRAMS)
-    vocab = stage(terms.fit_vocabulary(stats, n_docs, min_df, max_features), "vocab")
-    total = vocab.agg(F.coalesce(F.sum("cf"), F.lit(0))).first()[0]
+    fitted = terms.fit_terms(clean, NGRAMS, min_df, max_features)
     index = SearchIndex(
         normalizer,
-        broadcast_if_measured(vocab, ["term"]),
-        vocab,
+        fitted.vocab,
+        fitted.vocab,
         documents.select("doc_id", "label", snippet(F.col("text")).alias("text")),
-        n_docs,
-        float(total) / n_docs if n_docs else 0.0,
+        fitted.n_docs,
+        fitted.avgdl,
     )
     spread = terms.by_document(clean, "label")
     postings = _weighted(spread, index, ("label",))

@@ -7,10 +7,12 @@ partitioning, so long-form rows cross the network only as partial sums per term.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textweir.session import broadcast_if_bounded, stage
+from textweir.session import broadcast_if_bounded, broadcast_if_measured, stage
 
 _NOT_WORD = r"[^\p{L}\p{N}_]+"
 
@@ -185,3 +187,38 @@ def named(rows: DataFrame, vocabulary: DataFrame, max_rows: int | None) -> DataF
     """Add ``term`` to rows with a ``term_id``."""
     names = vocabulary.select("term_id", "term")
     return rows.join(broadcast_if_bounded(names, max_rows), "term_id")
+
+
+@dataclass(frozen=True)
+class FittedTerms:
+    """A stored vocabulary ``(term, term_id, df, cf)`` and the corpus totals behind it.
+
+    ``vocab`` carries a broadcast hint if its measured size allows one.
+    """
+
+    vocab: DataFrame
+    size: int
+    total: int
+    n_docs: int
+
+    @property
+    def avgdl(self) -> float:
+        """Mean document length in known n-grams; documents without any count as well.
+
+        The total over all documents is the total frequency of the vocabulary.
+        """
+        return self.total / self.n_docs if self.n_docs else 0.0
+
+
+def fit_terms(
+    docs: DataFrame,
+    ngram_range: tuple[int, int] = (1, 2),
+    min_df: int | float = 2,
+    max_features: int | None = 100_000,
+) -> FittedTerms:
+    """Fit and store the vocabulary of stored clean text ``(doc_id, clean)``."""
+    n_docs = docs.count()
+    stats = term_statistics(docs, ngram_range)
+    vocab = stage(fit_vocabulary(stats, n_docs, min_df, max_features), "vocab")
+    size, total = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum("cf"), F.lit(0))).first()
+    return FittedTerms(broadcast_if_measured(vocab, ["term"]), size, total, n_docs)

@@ -48,15 +48,6 @@ def bm25_idf(df: Column, n_docs: Column | int) -> Column:
     return F.log((n_docs - df + F.lit(0.5)) / (df + F.lit(0.5)) + F.lit(1.0))
 
 
-def mean_length(vocabulary: DataFrame, n_docs: Column) -> Column:
-    """Mean document length, counting known n-grams only and documents without any.
-
-    The total over all documents is the total frequency of the vocabulary.
-    """
-    total = vocabulary.agg(F.coalesce(F.sum("cf"), F.lit(0))).scalar()
-    return F.when(n_docs > 0, total / n_docs).otherwise(F.lit(0.0))
-
-
 def document_lengths(docs: DataFrame, counts: DataFrame) -> DataFrame:
     """``(doc_id, doc_len)``; 0 for documents without a known term."""
     lengths = counts.groupBy("doc_id").agg(F.sum("tf").alias("doc_len"))
@@ -72,7 +63,7 @@ def bm25(
     vocabulary: DataFrame,
     ngram_range: tuple[int, int],
     n_docs: Column | int,
-    avgdl: Column | float,
+    avgdl: float,
     max_rows: int | None,
     k1: float = 1.5,
     b: float = 0.75,
@@ -83,8 +74,7 @@ def bm25(
     known = vocabulary.select("term", "term_id", idf)
     counts = known_counts(docs, known, ngram_range, max_rows, carry)
     lengths = counts.withColumn("doc_len", F.sum("tf").over(_per_document()))
-    mean = F.greatest(F.lit(avgdl) if isinstance(avgdl, float) else avgdl, F.lit(1e-12))
-    share = F.lit(1.0 - b) + F.lit(b) * F.col("doc_len") / mean
+    share = F.lit(1.0 - b) + F.lit(b) * F.col("doc_len") / F.lit(max(float(avgdl), 1e-12))
     saturated = F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + F.lit(k1) * share)
     weight = (F.col("idf") * saturated).alias("weight")
     return lengths.select("doc_id", *carry, "term_id", "tf", weight)

@@ -90,21 +90,9 @@ def prepare(
     )
 
 
-@dataclass(frozen=True)
-class FittedTerms:
-    """Vocabulary of the training rows, stored; shared by all term vectorizers."""
-
-    vocab: DataFrame
-    size: int
-    total: int
-
-
-def fit_terms(prepared: PreparedCorpus) -> FittedTerms:
-    stats = terms.term_statistics(prepared.train, NGRAMS)
-    fitted = terms.fit_vocabulary(stats, prepared.train_rows, 2, MAX_FEATURES)
-    vocab = stage(fitted, "vocab")
-    size, total = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum("cf"), F.lit(0))).first()
-    return FittedTerms(broadcast_if_measured(vocab, ["term"]), size, total)
+def fit_terms(prepared: PreparedCorpus) -> terms.FittedTerms:
+    """Vocabulary of the training rows, shared by all term vectorizers."""
+    return terms.fit_terms(prepared.train, NGRAMS, 2, MAX_FEATURES)
 
 
 def _weigh(vectorizer: str, docs: DataFrame, vocab: DataFrame, n_docs: int, avgdl: float):
@@ -117,7 +105,7 @@ def _weigh(vectorizer: str, docs: DataFrame, vocab: DataFrame, n_docs: int, avgd
 
 
 def fit_model(
-    prepared: PreparedCorpus, vectorizer: str, fitted: FittedTerms | None = None
+    prepared: PreparedCorpus, vectorizer: str, fitted: terms.FittedTerms | None = None
 ) -> SentimentModel:
     """Fit one vectorizer and the classifier on the training rows only.
 
@@ -142,14 +130,13 @@ def fit_model(
             classifier.intercept, n_docs, 0.0, words.rows, classifier,
         )
     fitted = fitted or fit_terms(prepared)
-    avgdl = fitted.total / n_docs if n_docs else 0.0
-    weighed = _weigh(vectorizer, docs, fitted.vocab, n_docs, avgdl)
+    weighed = _weigh(vectorizer, docs, fitted.vocab, n_docs, fitted.avgdl)
     features = learn.sparse_features(labels, weighed, fitted.size)
     classifier = learn.fit_classifier(features, fitted.total)
     return SentimentModel(
         vectorizer, prepared.normalizer, fitted.vocab,
-        learn.coefficients(docs.sparkSession, classifier), classifier.intercept, n_docs, avgdl,
-        fitted.size, classifier,
+        learn.coefficients(docs.sparkSession, classifier), classifier.intercept, n_docs,
+        fitted.avgdl, fitted.size, classifier,
     )
 
 
@@ -220,7 +207,7 @@ def train_evaluate(
     model_dir: str | None = None,
     sample: int | None = None,
     test_size: float = 0.2,
-    fitted: FittedTerms | None = None,
+    fitted: terms.FittedTerms | None = None,
 ) -> tuple[DataFrame, SentimentModel]:
     """Fit, evaluate and record one setting: a one-row run table, and the model.
 

@@ -22,6 +22,7 @@ from textweir.operators import (
     weights,
 )
 from textweir.plans import training, words
+from textweir.session import stage
 from textweir.sources import corpora, sinks
 from workload import tables
 
@@ -141,11 +142,12 @@ def _unigrams(spark, sf, max_features: int | None = PAIR_FEATURES):
     return clean, terms.fit_vocabulary(terms.term_statistics(clean), None, 2, max_features)
 
 
-def _bigram_fit(spark, sf, max_features: int | None = MAX_FEATURES):
-    clean = _clean(spark, sf)
-    n_docs = terms.count_documents(tables.documents(spark, sf))
-    vocab = terms.fit_vocabulary(terms.term_statistics(clean, (1, 2)), n_docs, 2, max_features)
-    return clean, n_docs, vocab
+def _bigram_fit(spark, sf):
+    """Stored clean text, spread by document, and its fitted uni- and bigrams."""
+    clean = stage(
+        STANDARD.apply(tables.documents(spark, sf)).select("doc_id", "clean"), "clean"
+    )
+    return terms.by_document(clean), terms.fit_terms(clean, (1, 2), 2, MAX_FEATURES)
 
 
 def ngrams(spark, sf):
@@ -157,7 +159,8 @@ def doc_freq(spark, sf):
 
 
 def vocab_topk(spark, sf):
-    return _bigram_fit(spark, sf, 5000)[2]
+    stats = terms.term_statistics(STANDARD.apply(tables.documents(spark, sf)), (1, 2))
+    return terms.fit_vocabulary(stats, None, 2, 5000)
 
 
 def vocab_share(spark, sf):
@@ -167,46 +170,44 @@ def vocab_share(spark, sf):
 
 
 def bow(spark, sf):
-    clean, _, vocab = _bigram_fit(spark, sf)
-    found = weights.bag_of_words(clean, vocab, (1, 2), MAX_FEATURES)
-    return terms.named(found, vocab, MAX_FEATURES)
+    clean, fitted = _bigram_fit(spark, sf)
+    found = weights.bag_of_words(clean, fitted.vocab, (1, 2), None)
+    return terms.named(found, fitted.vocab, None)
 
 
 def tfidf(spark, sf):
-    clean, n_docs, vocab = _bigram_fit(spark, sf)
-    found = weights.tfidf(clean, vocab, (1, 2), n_docs, MAX_FEATURES)
-    return terms.named(found, vocab, MAX_FEATURES).select(
+    clean, fitted = _bigram_fit(spark, sf)
+    found = weights.tfidf(clean, fitted.vocab, (1, 2), fitted.n_docs, None)
+    return terms.named(found, fitted.vocab, None).select(
         "doc_id", "term", "term_id", rounded("weight", "weight")
     )
 
 
 def bm25_stats(spark, sf):
-    _, n_docs, vocab = _bigram_fit(spark, sf)
-    return vocab.agg(
-        F.count(F.lit(1)).alias("vocabulary_size"), F.sum("cf").alias("total")
-    ).select(
-        n_docs.alias("n_docs"),
-        "vocabulary_size",
-        rounded(F.col("total") / n_docs, "avgdl"),
+    fitted = _bigram_fit(spark, sf)[1]
+    return fitted.vocab.agg(
+        F.lit(fitted.n_docs).cast("bigint").alias("n_docs"),
+        F.count(F.lit(1)).alias("vocabulary_size"),
+        F.round(F.sum("cf") / F.lit(fitted.n_docs), 6).alias("avgdl"),
     )
 
 
 def bm25_idf(spark, sf):
-    _, n_docs, vocab = _bigram_fit(spark, sf)
-    return vocab.select("term", "df", rounded(weights.bm25_idf(F.col("df"), n_docs), "idf"))
+    fitted = _bigram_fit(spark, sf)[1]
+    idf = weights.bm25_idf(F.col("df"), F.lit(fitted.n_docs))
+    return fitted.vocab.select("term", "df", rounded(idf, "idf"))
 
 
 def doc_lengths(spark, sf):
-    clean, _, vocab = _bigram_fit(spark, sf)
-    counts = terms.known_counts(clean, vocab.select("term", "term_id"), (1, 2), MAX_FEATURES)
+    clean, fitted = _bigram_fit(spark, sf)
+    counts = terms.known_counts(clean, fitted.vocab.select("term", "term_id"), (1, 2), None)
     return weights.document_lengths(clean, counts)
 
 
 def bm25_weights(spark, sf):
-    clean, n_docs, vocab = _bigram_fit(spark, sf)
-    avgdl = weights.mean_length(vocab, n_docs)
-    found = weights.bm25(clean, vocab, (1, 2), n_docs, avgdl, MAX_FEATURES)
-    return terms.named(found, vocab, MAX_FEATURES).select(
+    clean, fitted = _bigram_fit(spark, sf)
+    found = weights.bm25(clean, fitted.vocab, (1, 2), fitted.n_docs, fitted.avgdl, None)
+    return terms.named(found, fitted.vocab, None).select(
         "doc_id", "term", "term_id", "tf", rounded("weight", "weight")
     )
 
