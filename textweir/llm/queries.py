@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.llm import simhash
+from textweir.llm import quality, simhash
 from textweir.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +21,21 @@ def op5_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality score of every document; labels outside the held-out fifth are learned."""
+    docs = documents(spark, sf)
+    model = quality.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    scored = quality.classify(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op5_simhash_dedup,
+        op8_quality,
     )
 }
 ORACLES: dict[str, str] = {}
