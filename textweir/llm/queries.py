@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.llm import quality, simhash
+from textweir.llm import quality, simhash, winnow
 from textweir.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,15 @@ def op5_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = winnow.report(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        winnow.items_digest(F.col("items")).alias("items_sha256"), "contaminated",
+    )
+
+
 def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Quality score of every document; labels outside the held-out fifth are learned."""
     docs = documents(spark, sf)
@@ -35,6 +44,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op5_simhash_dedup,
+        op7_decontamination,
         op8_quality,
     )
 }
