@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.llm import quality, simhash, winnow
+from textweir.llm import bpe, quality, simhash, winnow
 from textweir.llm.common import documents
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -40,12 +43,23 @@ def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as tokens and back."""
+    vocabulary = bpe.load(VOCABULARY)
+    coded = documents(spark, sf).select(
+        "doc_id", bpe.encode(F.col("text"), vocabulary).alias("ids")
+    )
+    read = coded.select("doc_id", "ids", bpe.decode(F.col("ids"), vocabulary).alias("decoded"))
+    return read.select("doc_id", *bpe.digests(F.col("ids"), F.col("decoded")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op5_simhash_dedup,
         op7_decontamination,
         op8_quality,
+        op10_bpe,
     )
 }
 ORACLES: dict[str, str] = {}
