@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.llm import bpe, quality, simhash, winnow
+from textweir.llm import bpe, quality, secrets, simhash, winnow
 from textweir.llm.common import documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,6 +16,14 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets of every document; the network is trained on findings in the same documents."""
+    docs = documents(spark, sf)
+    model = secrets.fit(docs)
+    found = docs.select("doc_id", secrets.scan(F.col("text"), model).alias("findings"))
+    return found.select("doc_id", *secrets.digests(F.col("findings")))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate group of every document, by its SimHash."""
     groups = simhash.near_groups(documents(spark, sf))
@@ -56,6 +64,7 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_secrets,
         op5_simhash_dedup,
         op7_decontamination,
         op8_quality,
