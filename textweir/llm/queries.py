@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.llm import bpe, quality, secrets, simhash, winnow
+from textweir.llm import bpe, chat, quality, secrets, simhash, winnow
 from textweir.llm.common import documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +24,36 @@ def op2_secrets(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *secrets.digests(F.col("findings")))
 
 
+def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    """Every conversation formatted and read back, with one that quotes the control strings."""
+    rows = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    quoting = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    return chat.digests(chat.format_chats(rows.union(quoting)))
+
+
+# An escaped text has one more backslash for each control string; a turn adds its marks.
+OP3_SQL = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+    FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(15 + length(role) + length(text)
+    + len(regexp_extract_all(text, '#{3,}|</turn>'))) AS BIGINT) AS formatted_chars
+FROM said GROUP BY conv_id
+"""
+
+
 def op5_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate group of every document, by its SimHash."""
     groups = simhash.near_groups(documents(spark, sf))
@@ -65,10 +95,11 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_secrets,
+        op3_chat_format,
         op5_simhash_dedup,
         op7_decontamination,
         op8_quality,
         op10_bpe,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_chat_format": OP3_SQL}
