@@ -65,3 +65,8 @@ def grouped(batches, key: str):
 
 def shape(text: str) -> StructType:
     return StructType.fromDDL(text)
+
+
+def hex_print(fingerprint: Column) -> Column:
+    """Sixteen lowercase hex digits of a signed 64-bit number."""
+    return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.llm import bpe, chat, quality, secrets, simhash, winnow
-from textweir.llm.common import documents
+from textweir.llm import bpe, chat, fingerprint, quality, secrets, simhash, winnow
+from textweir.llm.common import documents, hex_print
+from textweir.session import stage
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -54,11 +55,29 @@ FROM said GROUP BY conv_id
 """
 
 
+def op4_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every document and its edited text; every hundredth id is searched for."""
+    found = stage(fingerprint.compare_next(documents(spark, sf)), "compared")
+    asked = F.col("doc_id") % 100 == 0
+    near = fingerprint.search(found.select("fp"), found.where(asked).select("fp"))
+    size = found.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
+    around = near.join(size, "fp").groupBy("query").agg((F.sum("n") - 1).alias("n"))
+    wide = found.join(around, F.col("fp") == F.col("query"), "left")
+    return wide.select(
+        "doc_id", "n_chars", "edited_sha256",
+        hex_print(F.col("fp")).alias("fingerprint"),
+        hex_print(F.col("edited_fp")).alias("edited_fingerprint"),
+        fingerprint.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        fingerprint.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        F.when(asked, F.col("n")).alias("n_near"),
+    )
+
+
 def op5_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate group of every document, by its SimHash."""
     groups = simhash.near_groups(documents(spark, sf))
     return groups.select(
-        "doc_id", simhash.hex_print(F.col("fingerprint")).alias("fingerprint"), "component_id"
+        "doc_id", hex_print(F.col("fingerprint")).alias("fingerprint"), "component_id"
     )
 
 
@@ -96,6 +115,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op2_secrets,
         op3_chat_format,
+        op4_fingerprints,
         op5_simhash_dedup,
         op7_decontamination,
         op8_quality,
