@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.llm import bpe, chat, fingerprint, quality, secrets, simhash, winnow
+from textweir.llm import bpe, chat, fingerprint, licenses, quality, secrets, simhash, winnow
 from textweir.llm.common import documents, hex_print
 from textweir.session import stage
 
@@ -81,6 +81,14 @@ def op5_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    """License of every document; source, language and id make its path."""
+    docs = documents(spark, sf)
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = docs.select("doc_id", path.alias("path"), "text")
+    return licenses.scan(files).drop("text")
+
+
 def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark windows in every document."""
     found = winnow.report(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
@@ -117,6 +125,7 @@ QUERIES: dict[str, Query] = {
         op3_chat_format,
         op4_fingerprints,
         op5_simhash_dedup,
+        op6_licenses,
         op7_decontamination,
         op8_quality,
         op10_bpe,
