@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.llm import bpe, chat, fingerprint, licenses, quality, secrets, simhash, winnow
-from textweir.llm.common import documents, hex_print
+from textweir.llm import bpe, chat, fingerprint, licenses, quality, secrets, simhash, substring, winnow
+from textweir.llm.common import digest, documents, hex_print
 from textweir.session import stage
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,12 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the long word runs of earlier documents."""
+    kept = substring.deduplicate(documents(spark, sf))
+    return kept.select("doc_id", "n_words", "n_removed", digest(F.col("kept")).alias("kept_sha256"))
+
+
 def op2_secrets(spark: SparkSession, sf: str) -> DataFrame:
     """Secrets of every document; the network is trained on findings in the same documents."""
     docs = documents(spark, sf)
@@ -121,6 +127,7 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_substring_dedup,
         op2_secrets,
         op3_chat_format,
         op4_fingerprints,
