@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.llm import bpe, chat, fingerprint, licenses, quality, secrets, simhash, substring, winnow
+from textweir.llm import bpe, chat, fingerprint, licenses, quality, secrets, simhash, substring, suffix, winnow
 from textweir.llm.common import digest, documents, hex_print
 from textweir.session import stage
 
@@ -114,6 +114,14 @@ def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the long byte strings that occur earlier."""
+    kept = suffix.deduplicate(documents(spark, sf))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Every document as tokens and back."""
     vocabulary = bpe.load(VOCABULARY)
@@ -135,6 +143,7 @@ QUERIES: dict[str, Query] = {
         op6_licenses,
         op7_decontamination,
         op8_quality,
+        op9_suffix_dedup,
         op10_bpe,
     )
 }
