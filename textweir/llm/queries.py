@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from textweir.llm import bpe, chat, fingerprint, licenses, quality, secrets, simhash, substring, suffix, winnow
 from textweir.llm.common import digest, documents, hex_print
 from textweir.session import stage
@@ -132,6 +133,11 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return read.select("doc_id", *bpe.digests(F.col("ids"), F.col("decoded")))
 
 
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -145,6 +151,9 @@ QUERIES: dict[str, Query] = {
         op8_quality,
         op9_suffix_dedup,
         op10_bpe,
+        pipeline,
     )
 }
 ORACLES: dict[str, str] = {"op3_chat_format": OP3_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

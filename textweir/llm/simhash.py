@@ -181,6 +181,17 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
     return dealt.mapInArrow(_compare(radius), "u long, v long")
 
 
+def _groups(prints: DataFrame, radius: int) -> DataFrame:
+    """``(fp, root, component_id)`` of ``prints (doc_id, fp)``; the root names the group."""
+    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "prints")
+    roots = components(links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
+    placed = nodes.join(roots, "fp", "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+    )
+    names = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return stage(placed.join(names, "root").select("fp", "root", "component_id"), "groups")
+
+
 def near_groups(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -199,15 +210,26 @@ def near_groups(
     Copies collapse to one fingerprint before the comparison. Links, components and
     fingerprints stay distributed.
     """
-    prints = stage(
-        docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp")),
-        "simhash",
-    )
-    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "prints")
-    roots = components(links(nodes.select("fp"), radius)).withColumnRenamed("node", "fp")
-    placed = nodes.join(roots, "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+    prints = docs.select(
+        F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp")
     )
-    names = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = stage(placed.join(names, "root").select("fp", "component_id"), "groups")
+    prints = stage(prints, "simhash")
+    named = _groups(prints, radius).drop("root")
     return prints.join(named, "fp").select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` less near duplicates: one row of each group stays, as it is.
+
+    It is the row with the smallest ``doc_id`` (null last), of equal ids the one with the
+    smallest hash of id and text, and one of rows that are equal in both. Null and empty texts
+    are one group. The columns are those of ``docs``.
+    """
+    key = fresh("key", docs)
+    hashed = docs.withColumn(key, F.xxhash64(F.col("doc_id"), F.col("text"), F.col("text").isNull()))
+    prints = hashed.select("doc_id", F.col(key).alias("key"), fingerprints(F.col("text"), shingle).alias("fp"))
+    prints = stage(prints, "simhash")
+    grouped_rows = prints.join(_groups(prints, radius).select("fp", "root"), "fp")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    winners = grouped_rows.groupBy("root").agg(F.min(order).alias("w")).select(F.col("w.key").alias(key))
+    return hashed.join(winners, key, "left_semi").dropDuplicates([key]).drop(key)
