@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from textweir.functions.html import unescape_entities
 from textweir.functions.porter import stem_tokens
-from textweir.session import broadcast_if_measured
+from textweir.session import broadcast_if_measured, stage
 
 # Contractions as plain substrings, in the order they are applied.
 CONTRACTIONS = (
@@ -161,7 +161,7 @@ class Normalizer:
         return stem_tokens(tokens) if self.reduction == "stem" else tokens
 
     def apply(self, df: DataFrame, text: str = "text", into: str = "clean") -> DataFrame:
-        """Add the space-joined clean text. Lemma lookup needs a unique ``doc_id``."""
+        """Add the space-joined clean text."""
         if self.reduction == "lemma" and self.lemmas is not None:
             return _with_lemmas(df, self.surface_tokens(F.col(text)), self.lemmas, into)
         return df.withColumn(into, F.array_join(self.tokens(F.col(text)), " "))
@@ -170,17 +170,19 @@ class Normalizer:
 def _with_lemmas(df: DataFrame, tokens: Column, lemmas: DataFrame, into: str) -> DataFrame:
     """Look tokens up in ``(surface, lemma)``, broadcast if its measured size allows.
 
-    Rows are spread by document first, so putting each document together again needs
-    no second shuffle.
+    Rows are numbered and stored first, so each is put together again by its number; the table
+    is stored as well, so it is computed once and measured as it is.
     """
+    row = "__row"
     table = lemmas.groupBy("surface").agg(F.min("lemma").alias("lemma"))
-    docs = df.withColumn(into, F.array_join(tokens, " ")).repartition("doc_id")
-    words = docs.select("doc_id", F.posexplode(F.split(into, " ")).alias("pos", "surface"))
-    table = broadcast_if_measured(table, ["surface", "lemma"])
+    docs = df.withColumn(into, F.array_join(tokens, " "))
+    docs = stage(docs.withColumn(row, F.monotonically_increasing_id()), "surface").repartition(row)
+    words = docs.select(row, F.posexplode(F.split(into, " ")).alias("pos", "surface"))
+    table = broadcast_if_measured(stage(table, "lemmas"), ["surface", "lemma"])
     reduced = words.join(table, "surface", "left").select(
-        "doc_id", "pos", F.coalesce("lemma", "surface").alias("token")
+        row, "pos", F.coalesce("lemma", "surface").alias("token")
     )
-    joined = reduced.groupBy("doc_id").agg(
+    joined = reduced.groupBy(row).agg(
         F.array_join(
             F.transform(
                 F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]
@@ -188,4 +190,4 @@ def _with_lemmas(df: DataFrame, tokens: Column, lemmas: DataFrame, into: str) ->
             " ",
         ).alias(into)
     )
-    return docs.drop(into).join(joined, "doc_id", "left")
+    return docs.drop(into).join(joined, row, "left").drop(row)

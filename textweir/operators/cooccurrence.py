@@ -7,16 +7,17 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textweir.operators.terms import ROW
 from textweir.session import broadcast_if_bounded
 
 
 def known_sequence(
     docs: DataFrame, vocabulary: DataFrame, max_rows: int | None, clean: str = "clean"
 ) -> DataFrame:
-    """``(doc_id, pos, term, term_id)`` of the known words, split at blanks only."""
-    words = docs.select("doc_id", F.posexplode(F.split(clean, " ")).alias("pos", "term"))
+    """``(row_id, pos, term, term_id)`` of the known words, split at blanks only."""
+    words = docs.select(ROW, F.posexplode(F.split(clean, " ")).alias("pos", "term"))
     ids = broadcast_if_bounded(vocabulary.select("term", "term_id"), max_rows)
-    return words.join(ids, "term").select("doc_id", "pos", "term", "term_id")
+    return words.join(ids, "term").select(ROW, "pos", "term", "term_id")
 
 
 def cooccurrence(sequence: DataFrame, window: int = 4) -> DataFrame:
@@ -27,7 +28,7 @@ def cooccurrence(sequence: DataFrame, window: int = 4) -> DataFrame:
     the order of addition; the mirror image is added afterwards.
     """
     unit = math.lcm(*range(1, window + 1))
-    order = Window.partitionBy("doc_id").orderBy("pos")
+    order = Window.partitionBy(ROW).orderBy("pos")
     ahead = F.array(
         *[
             F.struct(

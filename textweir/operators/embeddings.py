@@ -67,7 +67,7 @@ def fit_term_document_vectors(
     vocab = stage(terms.fit_vocabulary(stats, n_docs, min_df, max_features), "vocab")
     size = vocab.count()
     cells = weights.tfidf(docs, vocab, (1, 1), n_docs, size).select(
-        F.col("term_id").alias("row_id"), F.col("doc_id").alias("col_id"),
+        F.col("term_id").alias("row_id"), F.col("row_id").alias("col_id"),
         F.col("weight").alias("x"),
     )
     rank = min(dims, max(2, n_docs - 1), size)

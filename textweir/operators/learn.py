@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from textweir.functions.text import label_name
 from textweir.operators import metrics
+from textweir.operators.terms import ROW
 from textweir.session import broadcast_if_bounded, stage
 
 # The storage form of an ML vector: kind (0 sparse, 1 dense), size, indices, values.
@@ -47,10 +48,10 @@ def sparse_features(docs: DataFrame, weights: DataFrame, size: int) -> DataFrame
 
     Documents without a known term get an empty vector.
     """
-    entries = weights.groupBy("doc_id").agg(
+    entries = weights.groupBy(ROW).agg(
         F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("entries")
     )
-    joined = docs.join(entries, "doc_id", "left")
+    joined = docs.join(entries, ROW, "left")
     indices = F.coalesce(F.col("entries.term_id"), F.array().cast("array<int>"))
     values = F.coalesce(F.col("entries.weight"), F.array().cast("array<double>"))
     vector = _vector(_SPARSE, F.lit(size), indices, values)
@@ -58,8 +59,8 @@ def sparse_features(docs: DataFrame, weights: DataFrame, size: int) -> DataFrame
 
 
 def dense_features(docs: DataFrame, embeddings: DataFrame) -> DataFrame:
-    """``docs`` with ``features`` from ``(doc_id, embedding)``."""
-    joined = docs.join(embeddings, "doc_id")
+    """``docs`` with ``features`` from ``(row_id, embedding)``."""
+    joined = docs.join(embeddings.select(ROW, "embedding"), ROW)
     empty = F.lit(None)
     vector = _vector(_DENSE, empty, empty.cast("array<int>"), F.col("embedding"))
     return _stage_features(joined.withColumn("features", vector).drop("embedding"))
@@ -130,11 +131,11 @@ def score_weights(
     """
     margins = (
         weights.join(broadcast_if_bounded(coefs, max_rows), "term_id")
-        .groupBy("doc_id")
+        .groupBy(ROW)
         .agg(F.sum(F.col("weight") * F.col("coef")).alias("m"))
     )
     margin = F.lit(intercept) + F.coalesce("m", F.lit(0.0))
-    return docs.join(margins, "doc_id", "left").withColumn("margin", margin).drop("m")
+    return docs.join(margins, ROW, "left").withColumn("margin", margin).drop("m")
 
 
 def predictions(scored: DataFrame) -> DataFrame:

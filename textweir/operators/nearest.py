@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textweir.functions.vectors import norm, summed
+from textweir.operators.terms import ROW
 from textweir.session import broadcast_if_bounded
 
 # A task multiplies one block of vectors with one chunk of queries, of at most these bytes.
 _BLOCK_BYTES = 64 * 1024 * 1024
 _CHUNK_BYTES = 16 * 1024 * 1024
+# Products that a task holds at once.
+_PRODUCTS = 4_000_000
 
 
 def _best_of_block(top_k: int):
@@ -26,17 +29,31 @@ def _best_of_block(top_k: int):
             none = np.array([], dtype=object)
             return pd.DataFrame({"term": none, "neighbor": none, "score": np.array([])})
         rows = rows.sort_values("key")
-        names = rows["key"].to_numpy()
-        # Rounded, so that equal vectors tie wherever they are multiplied.
+        names, asked = rows["key"].to_numpy(), queries["asked"].to_numpy()
         left, right = np.stack(rows["vector"].to_numpy()), np.stack(queries["wish"].to_numpy())
         found = []
-        for key, vector in zip(queries["asked"], right, strict=True):
-            mine = np.flatnonzero(names != key)
-            scores = np.round(left[mine] @ vector, 12)
-            # Rows lie in key order, so a stable sort breaks ties by key.
-            first = np.argsort(-scores, kind="stable")[:top_k]
+        step = max(1, _PRODUCTS // len(left))
+        for start in range(0, len(right), step):
+            # Rounded, so that equal vectors tie wherever they are multiplied.
+            scores = np.round(right[start : start + step] @ left.T, 12)
+            mine = names[None, :] == asked[start : start + step, None]
+            scores[mine] = -np.inf
+            keep = min(top_k, scores.shape[1])
+            least = np.partition(scores, -keep, axis=1)[:, -keep]
+            query, row = np.nonzero((scores >= least[:, None]) & ~mine)
+            # Rows lie in key order, so ties go by key.
+            order = np.lexsort((row, -scores[query, row], query))
+            query, row = query[order], row[order]
+            place = np.arange(len(query)) - np.searchsorted(query, query)
+            query, row = query[place < top_k], row[place < top_k]
             found.append(
-                pd.DataFrame({"term": key, "neighbor": names[mine[first]], "score": scores[first]})
+                pd.DataFrame(
+                    {
+                        "term": asked[start + query],
+                        "neighbor": names[row],
+                        "score": scores[query, row],
+                    }
+                )
             )
         return pd.concat(found)
 
@@ -98,24 +115,28 @@ def nearest(
 def mean_embedding(
     docs: DataFrame, vectors: DataFrame, dims: int, max_rows: int | None, clean: str = "clean"
 ) -> DataFrame:
-    """``(doc_id, embedding)``: mean over the known words, repeated words counting again.
+    """``(row_id, doc_id, embedding)``: mean over the known words, repeated words counting again.
 
-    Words are split at blanks; a document without known words gets the zero vector.
+    Words are split at blanks and counted before their vectors are joined; a document without
+    known words gets the zero vector.
     """
-    words = docs.select("doc_id", F.explode(F.split(clean, " ")).alias("term"))
-    known = words.join(broadcast_if_bounded(vectors.select("term", "embedding"), max_rows), "term")
-    totals = known.groupBy("doc_id").agg(
-        summed(F.col("embedding"), dims).alias("total"), F.count(F.lit(1)).alias("words")
+    words = docs.select(ROW, F.explode(F.split(clean, " ")).alias("term"))
+    counts = words.groupBy(ROW, "term").agg(F.count(F.lit(1)).alias("n"))
+    table = broadcast_if_bounded(vectors.select("term", "embedding"), max_rows, 8 * dims + 64)
+    known = counts.join(table, "term")
+    weighted = known.withColumn("embedding", F.transform("embedding", lambda x: x * F.col("n")))
+    totals = weighted.groupBy(ROW).agg(
+        summed(F.col("embedding"), dims).alias("total"), F.sum("n").alias("words")
     )
     mean = F.zip_with(
-        "total", F.array_repeat("words", dims), lambda total, n: total / n
+        "total", F.array_repeat(F.col("words").cast("double"), dims), lambda total, n: total / n
     )
-    means = totals.select("doc_id", mean.alias("mean"))
+    means = totals.select(ROW, mean.alias("mean"))
     zeros = F.array_repeat(F.lit(0.0), dims)
     return (
-        docs.select("doc_id")
-        .join(means, "doc_id", "left")
-        .select("doc_id", F.coalesce("mean", zeros).alias("embedding"))
+        docs.select(ROW, "doc_id")
+        .join(means, ROW, "left")
+        .select(ROW, "doc_id", F.coalesce("mean", zeros).alias("embedding"))
     )
 
 

@@ -6,7 +6,8 @@ fitted statistics, so a shared term contributes the product of both weights.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,17 +16,25 @@ from textweir.functions.text import Normalizer, label_name, snippet
 from textweir.operators import terms, weights
 from textweir.session import broadcast_if_measured, stage
 
+# The most hits a request form may ask for; the engine itself takes any number.
 MAX_TOP_K = 50
 NGRAMS = (1, 2)
+# Folders of a stored index: ranges of terms, and ranges of documents.
+BUCKETS = 64
+# Hits up to this number are looked up by a list of their rows.
+IN_LIST = 1_000
 REQUEST_COLUMNS = ("query_id", "query", "sentiment", "top_k")
 
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """``vocab`` (term, term_id, df, cf), ``postings`` (term_id, doc_id, label, weight) and
-    ``documents`` (doc_id, label, text), the text cut to the length hits show.
+    """``vocab`` (term, term_id, df, cf), ``postings`` (term_id, row_id, doc_id, label,
+    weight) and
+    ``documents`` (row_id, doc_id, label, text) with whole texts.
 
-    ``vocab`` is stored, and carries a broadcast hint if its measured size allows."""
+    ``vocab`` is stored, and carries a broadcast hint if its measured size allows. A stored
+    index has a ``bucket`` column on postings and documents, by which reads are pruned:
+    ``term_id`` and ``row_id`` divided by the widths."""
 
     normalizer: Normalizer
     vocab: DataFrame
@@ -35,6 +44,8 @@ class SearchIndex:
     avgdl: float
     k1: float = 1.5
     b: float = 0.75
+    term_width: int | None = None
+    row_width: int | None = None
 
 
 def fit_index(
@@ -42,31 +53,37 @@ def fit_index(
     normalizer: Normalizer,
     max_features: int | None = 150_000,
     min_df: int | float = 2,
+    k1: float = 1.5,
+    b: float = 0.75,
 ) -> SearchIndex:
     """An index over ``(doc_id, text, label)``; its postings are a lazy DataFrame.
 
-    Clean text and vocabulary are stored once. The postings are computed from them, so the
-    vocabulary is known, and its size measured, before it is joined.
+    Rows are numbered and stored with their clean text, the vocabulary is stored; the postings
+    are computed from both, so the vocabulary is known, and its size measured, before it is
+    joined. Documents may share a ``doc_id``.
     """
-    clean = stage(normalizer.apply(documents).select("doc_id", "clean", "label"), "clean")
+    known = terms.identified(documents.select("doc_id", "text", "label"))
+    rows = stage(normalizer.apply(known), "documents")
+    clean = rows.select(terms.ROW, "doc_id", "clean", "label")
     fitted = terms.fit_terms(clean, NGRAMS, min_df, max_features)
-    index = SearchIndex(
+    postings = _weighted(
+        terms.by_document(clean, "label"), fitted.vocab, fitted.n_docs, fitted.avgdl, k1, b,
+        ("label",),
+    )
+    return SearchIndex(
         normalizer,
         fitted.vocab,
-        fitted.vocab,
-        documents.select("doc_id", "label", snippet(F.col("text")).alias("text")),
+        postings.select("term_id", terms.ROW, "doc_id", "label", "weight"),
+        rows.select(terms.ROW, "doc_id", "label", "text"),
         fitted.n_docs,
         fitted.avgdl,
+        k1,
+        b,
     )
-    spread = terms.by_document(clean, "label")
-    postings = _weighted(spread, index, ("label",))
-    return replace(index, postings=postings.select("term_id", "doc_id", "label", "weight"))
 
 
-def _weighted(docs: DataFrame, index: SearchIndex, carry: tuple[str, ...]) -> DataFrame:
-    return weights.bm25(
-        docs, index.vocab, NGRAMS, index.n_docs, index.avgdl, None, index.k1, index.b, carry
-    )
+def _weighted(docs, vocab, n_docs, avgdl, k1, b, carry: tuple[str, ...]) -> DataFrame:
+    return weights.bm25(docs, vocab, NGRAMS, n_docs, avgdl, None, k1, b, carry)
 
 
 def build_index(
@@ -75,29 +92,49 @@ def build_index(
     normalizer: Normalizer,
     max_features: int | None = 150_000,
     min_df: int | float = 2,
+    k1: float = 1.5,
+    b: float = 0.75,
 ) -> str:
     """Fit and store an index.
 
-    Postings are range-partitioned by (term_id, doc_id): a frequent term spreads over many
-    files, and each file covers a narrow range of terms, which parquet statistics can skip.
+    Postings lie in folders of term ranges, range-partitioned by (term, row) inside: a
+    frequent term spreads over many files, and a search reads the folders of its terms only.
+    Documents lie in folders of row ranges. Row numbers are dense in ranges of even size, so
+    the folders are even.
     """
     spark = documents.sparkSession
-    index = fit_index(documents, normalizer, max_features, min_df)
+    index = fit_index(documents, normalizer, max_features, min_df, k1, b)
     index.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    index.postings.repartitionByRange("term_id", "doc_id").sortWithinPartitions(
-        "term_id", "doc_id"
-    ).write.mode("overwrite").parquet(f"{path}/postings")
-    index.documents.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.mode(
-        "overwrite"
-    ).parquet(f"{path}/documents")
-    stats = "n_docs bigint, avgdl double, k1 double, b double"
-    spark.createDataFrame([(index.n_docs, index.avgdl, index.k1, index.b)], stats).write.mode(
-        "overwrite"
-    ).parquet(f"{path}/corpus_stats")
+    top_term = index.vocab.agg(F.coalesce(F.max("term_id"), F.lit(0))).first()[0]
+    top_row = index.documents.agg(F.coalesce(F.max(terms.ROW), F.lit(0))).first()[0]
+    term_width = max(1, math.ceil((top_term + 1) / BUCKETS))
+    row_width = max(1, math.ceil((top_row + 1) / BUCKETS))
+    _store(index.postings, "term_id", term_width, f"{path}/postings")
+    _store(index.documents, terms.ROW, row_width, f"{path}/documents")
+    stats = (
+        "n_docs bigint, avgdl double, k1 double, b double, term_width bigint, row_width bigint"
+    )
+    row = (index.n_docs, index.avgdl, index.k1, index.b, term_width, row_width)
+    spark.createDataFrame([row], stats).write.mode("overwrite").parquet(f"{path}/corpus_stats")
     save_normalizer(spark, normalizer, f"{path}/config")
     return path
 
 
+def _store(table: DataFrame, key: str, width: int, path: str) -> None:
+    keys = list(dict.fromkeys([key, terms.ROW]))
+    ordered = table.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    bucket = F.floor(F.col(key) / width).cast("int")
+    ordered.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def _pruned(table: DataFrame, wanted: DataFrame, key: str, width: int | None) -> DataFrame:
+    """Only the folders that hold a wanted key; there are at most ``BUCKETS`` of them."""
+    if width is None:
+        return table
+    buckets = wanted.select(F.floor(F.col(key) / width).cast("int").alias("b")).distinct()
+    return table.where(F.col("bucket").isin([r["b"] for r in buckets.collect()]))
+
+
 def save_normalizer(spark: SparkSession, normalizer: Normalizer, path: str) -> None:
     """Settings as one JSON object, the lemma table next to it."""
     settings = (
@@ -137,6 +174,8 @@ def load_index(source: SparkSession | SearchIndex, path: str | None = None) -> S
         stats["avgdl"],
         stats["k1"],
         stats["b"],
+        stats["term_width"],
+        stats["row_width"],
     )
 
 
@@ -158,58 +197,70 @@ def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def query_weights(index: SearchIndex, requests: DataFrame) -> DataFrame:
-    """``(query_id, sentiment, top_k, term_id, query_weight)`` by the index statistics."""
+    """``(request, query_id, sentiment, top_k, term_id, query_weight)`` by the index statistics.
+
+    ``request`` tells requests of one ``query_id`` apart; equal requests are answered once.
+    """
     asked = requests.select(F.col("query_id").alias("doc_id"), "query", "sentiment", "top_k")
+    asked = asked.distinct().withColumn(terms.ROW, F.xxhash64("doc_id", "query", "sentiment", "top_k"))
     clean = index.normalizer.apply(asked, "query")
-    return _weighted(clean, index, ("sentiment", "top_k")).select(
-        F.col("doc_id").alias("query_id"), "sentiment", "top_k", "term_id",
-        F.col("weight").alias("query_weight"),
+    found = _weighted(
+        clean, index.vocab, index.n_docs, index.avgdl, index.k1, index.b, ("sentiment", "top_k")
+    )
+    return found.select(
+        F.col(terms.ROW).alias("request"), F.col("doc_id").alias("query_id"), "sentiment", "top_k",
+        "term_id", F.col("weight").alias("query_weight"),
     )
 
 
 def rank_hits(postings: DataFrame, query_terms: DataFrame) -> DataFrame:
-    """``(query_id, doc_id, score, rank)``: the best documents of each query.
+    """``(request, query_id, row_id, score, rank)``: the best documents of each request.
 
-    The class filter applies before scoring. The literal limit lets each task drop all but
-    the first rows per query before they are shuffled. Scores are compared at nine decimals,
-    so copies of a document tie however their terms were added up; ties go by ``doc_id``.
+    ``query_terms`` is stored. The class filter applies before scoring. The literal limit, the
+    largest ``top_k`` asked for, lets each task drop all other rows of a request before they
+    are shuffled. Scores are compared at nine decimals, so copies of a document tie however
+    their terms were added up; ties go by ``doc_id``, then row.
     """
+    limit = query_terms.agg(F.coalesce(F.max("top_k"), F.lit(0))).first()[0]
     wanted = F.when(F.col("sentiment") == "positive", 1).when(F.col("sentiment") == "negative", 0)
     scores = (
         postings.join(query_terms, "term_id")
         .where(wanted.isNull() | (F.col("label") == wanted))
-        .groupBy("query_id", "top_k", "doc_id")
+        .groupBy("request", "query_id", "top_k", terms.ROW, "doc_id")
         .agg(F.sum(F.col("weight") * F.col("query_weight")).alias("score"))
         .where("score > 0")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "doc_id")
+    order = Window.partitionBy("request").orderBy(F.desc(F.round("score", 9)), "doc_id", terms.ROW)
     ranked = scores.withColumn("rank", F.row_number().over(order))
-    return ranked.where((F.col("rank") <= MAX_TOP_K) & (F.col("rank") <= F.col("top_k"))).select(
-        "query_id", "doc_id", "score", "rank"
+    return ranked.where((F.col("rank") <= limit) & (F.col("rank") <= F.col("top_k"))).select(
+        "request", "query_id", terms.ROW, "score", "rank"
     )
 
 
 def _show(hits: DataFrame, documents: DataFrame) -> DataFrame:
-    return hits.join(documents, "doc_id").select(
+    return hits.join(documents, terms.ROW).select(
         "query_id",
         "rank",
         F.col("doc_id").cast("string").alias("doc_id"),
         "score",
         label_name(F.col("label")).alias("sentiment"),
-        "text",
+        snippet(F.col("text")).alias("text"),
     )
 
 
 def search_many(index: SearchIndex, requests: DataFrame) -> DataFrame:
     """Hits ``(query_id, rank, doc_id, score, sentiment, text)`` for all valid requests.
 
-    The weighted terms of the batch and its hits are stored and measured; each is broadcast
-    if small, otherwise Spark joins on its key.
+    Equal requests are answered once. The weighted terms of the batch and its hits are stored
+    and measured; each is broadcast if small, otherwise Spark joins on its key. Of a stored
+    index only the folders with a wanted term, and those with a hit, are read.
     """
     valid, _ = split_requests(requests)
-    query_terms = broadcast_if_measured(stage(query_weights(index, valid), "query-terms"), [])
-    hits = broadcast_if_measured(stage(rank_hits(index.postings, query_terms), "hits"), [])
-    return _show(hits, index.documents)
+    query_terms = stage(query_weights(index, valid), "query-terms")
+    postings = _pruned(index.postings, query_terms, "term_id", index.term_width)
+    hits = stage(rank_hits(postings, broadcast_if_measured(query_terms, [])), "hits")
+    documents = _pruned(index.documents, hits, terms.ROW, index.row_width)
+    return _show(broadcast_if_measured(hits, []), documents)
 
 
 def responses(requests: DataFrame, hits: DataFrame) -> DataFrame:
@@ -232,10 +283,10 @@ def search(
     """Hits of one query. A sentiment other than positive or negative filters nothing.
 
     The few terms and hits are known before the big tables are read, so both reads carry
-    an ``IN`` list that parquet statistics can use.
+    an ``IN`` list that folders and parquet statistics can use.
     """
-    if not 1 <= top_k <= MAX_TOP_K:
-        raise ValueError(f"top_k must be between 1 and {MAX_TOP_K}")
+    if top_k < 1:
+        raise ValueError("top_k must be at least 1")
     spark = index.documents.sparkSession
     wanted = sentiment if sentiment in ("positive", "negative") else None
     request = spark.createDataFrame(
@@ -243,8 +294,11 @@ def search(
     )
     query_terms = stage(query_weights(index, request), "query-terms")
     known = [r["term_id"] for r in query_terms.select("term_id").collect()]
-    postings = index.postings.where(F.col("term_id").isin(known))
+    postings = _pruned(index.postings, query_terms, "term_id", index.term_width)
+    postings = postings.where(F.col("term_id").isin(known))
     hits = stage(rank_hits(postings, broadcast_if_measured(query_terms, [])), "hits")
-    ids = [r["doc_id"] for r in hits.select("doc_id").collect()]
-    found = _show(F.broadcast(hits), index.documents.where(F.col("doc_id").isin(ids)))
-    return found.drop("query_id").orderBy("rank")
+    documents = _pruned(index.documents, hits, terms.ROW, index.row_width)
+    if top_k <= IN_LIST:
+        rows = [r[terms.ROW] for r in hits.select(terms.ROW).collect()]
+        documents = documents.where(F.col(terms.ROW).isin(rows))
+    return _show(broadcast_if_measured(hits, []), documents).drop("query_id").orderBy("rank")

@@ -5,7 +5,8 @@ a class, or the whole table, on one task. Instead the n-th smallest key is locat
 histograms over key ranges (map-side aggregation, a few thousand counts each), and the
 sample is every row up to that key: a filter without shuffle, join or window.
 
-Keys must be unique, which makes the result exact.
+Rows with equal keys are told apart by a hash of all their columns; only rows that are equal in
+every column stay together, on one side of a bound.
 """
 
 from __future__ import annotations
@@ -22,6 +23,11 @@ def md5_key(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}")))
 
 
+def _told_apart(df: DataFrame, digest: Column) -> Column:
+    """The digest, then a hash of the whole row: equal digests no longer tie."""
+    return F.concat(digest, F.lpad(F.hex(F.xxhash64(*df.columns)), 16, "0"))
+
+
 def _md5_ordinal(digest: Column) -> Column:
     """The first 60 bits of a digest, which order like the digest itself."""
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
@@ -70,9 +76,20 @@ def key_bounds(df: DataFrame, key: Column, ordinal: Column, wanted: dict, group:
 
 
 def head(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The first ``n`` rows by a unique integer key. Rows without a key come last."""
+    """The first ``n`` rows by a unique integer key.
+
+    Rows without a key come last, in the order of a hash of the row.
+    """
     bounds = key_bounds(df, F.col(key), F.col(key).cast("bigint"), {0: n}, F.lit(0))
-    return df.where(F.col(key) <= bounds[0]) if bounds else df
+    if bounds:
+        return df.where(F.col(key) <= bounds[0])
+    keyed = F.col(key).isNotNull()
+    rest = n - df.where(keyed).count()
+    if rest <= 0:
+        return df.where(keyed)
+    tie = F.xxhash64(*df.columns)
+    last = key_bounds(df.where(~keyed), tie, tie, {0: rest}, F.lit(0))
+    return df.where(keyed | (tie <= last[0])) if last else df
 
 
 def head_per_class(df: DataFrame, quotas: dict[int, int], key: str, label: str = "label"):
@@ -89,7 +106,7 @@ def head_per_class(df: DataFrame, quotas: dict[int, int], key: str, label: str =
 
 def draw(df: DataFrame, n: int, seed: int = 42, key: str = "doc_id") -> DataFrame:
     """``n`` rows without replacement, all rows if there are no more than that."""
-    digest = md5_key(key, seed)
+    digest = _told_apart(df, md5_key(key, seed))
     bounds = key_bounds(df, digest, _md5_ordinal(digest), {0: n}, F.lit(0))
     return df.where(digest <= bounds[0]) if bounds else df
 
@@ -98,7 +115,7 @@ def stratified_flag(
     df: DataFrame, test_size: float, seed: int = 42, key: str = "doc_id", label: str = "label"
 ) -> DataFrame:
     """Add ``is_test``: in each class the same share of rows, rounded half up."""
-    digest = md5_key(key, seed)
+    digest = _told_apart(df, md5_key(key, seed))
     sizes = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
     wanted = {c: int(test_size * n + 0.5) for c, n in sizes.items()}
     bounds = key_bounds(df, digest, _md5_ordinal(digest), wanted, F.col(label))

@@ -186,7 +186,7 @@ def truncated_svd(
                 "block int, panel int, chunk int, y binary",
             )
         )
-        width, pending = basis.shape[1], blocks
+        pending = blocks
         while pending > _FAN_IN:
             pending = math.ceil(pending / _FAN_IN)
             partial = (
@@ -201,10 +201,10 @@ def truncated_svd(
         squares, directions = np.linalg.eigh((gram + gram.T) / 2)
         kept = np.flatnonzero(squares > 1e-13 * squares[-1])[::-1]
         lengths, directions = np.sqrt(squares[kept]), directions[:, kept]
-        basis = directions / lengths
-        panels_needed = min(panels, basis.shape[1])
-        if panels_needed < panels:
-            raise ValueError("the matrix has a lower rank than the fit has panels")
+        # Zero columns keep the width, and so every panel, when the rank is lower; they have the
+        # square 0 in the next pass and drop out there.
+        basis = np.zeros((width, width))
+        basis[:, : len(kept)] = directions / lengths
     blocked.unpersist()
 
     # z = A A' Y has the singular values sigma^2; its rows are turned to U * Sigma.

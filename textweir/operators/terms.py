@@ -1,8 +1,9 @@
 """Vocabulary tokens, n-grams, term counts and the vocabulary.
 
-Documents are spread by ``doc_id`` once, as compact clean text (:func:`by_document`).
-Everything keyed by document afterwards (counts, lengths, norms, windows) reuses that
-partitioning, so long-form rows cross the network only as partial sums per term.
+A document is a row: ``row_id`` tells rows apart, and ``doc_id``, which may repeat, is carried
+along. Documents are spread by row once, as compact clean text (:func:`by_document`).
+Everything keyed by row afterwards (counts, lengths, norms, windows) reuses that partitioning,
+so long-form rows cross the network only as partial sums per term.
 """
 
 from __future__ import annotations
@@ -14,15 +15,21 @@ from pyspark.sql import functions as F
 
 from textweir.session import broadcast_if_bounded, broadcast_if_measured, stage
 
+ROW = "row_id"
 _NOT_WORD = r"[^\p{L}\p{N}_]+"
 
 
-def by_document(docs: DataFrame, *columns: str) -> DataFrame:
-    """``doc_id``, ``clean`` and the named columns, spread by document.
+def identified(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row, ``row_id``, unless it has one.
 
-    A source bucketed by ``doc_id`` needs none.
+    Store the result (``stage``) where it is read more than once, so the numbers stay.
     """
-    return docs.select("doc_id", "clean", *columns).repartition("doc_id")
+    return docs if ROW in docs.columns else docs.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def by_document(docs: DataFrame, *columns: str) -> DataFrame:
+    """``row_id``, ``doc_id``, ``clean`` and the named columns, spread by row."""
+    return identified(docs).select(ROW, "doc_id", "clean", *columns).repartition(ROW)
 
 
 def vocabulary_tokens(clean: Column) -> Column:
@@ -51,20 +58,21 @@ def ngrams(tokens: str, lowest: int, highest: int) -> Column:
 def document_terms(
     docs: DataFrame, ngram_range: tuple[int, int] = (1, 1), carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``(doc_id, term)`` and the carried columns, one row per n-gram occurrence."""
-    words = docs.select("doc_id", *carry, vocabulary_tokens(F.col("clean")).alias("words"))
-    return words.select("doc_id", *carry, F.explode(ngrams("words", *ngram_range)).alias("term"))
+    """``(row_id, doc_id, term)`` and the carried columns, one row per n-gram occurrence."""
+    keys = (ROW, "doc_id", *carry)
+    words = identified(docs).select(*keys, vocabulary_tokens(F.col("clean")).alias("words"))
+    return words.select(*keys, F.explode(ngrams("words", *ngram_range)).alias("term"))
 
 
 def term_counts(
     docs: DataFrame, ngram_range: tuple[int, int] = (1, 1), carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``(doc_id, term, tf)`` and carried document columns.
+    """``(row_id, doc_id, term, tf)`` and carried document columns.
 
     Without a shuffle when ``docs`` comes from :func:`by_document`.
     """
     terms = document_terms(docs, ngram_range, carry)
-    return terms.groupBy("doc_id", *carry, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return terms.groupBy(ROW, "doc_id", *carry, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def term_statistics(docs: DataFrame, ngram_range: tuple[int, int] = (1, 1)) -> DataFrame:
@@ -170,7 +178,7 @@ def known_counts(
     max_rows: int | None,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(doc_id, term_id, tf)``, carried columns and the vocabulary columns but ``term``.
+    """``(row_id, doc_id, term_id, tf)``, carried columns and the vocabulary columns but ``term``.
 
     Unknown n-grams, most of the distinct ones, drop out before anything is counted, and
     the counting keys are numbers. ``max_rows`` bounds the vocabulary: within the broadcast
@@ -180,7 +188,7 @@ def known_counts(
     known = document_terms(docs, ngram_range, carry).join(
         broadcast_if_bounded(vocabulary, max_rows), "term"
     )
-    return known.groupBy("doc_id", *carry, *keys).agg(F.count(F.lit(1)).alias("tf"))
+    return known.groupBy(ROW, "doc_id", *carry, *keys).agg(F.count(F.lit(1)).alias("tf"))
 
 
 def named(rows: DataFrame, vocabulary: DataFrame, max_rows: int | None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 All take documents spread by :func:`terms.by_document` and a vocabulary
 ``(term, term_id, df, cf)`` of at most ``max_rows`` rows, and return
-``(doc_id, term_id, weight)``. :func:`terms.named` adds the term itself where it is shown.
+``(row_id, doc_id, term_id, weight)``. :func:`terms.named` adds the term itself where it is shown.
 """
 
 from __future__ import annotations
@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from textweir.operators.terms import known_counts
+from textweir.operators.terms import ROW, known_counts
 
 
 def _per_document() -> WindowSpec:
-    return Window.partitionBy("doc_id")
+    return Window.partitionBy(ROW)
 
 
 def bag_of_words(
@@ -22,7 +22,7 @@ def bag_of_words(
 ) -> DataFrame:
     """Raw counts."""
     counts = known_counts(docs, vocabulary.select("term", "term_id"), ngram_range, max_rows)
-    return counts.select("doc_id", "term_id", F.col("tf").cast("double").alias("weight"))
+    return counts.select(ROW, "doc_id", "term_id", F.col("tf").cast("double").alias("weight"))
 
 
 def tfidf_idf(df: Column, n_docs: Column | int) -> Column:
@@ -39,9 +39,9 @@ def tfidf(
     """Count times smoothed idf, rows scaled to length one."""
     idf = tfidf_idf(F.col("df"), n_docs).alias("idf")
     counts = known_counts(docs, vocabulary.select("term", "term_id", idf), ngram_range, max_rows)
-    raw = counts.select("doc_id", "term_id", (F.col("tf") * F.col("idf")).alias("x"))
+    raw = counts.select(ROW, "doc_id", "term_id", (F.col("tf") * F.col("idf")).alias("x"))
     length = F.sqrt(F.sum(F.col("x") * F.col("x")).over(_per_document()))
-    return raw.select("doc_id", "term_id", (F.col("x") / length).alias("weight"))
+    return raw.select(ROW, "doc_id", "term_id", (F.col("x") / length).alias("weight"))
 
 
 def bm25_idf(df: Column, n_docs: Column | int) -> Column:
@@ -49,12 +49,12 @@ def bm25_idf(df: Column, n_docs: Column | int) -> Column:
 
 
 def document_lengths(docs: DataFrame, counts: DataFrame) -> DataFrame:
-    """``(doc_id, doc_len)``; 0 for documents without a known term."""
-    lengths = counts.groupBy("doc_id").agg(F.sum("tf").alias("doc_len"))
+    """``(row_id, doc_id, doc_len)``; 0 for documents without a known term."""
+    lengths = counts.groupBy(ROW).agg(F.sum("tf").alias("doc_len"))
     return (
-        docs.select("doc_id")
-        .join(lengths, "doc_id", "left")
-        .select("doc_id", F.coalesce("doc_len", F.lit(0)).alias("doc_len"))
+        docs.select(ROW, "doc_id")
+        .join(lengths, ROW, "left")
+        .select(ROW, "doc_id", F.coalesce("doc_len", F.lit(0)).alias("doc_len"))
     )
 
 
@@ -69,7 +69,7 @@ def bm25(
     b: float = 0.75,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(doc_id, term_id, tf, weight)`` and carried columns, by the fitted statistics."""
+    """``(row_id, doc_id, term_id, tf, weight)`` and carried columns, by the fitted statistics."""
     idf = bm25_idf(F.col("df"), n_docs).alias("idf")
     known = vocabulary.select("term", "term_id", idf)
     counts = known_counts(docs, known, ngram_range, max_rows, carry)
@@ -77,4 +77,4 @@ def bm25(
     share = F.lit(1.0 - b) + F.lit(b) * F.col("doc_len") / F.lit(max(float(avgdl), 1e-12))
     saturated = F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + F.lit(k1) * share)
     weight = (F.col("idf") * saturated).alias("weight")
-    return lengths.select("doc_id", *carry, "term_id", "tf", weight)
+    return lengths.select(ROW, "doc_id", *carry, "term_id", "tf", weight)

@@ -81,7 +81,10 @@ def prepare(
     normalizer = normalizer_for(dataset, reduction, lemmas)
     flagged = sampling.stratified_flag(corpus.select("doc_id", "text", "label"), test_size, seed)
     clean = stage(
-        normalizer.apply(flagged).select("doc_id", "label", "is_test", "clean"), "clean"
+        terms.identified(normalizer.apply(flagged)).select(
+            terms.ROW, "doc_id", "label", "is_test", "clean"
+        ),
+        "clean",
     )
     train, test = clean.where(~F.col("is_test")), clean.where("is_test")
     rows = {r["is_test"]: r["count"] for r in clean.groupBy("is_test").count().collect()}
@@ -114,7 +117,7 @@ def fit_model(
     if vectorizer not in VECTORIZERS:
         raise ValueError(f"Unsupported vectorizer: {vectorizer}")
     docs = terms.by_document(prepared.train)
-    labels = prepared.train.select("doc_id", "label")
+    labels = prepared.train.select(terms.ROW, "doc_id", "label")
     n_docs = prepared.train_rows
     if vectorizer == "embedding":
         words = embeddings.fit_word_vectors(docs)
@@ -141,14 +144,14 @@ def fit_model(
 
 
 def predict_clean(model: SentimentModel, docs: DataFrame) -> DataFrame:
-    """Predictions for documents with clean text; other columns are kept."""
+    """Predictions for stored documents ``(row_id, doc_id, clean)``; other columns are kept."""
     spread = terms.by_document(docs)
     kept = docs.drop("clean")
     if model.vectorizer == "embedding":
-        words = spread.select("doc_id", F.explode(F.split("clean", " ")).alias("term"))
-        means = words.join(model.vocab, "term").groupBy("doc_id").agg(F.avg("score").alias("m"))
+        words = spread.select(terms.ROW, F.explode(F.split("clean", " ")).alias("term"))
+        means = words.join(model.vocab, "term").groupBy(terms.ROW).agg(F.avg("score").alias("m"))
         margin = F.lit(model.intercept) + F.coalesce("m", F.lit(0.0))
-        scored = kept.join(means, "doc_id", "left").withColumn("margin", margin).drop("m")
+        scored = kept.join(means, terms.ROW, "left").withColumn("margin", margin).drop("m")
         return learn.predictions(scored)
     weighed = _weigh(model.vectorizer, spread, model.vocab, model.n_docs, model.avgdl)
     return learn.predictions(
@@ -159,7 +162,8 @@ def predict_clean(model: SentimentModel, docs: DataFrame) -> DataFrame:
 def predict(model: SentimentModel, requests: DataFrame, key: str = "doc_id") -> DataFrame:
     """``(key, label, sentiment, probability)`` for texts of at least one character."""
     valid = requests.where(F.length("text") >= 1).select(F.col(key).alias("doc_id"), "text")
-    clean = model.normalizer.apply(valid).select("doc_id", "clean")
+    clean = terms.identified(model.normalizer.apply(valid)).select(terms.ROW, "doc_id", "clean")
+    clean = stage(clean, "requests")
     found = predict_clean(model, clean)
     return found.select(
         F.col("doc_id").alias(key), F.col("prediction").alias("label"), "sentiment", "probability"

@@ -13,7 +13,7 @@ from textweir.session import stage
 def clean_documents(corpus: DataFrame, dataset: str, reduction: str = "lemma") -> DataFrame:
     """Normalized text, spread by document and stored: the fits read it several times."""
     clean = normalizer_for(dataset, reduction).apply(corpus.select("doc_id", "text"))
-    return terms.by_document(stage(clean.select("doc_id", "clean"), "clean"))
+    return terms.by_document(stage(terms.identified(clean).select(terms.ROW, "doc_id", "clean"), "clean"))
 
 
 def nearest_words(
@@ -25,7 +25,14 @@ def nearest_words(
     **fit,
 ) -> DataFrame:
     """``(dataset, term, neighbor, cosine_similarity)`` for the terms of ``words``."""
-    fitted = embeddings.fit_word_vectors(clean_documents(corpus, dataset, reduction), **fit)
+    return nearest_of(clean_documents(corpus, dataset, reduction), dataset, words, top_k, **fit)
+
+
+def nearest_of(
+    clean: DataFrame, dataset: str, words: DataFrame, top_k: int = 10, **fit
+) -> DataFrame:
+    """The same from documents of :func:`clean_documents`."""
+    fitted = embeddings.fit_word_vectors(clean, **fit)
     found = nearest.nearest(fitted.vectors, words, top_k)
     return found.select(
         F.lit(dataset).alias("dataset"), "term", "neighbor",

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,20 +47,48 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Delete what ``stage`` writes inside the block when it ends.
+
+    For work that is finished within the block: a micro-batch, a written result.
+    """
+    outer, _scopes.paths = getattr(_scopes, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _scopes.paths = _scopes.paths, outer
+        for path in paths:
+            discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a stored table, on whatever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, as ``schema`` if given.
 
-    Cuts the lineage, survives lost executors and lets several jobs read one result.
+    Cuts the lineage, survives lost executors and lets several jobs read one result. Inside a
+    ``staging`` block the table goes when the block ends.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if getattr(_scopes, "paths", None) is not None:
+        _scopes.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast hint when ``max_rows`` proves the side small, else leave the join to Spark."""
-    if max_rows is not None and max_rows <= BROADCAST_ROWS:
+def broadcast_if_bounded(df: DataFrame, max_rows: int | None, row_bytes: int = 64) -> DataFrame:
+    """Broadcast hint when ``max_rows`` rows of about ``row_bytes`` are small, else Spark's choice."""
+    small = max_rows is not None and max_rows * row_bytes <= BROADCAST_BYTES
+    if small and max_rows <= BROADCAST_ROWS:
         return F.broadcast(df)
     return df
 

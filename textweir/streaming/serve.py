@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textweir.operators.retrieval import SearchIndex, search_many
 from textweir.plans.training import SentimentModel, predict
+from textweir.session import staging
 
 
 def _start(
@@ -23,7 +24,8 @@ def _start(
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         # A replayed batch overwrites its own folder, so a restart gives no duplicates.
-        answer(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        with staging(batch.sparkSession):
+            answer(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (
         requests.writeStream.foreachBatch(write)

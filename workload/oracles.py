@@ -172,7 +172,7 @@ def bm25_of(counts: str, name: str) -> str:
   FROM {name}_known)"""
 
 
-def searched(requests: str) -> str:
+def searched(requests: str, most: int = 50) -> str:
     """CTEs up to ``hits`` over a request table ``(query_id, query, sentiment, top_k)``."""
     query_words = normalized("SELECT query_id AS doc_id, query AS text FROM asked")
     for name in ("docs", "n1", "n2", "n3", "n4", "n5", "n6", "n7", "clean"):
@@ -185,7 +185,7 @@ def searched(requests: str) -> str:
 requests AS ({requests}),
 asked AS (SELECT * FROM requests WHERE length(query) >= 1
   AND (sentiment IS NULL OR sentiment IN ('positive', 'negative'))
-  AND top_k BETWEEN 1 AND 50),
+  AND top_k BETWEEN 1 AND {most}),
 {query_words},
 q_lists AS (SELECT doc_id, list_filter(regexp_extract_all(lower(clean), '[\\p{{L}}\\p{{N}}_]+'),
   lambda x: length(x) >= 2) AS w FROM q_clean),
@@ -214,21 +214,38 @@ REQUESTS = """SELECT item_id AS query_id,
   AS sentiment, CAST(item_id % 53 AS INTEGER) AS top_k FROM benchmark"""
 
 
-def frequent(sentiment: str) -> str:
+def frequent(sentiment: str, top_k: int = 10) -> str:
     return f"""SELECT CAST(0 AS BIGINT) AS query_id,
   string_agg(term, ' ' ORDER BY cf DESC, term) AS query,
-  {sentiment} AS sentiment, 10 AS top_k FROM (SELECT term, sum(tf) AS cf FROM counts
+  {sentiment} AS sentiment, {top_k} AS top_k FROM (SELECT term, sum(tf) AS cf FROM counts
   WHERE term NOT LIKE '% %' GROUP BY term ORDER BY cf DESC, term LIMIT 5)"""
 
 
-PAIRS = f"""{fitted(bigrams=False, limit=2000)},
+PAIRS = f"""{fitted(bigrams=False, limit=20_000)},
 seq AS (SELECT doc_id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS pos FROM clean),
 known AS (SELECT s.doc_id, s.term, row_number() OVER (PARTITION BY s.doc_id ORDER BY s.pos) AS pos
   FROM seq s JOIN vocab v ON s.term = v.term),
-cells AS (SELECT a.term AS row_term, b.term AS col_term,
-  sum(1.0::DOUBLE / abs(a.pos - b.pos)) AS x FROM known a JOIN known b
-  ON a.doc_id = b.doc_id AND b.pos <> a.pos AND b.pos BETWEEN a.pos - 4 AND a.pos + 4
-  GROUP BY a.term, b.term)"""
+near AS ({" UNION ALL ".join(
+    f"SELECT a.term AS one, b.term AS other, {12 // k} AS parts FROM known a JOIN known b "
+    f"ON a.doc_id = b.doc_id AND b.pos = a.pos + {k}" for k in (1, 2, 3, 4))}),
+cells AS (SELECT row_term, col_term, sum(parts) / 12.0::DOUBLE AS x FROM (
+  SELECT one AS row_term, other AS col_term, parts FROM near
+  UNION ALL SELECT other, one, parts FROM near) GROUP BY row_term, col_term)"""
+
+# Every document twice under one id: once as it is, once behind two more words.
+TWICE = """SELECT doc_id * 2 AS doc_id, text FROM documents
+  UNION ALL SELECT doc_id * 2 + 1, 'copied words ' || text FROM documents"""
+# A classifier whose coefficients follow from the term numbers.
+GIVEN = """raw AS (SELECT doc_id, term_id,
+  tf * (ln((1.0::DOUBLE + n_docs) / (1.0::DOUBLE + df)) + 1.0::DOUBLE) AS x
+  FROM counts c JOIN vocab v ON c.term = v.term, totals),
+scored AS (SELECT doc_id, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id))
+  * (term_id % 7 - 3) / 2.0::DOUBLE AS part FROM raw),
+margins AS (SELECT d.doc_id, 0.05::DOUBLE + coalesce(sum(part), 0) AS margin
+  FROM docs d LEFT JOIN scored s ON d.doc_id = s.doc_id GROUP BY d.doc_id),
+given AS (SELECT doc_id, CASE WHEN margin > 0 THEN 1 ELSE 0 END AS prediction,
+  CASE WHEN margin > 0 THEN 'positive' ELSE 'negative' END AS sentiment,
+  round(1.0::DOUBLE / (1.0::DOUBLE + exp(-abs(margin))), 6) AS probability FROM margins)"""
 
 JUDGED = "judged AS (SELECT doc_id, quality AS label, 1 - toxic AS prediction FROM labels)"
 UNIT = """vecs AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
@@ -437,8 +454,8 @@ SELECT row_term, col_term, round(x, 6) AS x FROM scored WHERE x > 0""",
 FROM (SELECT vec_id, unnest(e) AS x, generate_subscripts(e, 1) AS dim FROM unit)""",
     "nearest_vectors": f"""WITH {UNIT},
 pairs AS (SELECT q.vec_id, v.vec_id AS neighbor, list_inner_product(q.e, v.e) AS s
-  FROM unit q JOIN benchmark b ON q.vec_id = b.item_id JOIN unit v ON v.vec_id <> q.vec_id),
-ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, neighbor)
+  FROM unit q JOIN unit v ON v.vec_id <> q.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY round(s, 12) DESC, neighbor)
   AS INTEGER) AS rank FROM pairs)
 SELECT vec_id, neighbor, rank, round(s, 6) AS cosine_similarity FROM ranked WHERE rank <= 10""",
     "top_norm": f"""WITH {UNIT} SELECT vec_id, round(sqrt(list_inner_product(e, e)), 6) AS norm
@@ -446,11 +463,44 @@ FROM vecs ORDER BY sqrt(list_inner_product(e, e)) DESC, vec_id LIMIT 150""",
     "mean_embedding": f"""WITH {fitted(bigrams=False, limit=20_000)}, {UNIT},
 seq AS (SELECT doc_id, unnest(tokens) AS term FROM clean),
 long AS (SELECT v.term, unnest(e) AS x, generate_subscripts(e, 1) AS dim
-  FROM vocab v JOIN vecs ON v.term_id = vecs.vec_id),
+  FROM vocab v JOIN vecs ON v.term_id % (SELECT count(*) FROM vecs) = vecs.vec_id),
 means AS (SELECT doc_id, dim, avg(x) AS x FROM seq JOIN long USING (term) GROUP BY doc_id, dim)
 SELECT d.doc_id, CAST(g.dim - 1 AS INTEGER) AS dim, round(coalesce(m.x, 0), 6) AS x
 FROM docs d CROSS JOIN (SELECT unnest(range(1, 65)) AS dim) g
 LEFT JOIN means m ON m.doc_id = d.doc_id AND m.dim = g.dim""",
+    "repeated_ids": f"""WITH {fitted(TWICE)} SELECT doc_id // 2 AS doc_id, c.term, term_id,
+CAST(tf AS DOUBLE) AS weight FROM counts c JOIN vocab v ON c.term = v.term""",
+    "repeated_ids_split": """WITH twice AS (SELECT quality AS label FROM documents JOIN labels
+USING (doc_id) UNION ALL SELECT 1 - quality FROM documents JOIN labels USING (doc_id)),
+sizes AS (SELECT label, count(*) AS n, CAST(floor(0.2::DOUBLE * count(*) + 0.5) AS BIGINT) AS t
+  FROM twice GROUP BY label)
+SELECT label, 1 AS is_test, t AS n FROM sizes UNION ALL SELECT label, 0, n - t FROM sizes""",
+    "svd_gram": """WITH vecs AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+asked AS (SELECT vec_id, e FROM vecs JOIN benchmark ON vec_id = item_id)
+SELECT a.vec_id, b.vec_id AS other, round(list_inner_product(a.e, b.e), 6) AS product
+FROM asked a CROSS JOIN asked b""",
+    "wide_sink": """SELECT CAST(vec_id AS VARCHAR) AS term, """ + ", ".join(
+        f"CAST(embedding[{i + 1}] AS DOUBLE) AS dim_{i}" for i in range(64)
+    ) + " FROM embeddings",
+    "reviews_csv": f"WITH {CORPUS} SELECT doc_id, text FROM corpus",
+    "messages_csv": f"WITH {MESSAGES} SELECT dataset, doc_id, label, raw_score FROM corpus",
+    "score_given": f"""WITH {fitted()}, {GIVEN} SELECT * FROM given""",
+    "stream_scores": f"""WITH {fitted()}, {GIVEN} SELECT doc_id, prediction AS label, sentiment,
+probability FROM given JOIN documents USING (doc_id) WHERE length(text) >= 1""",
+    "run_sizes": f"""WITH {REVIEWS}, marked AS (SELECT doc_id, text, quality AS label FROM documents
+JOIN labels USING (doc_id)), flagged AS (SELECT doc_id, text, r <= round(0.2::DOUBLE * n) AS test
+  FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat(doc_id, '-42'))) AS r,
+    count(*) OVER (PARTITION BY label) AS n FROM marked)),
+{fitted("SELECT doc_id, text FROM flagged WHERE NOT test")}
+SELECT (SELECT count(*) FROM vocab) AS vocabulary_size,
+  (SELECT count(*) FROM flagged WHERE NOT test) AS train_rows,
+  (SELECT count(*) FROM flagged WHERE test) AS test_rows""",
+    "search_one": f"""WITH {searched(frequent("'positive'"))} SELECT rank, doc_id, score, sentiment,
+text FROM hits""",
+    "search_top_200": f"""WITH {searched(frequent("CAST(NULL AS VARCHAR)", 200), 200)} SELECT rank,
+doc_id, score, sentiment, text FROM hits""",
+    "index_roundtrip": f"WITH {searched(REQUESTS)} SELECT * FROM hits",
+    "stream_hits": f"WITH {searched(REQUESTS)} SELECT * FROM hits",
     "bm25_search": f"WITH {searched(frequent('CAST(NULL AS VARCHAR)'))} SELECT * FROM hits",
     "bm25_search_positive": f"""WITH {searched(frequent("'positive'"))} SELECT * FROM hits""",
     "bm25_search_many": f"WITH {searched(REQUESTS)} SELECT * FROM hits",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,15 +22,17 @@ from textweir.operators import (
     terms,
     weights,
 )
+from textweir.operators.svd import truncated_svd
 from textweir.plans import training, words
-from textweir.session import stage
+from textweir.session import scratch_root, stage
 from textweir.sources import corpora, sinks
+from textweir.streaming import serve
 from workload import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 MAX_FEATURES = 100_000
-PAIR_FEATURES = 2_000
+PAIR_FEATURES = 20_000
 STANDARD = Normalizer(reduction="none")
 
 
@@ -134,7 +137,12 @@ def lemma_lookup(spark, sf):
 
 
 def _clean(spark, sf) -> DataFrame:
-    return terms.by_document(STANDARD.apply(tables.documents(spark, sf)))
+    """Stored clean documents, spread by row."""
+    return terms.by_document(_stored(STANDARD.apply(tables.documents(spark, sf))))
+
+
+def _stored(clean: DataFrame) -> DataFrame:
+    return stage(terms.identified(clean).select(terms.ROW, "doc_id", "clean"), "clean")
 
 
 def _unigrams(spark, sf, max_features: int | None = PAIR_FEATURES):
@@ -144,14 +152,12 @@ def _unigrams(spark, sf, max_features: int | None = PAIR_FEATURES):
 
 def _bigram_fit(spark, sf):
     """Stored clean text, spread by document, and its fitted uni- and bigrams."""
-    clean = stage(
-        STANDARD.apply(tables.documents(spark, sf)).select("doc_id", "clean"), "clean"
-    )
+    clean = _stored(STANDARD.apply(tables.documents(spark, sf)))
     return terms.by_document(clean), terms.fit_terms(clean, (1, 2), 2, MAX_FEATURES)
 
 
 def ngrams(spark, sf):
-    return terms.term_counts(_clean(spark, sf), (2, 2))
+    return terms.term_counts(_clean(spark, sf), (2, 2)).drop(terms.ROW)
 
 
 def doc_freq(spark, sf):
@@ -172,7 +178,7 @@ def vocab_share(spark, sf):
 def bow(spark, sf):
     clean, fitted = _bigram_fit(spark, sf)
     found = weights.bag_of_words(clean, fitted.vocab, (1, 2), None)
-    return terms.named(found, fitted.vocab, None)
+    return terms.named(found, fitted.vocab, None).drop(terms.ROW)
 
 
 def tfidf(spark, sf):
@@ -201,7 +207,7 @@ def bm25_idf(spark, sf):
 def doc_lengths(spark, sf):
     clean, fitted = _bigram_fit(spark, sf)
     counts = terms.known_counts(clean, fitted.vocab.select("term", "term_id"), (1, 2), None)
-    return weights.document_lengths(clean, counts)
+    return weights.document_lengths(clean, counts).drop(terms.ROW)
 
 
 def bm25_weights(spark, sf):
@@ -248,8 +254,8 @@ def unit_vectors(spark, sf):
 
 
 def nearest_vectors(spark, sf):
-    """Neighbors of the vectors whose number is that of a benchmark item."""
-    asked = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.col("item_id").alias("vec_id"))
+    """Neighbors of every vector."""
+    asked = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id")
     found = nearest.nearest(_unit_rows(spark, sf), asked, 10, key="vec_id")
     return found.select(
         F.col("term").alias("vec_id"), "neighbor", "rank", rounded("score", "cosine_similarity")
@@ -273,16 +279,93 @@ def mean_embedding(spark, sf):
 
 def nearest_words(spark, sf):
     """Neighbors of the 20 most frequent words, in vectors learned from all documents."""
-    counts = terms.term_statistics(_clean(spark, sf))
+    clean = words.clean_documents(tables.documents(spark, sf), "amazon")
+    counts = terms.term_statistics(clean)
     asked = counts.orderBy(F.desc("cf"), "term").limit(20).select("term")
-    return words.nearest_words(tables.documents(spark, sf), "amazon", asked, max_features=5000)
+    return words.nearest_of(clean, "amazon", asked)
 
 
 def lsa_terms(spark, sf):
-    found = words.term_embeddings(tables.documents(spark, sf), "amazon", max_features=2000, dims=32)
+    found = words.term_embeddings(tables.documents(spark, sf), "amazon")
     return sinks.wide_embeddings(found.vectors, found.dims)
 
 
+def svd_gram(spark, sf):
+    """Products of the decomposed rows of the table of vectors, for the benchmark numbers."""
+    table = spark.read.parquet(f"{sf}/embeddings.parquet")
+    cells = table.select(
+        F.col("vec_id").cast("int").alias("row_id"),
+        F.posexplode(F.col("embedding").cast("array<double>")).alias("col_id", "x"),
+    )
+    rows, _ = truncated_svd(stage(cells, "cells"), table.count(), 64)
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.col("item_id").alias("row_id"))
+    asked = stage(rows.join(items, "row_id"), "svd-asked")
+    long = asked.select("row_id", F.posexplode("embedding").alias("dim", "x"))
+    other = long.select(F.col("row_id").alias("other"), "dim", F.col("x").alias("y"))
+    products = long.join(other, "dim").groupBy("row_id", "other").agg(F.sum(F.col("x") * F.col("y")).alias("p"))
+    return products.select(F.col("row_id").cast("bigint").alias("vec_id"),
+                           F.col("other").cast("bigint").alias("other"), rounded("p", "product"))
+
+
+def wide_sink(spark, sf):
+    """The table of vectors written in wide form and read back."""
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").select(
+        F.col("vec_id").cast("string").alias("term"),
+        F.col("embedding").cast("array<double>").alias("embedding"),
+    )
+    path = f"{scratch_root(spark)}/wide-{uuid.uuid4().hex}"
+    return spark.read.parquet(sinks.write_wide_embeddings(table, path, 64))
+
+
+# Readers of the raw files
+
+
+def reviews_csv(spark, sf):
+    """Reviews written as the raw CSV and read back."""
+    path = f"{scratch_root(spark)}/reviews-{uuid.uuid4().hex}"
+    table = tables.reviews(spark, sf)
+    table.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    corpus = corpora.review_corpus(corpora.read_reviews(spark, path))
+    return corpus.select("doc_id", "text")
+
+
+def messages_csv(spark, sf):
+    """Messages written as the raw CSV (texts by number only, as it is Latin-1) and read back."""
+    path = f"{scratch_root(spark)}/messages-{uuid.uuid4().hex}"
+    table = tables.messages(spark, sf).withColumn("text", F.concat(F.lit("say, "), F.length("text")))
+    table.write.option("escape", '"').option("quoteAll", True).option(
+        "encoding", "ISO-8859-1"
+    ).csv(path)
+    corpus = corpora.message_corpus(corpora.read_messages(spark, path))
+    return corpus.select("dataset", "doc_id", "label", "raw_score")
+
+
+# Rows that share an id
+
+
+def _twice(spark, sf) -> DataFrame:
+    docs = tables.documents(spark, sf)
+    return docs.union(docs.withColumn("text", F.concat(F.lit("copied words "), "text")))
+
+
+def repeated_ids(spark, sf):
+    """Counts when every id belongs to two documents."""
+    clean = _stored(STANDARD.apply(_twice(spark, sf)))
+    fitted = terms.fit_terms(clean, (1, 2), 2, MAX_FEATURES)
+    found = weights.bag_of_words(terms.by_document(clean), fitted.vocab, (1, 2), None)
+    return terms.named(found, fitted.vocab, None).drop(terms.ROW)
+
+
+def repeated_ids_split(spark, sf):
+    """Sizes of a split when every id occurs with both labels."""
+    docs = tables.labelled(spark, sf)
+    twice = docs.union(docs.withColumn("label", 1 - F.col("label")))
+    flagged = sampling.stratified_flag(twice, 0.2)
+    return flagged.groupBy("label", F.col("is_test").cast("int").alias("is_test")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 # Retrieval
 
 
@@ -324,6 +407,52 @@ def bm25_search_many(spark, sf):
     return _shown(retrieval.search_many(_index(spark, sf), tables.requests(spark, sf)))
 
 
+def _stored_index(spark, sf):
+    path = f"{scratch_root(spark)}/index-{uuid.uuid4().hex}"
+    corpus = tables.corpus(spark, sf).select("doc_id", "text", "label")
+    return retrieval.load_index(spark, retrieval.build_index(corpus, path, STANDARD))
+
+
+def index_roundtrip(spark, sf):
+    """An index stored, opened and searched."""
+    return _shown(retrieval.search_many(_stored_index(spark, sf), tables.requests(spark, sf)))
+
+
+def _one(spark, sf, sentiment: str | None, top_k: int) -> DataFrame:
+    query = _frequent_words(spark, sf, sentiment).first()["query"]
+    return _shown(
+        retrieval.search(_stored_index(spark, sf), query, sentiment, top_k).withColumn(
+            "query_id", F.lit(0)
+        )
+    ).drop("query_id")
+
+
+def search_one(spark, sf):
+    return _one(spark, sf, "positive", 10)
+
+
+def search_top_200(spark, sf):
+    return _one(spark, sf, None, 200)
+
+
+def _finished(spark, requests: DataFrame, start) -> DataFrame:
+    """Run a stream over stored requests to its end and read what it has written."""
+    folder = f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}"
+    requests.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(requests.schema).parquet(f"{folder}/in")
+    start(stream, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop("batch")
+
+
+def stream_hits(spark, sf):
+    index = _index(spark, sf)
+    found = _finished(
+        spark, tables.requests(spark, sf),
+        lambda asked, out, check: serve.search_stream(asked, index, out, check),
+    )
+    return _shown(found)
+
+
 def search_responses(spark, sf):
     asked = tables.requests(spark, sf)
     hits = retrieval.search_many(_index(spark, sf), asked)
@@ -379,6 +508,42 @@ def _trained(vectorizer: str, reduction: str = "none") -> Query:
     return run
 
 
+def _given_model(spark, sf):
+    """A classifier whose coefficients follow from the term numbers, and its documents."""
+    clean = _stored(STANDARD.apply(tables.documents(spark, sf)))
+    fitted = terms.fit_terms(clean, (1, 2), 2, MAX_FEATURES)
+    coefs = fitted.vocab.select("term_id", ((F.col("term_id") % 7 - 3) / 2.0).alias("coef"))
+    model = training.SentimentModel(
+        "tfidf", STANDARD, fitted.vocab, coefs, 0.05, fitted.n_docs, fitted.avgdl, fitted.size
+    )
+    return model, clean
+
+
+def score_given(spark, sf):
+    model, clean = _given_model(spark, sf)
+    found = training.predict_clean(model, clean)
+    return found.select("doc_id", "prediction", "sentiment", rounded("probability", "probability"))
+
+
+def stream_scores(spark, sf):
+    model, _ = _given_model(spark, sf)
+    found = _finished(
+        spark, tables.documents(spark, sf),
+        lambda asked, out, check: serve.score_stream(asked, model, out, check),
+    )
+    return found.select("doc_id", "label", "sentiment", rounded("probability", "probability"))
+
+
+def run_sizes(spark, sf):
+    prepared = training.prepare(tables.labelled(spark, sf), "amazon", "none")
+    fitted = training.fit_terms(prepared)
+    return fitted.vocab.agg(
+        F.count(F.lit(1)).alias("vocabulary_size"),
+        F.lit(prepared.train_rows).cast("bigint").alias("train_rows"),
+        F.lit(prepared.test_rows).cast("bigint").alias("test_rows"),
+    )
+
+
 def predict(spark, sf):
     """A model fitted on the labelled documents, applied to every document."""
     prepared = training.prepare(tables.labelled(spark, sf), "amazon", "none")
@@ -387,9 +552,11 @@ def predict(spark, sf):
 
 
 def grid_runs(spark, sf):
+    """Both corpora, all vectorizers, all reductions."""
+    corpora_of = {"amazon": tables.labelled, "sentiment140": tables.short_texts}
     runs = training.run_grid(
-        lambda _: tables.labelled(spark, sf), ["amazon"], ["bow", "tfidf", "bm25"],
-        ["none", "stem"],
+        lambda name: corpora_of[name](spark, sf), list(corpora_of),
+        reductions=["none", "stem", "lemma"],
     )
     return runs.drop("duration_seconds", "model_path", "report_path")
 
@@ -457,6 +624,19 @@ QUERIES: dict[str, Query] = {
     "bm25_search_many": bm25_search_many,
     "search_responses": search_responses,
     "rejected_requests": rejected_requests,
+    "svd_gram": svd_gram,
+    "wide_sink": wide_sink,
+    "reviews_csv": reviews_csv,
+    "messages_csv": messages_csv,
+    "repeated_ids": repeated_ids,
+    "repeated_ids_split": repeated_ids_split,
+    "index_roundtrip": index_roundtrip,
+    "search_one": search_one,
+    "search_top_200": search_top_200,
+    "stream_hits": stream_hits,
+    "score_given": score_given,
+    "stream_scores": stream_scores,
+    "run_sizes": run_sizes,
     "class_weights": class_weights,
     "binary_metrics": binary_metrics,
     "class_report": class_report,

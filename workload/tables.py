@@ -61,6 +61,11 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def short_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """``(doc_id, text, label)`` of the messages."""
+    return labels.label_messages(messages(spark, sf)).select("doc_id", "text", "label")
+
+
 def requests(spark: SparkSession, sf: str) -> DataFrame:
     """Search requests from all benchmark texts; a rule makes some of them invalid."""
     items = spark.read.parquet(f"{sf}/benchmark.parquet")
@@ -83,10 +88,11 @@ def judged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def term_vectors(spark: SparkSession, sf: str, vocabulary: DataFrame) -> DataFrame:
-    """``(term, embedding)``: the n-th vector of the table for the n-th vocabulary term."""
+    """``(term, embedding)``: every vocabulary term gets a vector of the table, in turn."""
     table = spark.read.parquet(f"{sf}/embeddings.parquet")
+    count = table.count()
     vectors = table.select(
-        F.col("vec_id").cast("int").alias("term_id"),
-        F.col("embedding").cast("array<double>").alias("embedding"),
+        F.col("vec_id").alias("turn"), F.col("embedding").cast("array<double>").alias("embedding")
     )
-    return vocabulary.join(vectors, "term_id").select("term", "embedding")
+    turned = vocabulary.withColumn("turn", (F.col("term_id") % count).cast("bigint"))
+    return turned.join(vectors, "turn").select("term", "embedding")
