@@ -47,7 +47,8 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
-_scopes = threading.local()
+# Paths to delete by thread; a plain dict, as functions of the package travel by value.
+_scopes: dict[int, list[str]] = {}
 
 
 @contextmanager
@@ -56,13 +57,15 @@ def staging(spark: SparkSession):
 
     For work that is finished within the block: a micro-batch, a written result.
     """
-    outer, _scopes.paths = getattr(_scopes, "paths", None), []
+    thread = threading.get_ident()
+    outer, _scopes[thread] = _scopes.get(thread), []
     try:
         yield
     finally:
-        paths, _scopes.paths = _scopes.paths, outer
-        for path in paths:
+        for path in _scopes.pop(thread):
             discard(spark, path)
+        if outer is not None:
+            _scopes[thread] = outer
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -79,8 +82,8 @@ def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFra
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    if getattr(_scopes, "paths", None) is not None:
-        _scopes.paths.append(path)
+    if threading.get_ident() in _scopes:
+        _scopes[threading.get_ident()].append(path)
     df.write.parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)
 
