@@ -16,7 +16,8 @@ from workload.queries import QUERIES
 HEADLINE = (
     "norm_standard norm_pages_tweet stem doc_freq bow tfidf bm25_weights cooccurrence ppmi "
     "mean_embedding nearest_vectors bm25_search bm25_search_many stratified_split class_report "
-    "train_bow train_tfidf train_bm25 train_embedding nearest_words predict"
+    "train_bow train_tfidf train_bm25 train_embedding train_tfidf_stem nearest_words lsa_terms predict "
+    "index_roundtrip search_one stream_hits stream_scores repeated_ids svd_gram score_given"
 ).split()
 
 

@@ -94,3 +94,20 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ledger")).count() == 2
     sinks.write_summary(table, str(tmp_path / "json"))
     assert spark.read.json(str(tmp_path / "json")).count() == 1
+
+
+def test_head_fills_up_with_rows_without_a_key(spark):
+    rows = [(i if i < 100 else None, f"t{i}") for i in range(150)]
+    df = spark.createDataFrame(rows, "Id bigint, text string")
+    for n in (60, 100, 120, 150, 200):
+        got = sampling.head(df, n, "Id").collect()
+        assert len(got) == min(n, 150)
+        assert sum(r.Id is not None for r in got) == min(n, 100)
+
+
+def test_samples_of_repeated_ids_are_exact(spark):
+    rows = [(i % 20, f"t{i}", i % 2) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    assert sampling.draw(df, 33).count() == 33
+    flagged = sampling.stratified_flag(df, 0.2)
+    assert flagged.where("is_test").groupBy("label").count().orderBy("label").collect() == [(0, 8), (1, 8)]

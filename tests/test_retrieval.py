@@ -40,9 +40,38 @@ def test_sentiment_and_unknown_terms(stored):
 
 def test_top_k_rules(stored):
     assert retrieval.search(stored, "coffee tea", top_k=2).count() == 2
-    for bad in (0, 51):
-        with pytest.raises(ValueError):
-            retrieval.search(stored, "coffee", top_k=bad)
+    with pytest.raises(ValueError):
+        retrieval.search(stored, "coffee", top_k=0)
+
+
+def test_more_hits_than_a_form_may_ask_for(spark):
+    rows = [(i, "same words", 1) for i in range(130)]
+    index = retrieval.fit_index(
+        spark.createDataFrame(rows, "doc_id bigint, text string, label int"), Normalizer()
+    )
+    assert retrieval.search(index, "same words", top_k=120).count() == 120
+
+
+def test_whole_texts_are_stored(spark, tmp_path):
+    long = "word other " * 300
+    docs = spark.createDataFrame([(1, long, 1), (1, "other word", 0)], "doc_id bigint, text string, label int")
+    path = retrieval.build_index(docs, str(tmp_path / "index"), Normalizer(reduction="none"), k1=1.2, b=0.5)
+    index = retrieval.load_index(spark, path)
+    assert sorted(len(r.text) for r in index.documents.collect()) == [10, len(long)]
+    assert (index.k1, index.b) == (1.2, 0.5)
+    hits = retrieval.search(index, "other word").collect()
+    assert [h.doc_id for h in hits] == ["1", "1"] and max(len(h.text) for h in hits) == 500
+
+
+def test_batches_read_wanted_folders_only(spark, stored):
+    asked = spark.createDataFrame(
+        [(1, "tea", None, 5)], "query_id bigint, query string, sentiment string, top_k int"
+    )
+    terms = retrieval.query_weights(stored, asked)
+    pruned = retrieval._pruned(stored.postings, terms, "term_id", stored.term_width)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert "bucket" in filters and pruned.count() < stored.postings.count()
 
 
 def test_stored_index_equals_fitted_one(spark, documents, stored):

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -52,9 +54,9 @@ def test_classifier_is_at_the_optimum(spark):
     x = np.where(rng.random((80, 30)) < 0.15, rng.random((80, 30)) * 9, 0)
     y = (x[:, 0] + 0.3 * rng.random(80) > 0.4).astype(int)
     rows = [(int(i), int(y[i]), int(j), float(x[i, j])) for i, j in zip(*x.nonzero(), strict=True)]
-    cells = spark.createDataFrame(rows, "doc_id int, label int, term_id int, weight double")
-    docs = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id int, label int")
-    weights = cells.select("doc_id", "term_id", "weight")
+    cells = spark.createDataFrame(rows, "row_id int, label int, term_id int, weight double")
+    docs = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "row_id int, label int")
+    weights = cells.select("row_id", "term_id", "weight")
     features = learn.sparse_features(docs, weights, 30)
     model = learn.fit_classifier(features, len(rows), tol=1e-8)
     w, b = model.coefficients.toArray(), model.intercept
@@ -64,9 +66,9 @@ def test_classifier_is_at_the_optimum(spark):
     # Scoring in long form equals the model's own transform.
     coefs = learn.coefficients(spark, model)
     scored = learn.predictions(learn.score_weights(docs, weights, coefs, b, 30))
-    ours = {r.doc_id: r.probability for r in scored.collect()}
-    for row in model.transform(features).select("doc_id", "prediction", "probability").collect():
-        assert abs(row.probability[int(row.prediction)] - ours[row.doc_id]) < 1e-9
+    ours = {r.row_id: r.probability for r in scored.collect()}
+    for row in model.transform(features).select("row_id", "prediction", "probability").collect():
+        assert abs(row.probability[int(row.prediction)] - ours[row.row_id]) < 1e-9
 
 
 def test_metrics_without_positives(spark):
@@ -93,6 +95,41 @@ def test_stream_equals_batch(spark, prepared, corpus, tmp_path):
     assert sorted(streamed) == sorted(training.predict(model, corpus).select(*columns).collect())
 
 
+def test_equal_ids_are_predicted_apart(spark, prepared):
+    model = training.fit_model(prepared, "tfidf")
+    asked = spark.createDataFrame([(1, GOOD), (1, BAD)], "doc_id bigint, text string")
+    assert sorted(r.sentiment for r in training.predict(model, asked).collect()) == [
+        "negative", "positive"
+    ]
+
+
+def test_stream_leaves_no_staged_table(spark, corpus, tmp_path):
+    """What a micro-batch of searches stages is gone when the stream has ended."""
+    from textweir.operators import retrieval
+    from textweir.session import scratch_root
+    from textweir.streaming.serve import search_stream
+
+    index = retrieval.fit_index(corpus, training.normalizer_for("amazon", "none"))
+    asked = spark.createDataFrame(
+        [(1, "coffee", None, 3), (2, "great", "positive", 2)],
+        "query_id bigint, query string, sentiment string, top_k int",
+    )
+    asked.write.parquet(str(tmp_path / "in"))
+    before = set(Path(scratch_root(spark)).iterdir())
+    stream = spark.readStream.schema(asked.schema).parquet(str(tmp_path / "in"))
+    search_stream(stream, index, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    assert set(Path(scratch_root(spark)).iterdir()) == before
+
+
+def test_compare_representations(spark, corpus, tmp_path):
+    out = str(tmp_path / "runs")
+    runs = training.compare_representations(
+        lambda _: corpus, ["amazon"], out, vectorizers=["bow", "tfidf"], reductions=["none"]
+    )
+    assert runs.count() == 2 and spark.read.json(f"{out}.metrics").first().rows == 2
+
+
 def test_grid_writes_runs_and_best_values(spark, corpus, tmp_path):
     out, ledger = str(tmp_path / "runs"), str(tmp_path / "ledger")
     runs = training.compare_reductions(

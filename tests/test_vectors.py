@@ -7,7 +7,8 @@ from textweir.operators import cooccurrence, nearest, svd, terms, weights
 
 def _docs(spark, texts):
     rows = list(enumerate(texts))
-    return spark.createDataFrame(rows, "doc_id bigint, clean string").repartition("doc_id")
+    docs = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "row_id bigint, doc_id bigint, clean string")
+    return docs.repartition("row_id")
 
 
 def test_bm25_golden(spark):
@@ -106,6 +107,49 @@ def test_svd_of_empty_and_low_rank(spark):
     assert np.allclose(rows[1], 0) and len(rows) == 4
 
 
+def test_svd_of_low_rank_in_many_panels(spark, monkeypatch):
+    """More panels than rank: the same decomposition."""
+    rng = np.random.default_rng(2)
+    matrix = np.outer(rng.random(40), rng.random(30)) + np.outer(rng.random(40), rng.random(30))
+    rows = [(i, j, float(matrix[i, j])) for i in range(40) for j in range(30)]
+    cells = spark.createDataFrame(rows, "row_id int, col_id int, x double")
+    monkeypatch.setattr(svd, "_PANEL_BYTES", 40 * 8)
+    found, sigma = svd.truncated_svd(cells, 40, 6)
+    got = np.array([r.embedding for r in found.orderBy("row_id").collect()])
+    exact = np.linalg.svd(matrix)[1][:6]
+    assert np.allclose(sigma[:2], exact[:2]) and np.allclose(sigma[2:], 0, atol=1e-6)
+    assert np.allclose(got @ got.T, matrix @ matrix.T)
+
+
+def test_rows_of_one_id_stay_apart(spark):
+    """Two documents share an id: each keeps its own counts and weights."""
+    docs = spark.createDataFrame(
+        [(1, "red red"), (1, "blue"), (2, "red blue")], "doc_id bigint, clean string"
+    )
+    counts = terms.term_counts(terms.by_document(docs)).select("doc_id", "term", "tf").collect()
+    assert sorted(tuple(r) for r in counts) == [
+        (1, "blue", 1), (1, "red", 2), (2, "blue", 1), (2, "red", 1)
+    ]
+    fitted = terms.fit_terms(docs, (1, 1), 1, None)
+    found = weights.tfidf(terms.by_document(docs), fitted.vocab, (1, 1), fitted.n_docs, None)
+    lone = sorted(r.weight for r in found.collect() if r.doc_id == 1)
+    assert np.allclose(lone, [1.0, 1.0])
+
+
+def test_nearest_against_all_pairs(spark):
+    rng = np.random.default_rng(4)
+    table = np.round(rng.random((60, 3)), 1)
+    table /= np.linalg.norm(table, axis=1)[:, None] + 1e-12
+    rows = [(f"k{i:02d}", [float(x) for x in v]) for i, v in enumerate(table)]
+    vectors = spark.createDataFrame(rows, "term string, embedding array<double>")
+    found = nearest.nearest(vectors, vectors.select("term"), 5).collect()
+    got = {(r.term, r["rank"]): r.neighbor for r in found}
+    scores = np.round(table @ table.T, 12)
+    for i in range(60):
+        order = sorted((j for j in range(60) if j != i), key=lambda j: (-scores[i, j], j))[:5]
+        assert [got[f"k{i:02d}", n + 1] for n in range(5)] == [f"k{j:02d}" for j in order]
+
+
 def test_nearest_breaks_ties_by_key_and_skips_unknown(spark):
     vectors = spark.createDataFrame(
         [("a", [1.0, 0.0]), ("c", [0.6, 0.8]), ("b", [0.6, 0.8]), ("d", [0.0, 1.0])],

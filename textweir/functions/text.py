@@ -32,8 +32,9 @@ CONTRACTIONS = (
 )
 # The default stop words, and the negations dropped on request.
 STOPWORDS = (
-    "a an and are as at be by for from has he in is it its of on that the to was were will with"
-).split()
+    "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "has", "he", "in", "is", "it",
+    "its", "of", "on", "that", "the", "to", "was", "were", "will", "with",
+)
 NEGATIONS = ("no", "nor", "not")
 # The ASCII punctuation characters.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"

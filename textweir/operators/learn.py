@@ -71,13 +71,15 @@ def _evening_row(training: DataFrame, rows: int) -> DataFrame:
 
     Spark always fits on features divided by their deviation, which turns an equal L2
     penalty into a very unequal one: rare terms make it converge in hundreds of passes. The
-    row evens the deviations out, so the fit runs on the features as they are. Its share of
-    the loss stays below 1e-6 of the coefficients.
+    row evens the deviations out, so the fit runs on the features as they are. Its weight falls
+    with the number of rows, so its share of the gradient, 1e-8 deviations, is the same at
+    every size.
     """
     summary = Summarizer.metrics("variance").summary(F.col("features"), F.col("class_weight"))
     variance = training.select(summary.alias("s")).first()["s"]["variance"].toArray()
-    values = np.sqrt((variance.max(initial=0.0) - variance) * rows / _NEGLIGIBLE)
-    row = (1.0, _NEGLIGIBLE, Vectors.dense(values))
+    weight = _NEGLIGIBLE / max(rows, 1)
+    values = np.sqrt((variance.max(initial=0.0) - variance) * rows / weight)
+    row = (1.0, weight, Vectors.dense(values))
     return training.sparkSession.createDataFrame([row], training.schema).coalesce(1)
 
 

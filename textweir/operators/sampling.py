@@ -87,7 +87,7 @@ def head(df: DataFrame, n: int, key: str) -> DataFrame:
     rest = n - df.where(keyed).count()
     if rest <= 0:
         return df.where(keyed)
-    tie = F.xxhash64(*df.columns)
+    tie = F.shiftrightunsigned(F.xxhash64(*df.columns), 2)
     last = key_bounds(df.where(~keyed), tie, tie, {0: rest}, F.lit(0))
     return df.where(keyed | (tie <= last[0])) if last else df
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+# Stop words, contractions and punctuation, as in the normalizer.
 STOP = (
-    "a an and are as at be by for from has he in is it its of on that the to was were will with"
-).split()
+    "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "has", "he", "in", "is", "it",
+    "its", "of", "on", "that", "the", "to", "was", "were", "will", "with",
+)
 CONTRACTIONS = [
     ("can't", "can not"), ("cannot", "can not"), ("won't", "will not"), ("n't", " not"),
     ("'re", " are"), ("'s", " is"), ("'d", " would"), ("'ll", " will"), ("'t", " not"),
@@ -266,7 +268,7 @@ def binary(where: str, by: str = "") -> str:
   FROM {where}) GROUP BY {first}tp, said, real"""
 
 
-# The suffix rules of the stemmer, as SQL over the distinct tokens.
+# The suffix rules and irregular words of the stemmer; SQL over the distinct tokens.
 
 STEP_2 = [
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
