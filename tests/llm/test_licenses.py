@@ -31,7 +31,8 @@ FILES = [
 
 def frame(spark, rows):
     return spark.createDataFrame(
-        [(p, t, "x", 1) for p, t in rows], "path string, text string, license string, folder int"
+        [(p, t, "x", 1, 2) for p, t in rows],
+        "path string, text string, license string, folder int, at int",
     )
 
 
@@ -78,7 +79,7 @@ def plain(rows):
 
 def result(df):
     found = licenses.scan(df)
-    assert set(found.columns) == {"path", "text", "folder", "license", "cosine", "origin", "license_folder"}
+    assert set(found.columns) == {"path", "text", "folder", "at", "license", "cosine", "origin", "license_folder"}
     return ordered((r.path, r.license, r.origin, r.license_folder) for r in found.collect())
 
 

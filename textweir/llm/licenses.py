@@ -188,7 +188,7 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", cosine: float
     idf, foreign = inverse_frequency(files, text)
     taken = ("license", "cosine", "origin", "license_folder")
     base = files.drop(*[c for c in files.columns if c.lower() in taken])
-    folder, own, up = (fresh(n, base) for n in ("folder", "own", "up"))
+    folder, own, up, at = (fresh(n, base) for n in ("folder", "own", "up", "at"))
     scored = base.withColumn(own, statements(F.col(text), idf, foreign, cosine))
     scored = scored.withColumn(folder, F.regexp_extract(F.col(path), r"(?s)^(.*)/[^/]*$", 1))
     count = F.size(_words(F.translate(_plain(F.coalesce(F.col(text), F.lit(""))), "\n", " ")))
@@ -204,8 +204,9 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", cosine: float
     nearest = above.join(given, "folder").groupBy("at").agg(
         F.max_by(F.struct("folder", "best"), "depth").alias(up)
     )
-    nearest = broadcast_if_measured(stage(nearest, "folder-licenses"), ["at"])
-    whole = scored.join(nearest, F.col(folder) == F.col("at"), "left").drop("at")
+    nearest = nearest.withColumnRenamed("at", at)
+    nearest = broadcast_if_measured(stage(nearest, "folder-licenses"), [at])
+    whole = scored.join(nearest, F.col(folder) == F.col(at), "left").drop(at)
     mine = F.array_max(own)
     is_own = F.size(own) > 0
     return whole.select(

@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textweir.llm.common import digest, row_key
+from textweir.llm.common import digest, fresh, row_key
 from textweir.session import broadcast_if_measured, stage
 
 # A window of this many words must be found wherever it occurs; a shorter item is one window.
@@ -195,8 +195,9 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a hit word, all columns kept."""
-    bad = contamination(docs, items).where("n_hit > 0").select(F.col("key").alias("__bad"))
-    return docs.join(bad, row_key(docs).eqNullSafe(F.col("__bad")), "left_anti")
+    name = fresh("bad", docs)
+    bad = contamination(docs, items).where("n_hit > 0").select(F.col("key").alias(name))
+    return docs.join(bad, row_key(docs).eqNullSafe(F.col(name)), "left_anti")
 
 
 def items_digest(items: Column) -> Column:
