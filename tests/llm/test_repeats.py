@@ -76,14 +76,15 @@ def test_bytes(spark):
     assert byte_result(table(spark, rows)) == bytes_without_repeats(rows, 100)
 
 
-def test_bytes_in_split_shards(spark, monkeypatch):
+def test_split_shards(spark, monkeypatch):
     """Frequent anchors dealt over many shards and merged."""
     rows = unique(texts())
-    monkeypatch.setattr(suffix, "HOT", 1)
-    monkeypatch.setattr(suffix, "SHARD", 2_000)
-    default = suffix.repeated_spans.__defaults__
-    monkeypatch.setattr(suffix.repeated_spans, "__defaults__", (default[0], 1))
+    monkeypatch.setattr(repeats, "SHARD", 2_000)
+    for module in (suffix, substring):
+        default = module.repeated_spans.__defaults__
+        monkeypatch.setattr(module.repeated_spans, "__defaults__", (*default[:-1], 1))
     assert byte_result(table(spark, rows)) == bytes_without_repeats(rows, 100)
+    assert word_result(table(spark)) == words_without_repeats(texts(), 50)
 
 
 def test_equal_rows_and_ids(spark):

@@ -17,13 +17,20 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textweir.llm.common import grouped
+from textweir.session import stage
+
 
 
 # Characters of text that are worked on at once, to bound the memory of a task.
 CHUNK = 1 << 20
 LAST = (1 << 63) - 1
+# Snippets of one anchor that one shard takes; an anchor with more is dealt over several.
+HOT = 10_000
+# Bytes of a shard, about; more bytes make more shards.
+SHARD = 1 << 20
 
-ANCHORS = "k long, h long, snip long, at int, n int"
+ANCHORS = "k long, d long, h long, snip long, at int, n int"
 
 
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -51,26 +58,27 @@ def chunks(column: pa.Array):
 
 
 def anchors(docs: DataFrame, find: Callable) -> DataFrame:
-    """``(k, h, snip, at, n)``: anchor hash, snippet hash, first window and number of windows.
+    """``(k, d, h, snip, at, n)``: anchor, snippet hash, first window and number of windows.
 
     ``find(texts)`` gives ``(text number, h, snip, at, n)`` as arrays.
     """
 
     def run(batches):
         for batch in batches:
-            keys = batch.column("k").to_numpy()
+            keys, order = batch.column("k").to_numpy(), batch.column("d").to_numpy()
             for rows, texts in chunks(batch.column("text")):
                 owner, h, snip, at, n = find(texts)
+                of = np.array(rows)[owner]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(keys[np.array(rows)[owner]], pa.int64()),
+                        pa.array(keys[of]), pa.array(order[of]),
                         pa.array(h.view(np.int64)), pa.array(snip.view(np.int64)),
                         pa.array(at, pa.int32()), pa.array(n, pa.int32()),
                     ],
-                    names=["k", "h", "snip", "at", "n"],
+                    names=["k", "d", "h", "snip", "at", "n"],
                 )
 
-    return docs.select("k", "text").mapInArrow(run, ANCHORS)
+    return docs.select("k", "d", "text").mapInArrow(run, ANCHORS)
 
 
 def packed(docs: DataFrame, *columns: str) -> DataFrame:
@@ -96,14 +104,17 @@ def unpack(column: pa.Array):
 
 
 def snippets(docs: DataFrame, asked: DataFrame, cut: Callable, schema: str) -> DataFrame:
-    """Snippets of texts: ``asked (k, h, d, at, n)`` with what ``cut`` takes from the text.
+    """Snippets of texts: ``asked (h, k, d, at, n, salts)`` with what ``cut`` takes of the text.
 
-    ``cut(text, h, d, k, at, n)`` gives the columns of ``schema`` for one text; each text
-    crosses the network once, compressed, whatever is asked of it.
+    ``cut(text, at, n)`` gives the bytes of one text's snippets; each text crosses the network
+    once, compressed, whatever is asked of it.
     """
     names = [part.split()[0] for part in schema.split(", ")]
-    wanted = asked.groupBy("k").agg(F.collect_list(F.struct("h", "d", "at", "n")).alias("asked"))
-    texts = packed(docs, "k").join(wanted, "k")
+    wanted = asked.groupBy("k").agg(
+        F.collect_list(F.struct("h", "d", "at", "n", "salts")).alias("asked")
+    )
+    # Equal rows have one ``k`` and are asked once; the join has already dealt them by ``k``.
+    texts = packed(docs, "k").join(wanted, "k").dropDuplicates(["k"])
 
     def run(batches):
         for batch in batches:
@@ -111,8 +122,9 @@ def snippets(docs: DataFrame, asked: DataFrame, cut: Callable, schema: str) -> D
             for k, text, want in zip(
                 batch.column("k").to_pylist(), unpack(batch.column("z")), batch.column("asked"), strict=True
             ):
-                items = want.values.flatten()
-                parts.append(cut(text, k, *(c.to_numpy(zero_copy_only=False) for c in items)))
+                h, d, at, n, salts = (c.to_numpy(zero_copy_only=False) for c in want.values.flatten())
+                wide = (c.astype(np.int64) for c in (np.full(len(h), k), d, at, n))
+                parts.append((h, *wide, salts, cut(text, at, n)))
                 if sum(len(p[0]) for p in parts) >= CHUNK >> 6:
                     yield _batch(parts, names)
                     parts = []
@@ -140,9 +152,114 @@ def occurrences(docs: DataFrame, find: Callable) -> DataFrame:
     """
     found = anchors(docs, find)
     often = anchors(docs, find).groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    places = found.join(often.select("h"), "h")
-    ids = docs.select("k", "d").distinct()
-    return places.join(ids, "k").select("h", "snip", "k", "d", "at", "n")
+    return found.join(often.select("h"), "h").select("h", "snip", "k", "d", "at", "n")
+
+
+def shards(batches, equal: Callable, by_document: bool):
+    """Repeats within one shard, and what an anchor dealt over several shards leaves to merge.
+
+    ``equal(parts, counts)`` gives ``(class, snippet, window of the snippet)`` and a function
+    that names windows by 16 bytes. A window repeats if its class holds one of a smaller ``d``
+    (``by_document``), or an earlier ``(d, k, at)``.
+    """
+    rows = [b for b in batches if b.num_rows]
+    if not rows:
+        return
+    table = pa.Table.from_batches(rows)
+    k, d, at, n = (table[c].to_numpy() for c in ("k", "d", "at", "n"))
+    dealt = table["salts"].to_numpy() > 1
+    (group, owner, inside), name = equal(table["part"].to_pylist(), n)
+    place = at[owner] + inside
+    order = np.lexsort((place, k[owner], d[owner], group))
+    group, owner, inside, place = group[order], owner[order], inside[order], place[order]
+    first = np.concatenate([[True], group[1:] != group[:-1]])
+    late = ~first
+    if by_document:
+        lowest = np.maximum.accumulate(np.where(first, np.arange(len(group)), 0))
+        late = d[owner] > d[owner[lowest]]
+    left = np.flatnonzero(~late & dealt[owner])
+    names = np.frombuffer(name(owner[left], inside[left]), np.int64).reshape(-1, 2)
+    late = np.flatnonzero(late)
+    picked = np.concatenate([late, left])
+    zeros = np.zeros(len(late), np.int64)
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(d[owner[picked]]), pa.array(k[owner[picked]]), pa.array(place[picked]),
+            pa.array(np.concatenate([zeros, names[:, 0]])),
+            pa.array(np.concatenate([zeros, names[:, 1]])),
+            pa.array(np.concatenate([zeros, np.ones(len(left), np.int64)])),
+        ],
+        names=["d", "k", "at", "w1", "w2", "open"],
+    )
+
+
+def merge(batches, by_document: bool):
+    """Repeats among the leftovers of several shards, sorted by window and place.
+
+    The shards' ordered windows are one ordered run here; binary search finds where each
+    window's run begins, and what comes after its first place (or smallest ``d``) is a repeat.
+    """
+    for table in grouped(batches, "w1"):
+        w1, w2, d = (table[c].to_numpy() for c in ("w1", "w2", "d"))
+        begin = np.searchsorted(w1, w1, "left")
+        other = np.flatnonzero(np.concatenate([[True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])]))
+        begin = np.maximum(begin, other[np.searchsorted(other, np.arange(len(w1)), "right") - 1])
+        late = d > d[begin] if by_document else begin < np.arange(len(w1))
+        late = np.flatnonzero(late)
+        yield pa.RecordBatch.from_arrays(
+            [table["k"].combine_chunks().take(late), table["at"].combine_chunks().take(late)],
+            names=["k", "at"],
+        )
+
+
+def repeated(
+    docs: DataFrame,
+    find: Callable,
+    cut: Callable,
+    equal: Callable,
+    by_document: bool,
+    hot: int,
+    window_bytes: int,
+) -> DataFrame:
+    """``(k, at, n)``: the runs of windows that repeat. ``docs`` as from ``keyed``.
+
+    ``window_bytes`` is about the size of a window; the number of shards follows from it.
+
+    All copies of a snippet but the first are settled as a whole. The first copies meet in
+    shards by anchor: equal windows have equal anchors, so a shard settles all its windows.
+    Only an anchor with more than ``hot`` different snippets is dealt over several shards,
+    whose leftovers are merged. Windows of one snippet differ, as they lie differently around
+    its one anchor; so an anchor with a single snippet has nothing left to compare.
+    """
+    places = stage(occurrences(docs, find), "anchors")
+    place = F.struct("d", "k", "at")
+    first = places.groupBy("h", "snip").agg(F.min(place).alias("first"), F.first("n").alias("n"))
+    compared = places.join(first.drop("n"), ["h", "snip"])
+    counts = first.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    counts = counts.select("h", F.ceil(F.col("c") / hot).cast("int").alias("salts"))
+    if by_document:
+        later = compared.where(F.col("d") > F.col("first.d"))
+        asked = compared.where(F.col("d") == F.col("first.d")).select("h", "k", "d", "at", "n").distinct()
+    else:
+        later = compared.where(place > F.col("first"))
+        asked = first.select("h", "first.k", "first.d", "first.at", "n")
+    asked = stage(asked.join(counts, "h"), "asked")
+    size = asked.agg(F.coalesce(F.sum(F.col("n") + window_bytes), F.lit(0))).first()[0]
+    parts = snippets(
+        docs, asked, cut, "h long, k long, d long, at long, n long, salts int, part binary"
+    )
+    salt = F.pmod(F.xxhash64("part"), F.col("salts"))
+    dealt = parts.repartition(max(1, -(-size // SHARD)), "h", salt)
+    found = dealt.mapInArrow(
+        lambda batches: shards(batches, equal, by_document),
+        "d long, k long, at long, w1 long, w2 long, open long",
+    )
+    found = stage(found, "repeats")
+    left = found.where("open = 1").repartition("w1").sortWithinPartitions("w1", "w2", "d", "k", "at")
+    merged = left.mapInArrow(lambda batches: merge(batches, by_document), "k long, at long")
+    single = found.where("open = 0").select("k", "at").union(merged)
+    single = single.select("k", F.col("at").cast("int"), F.lit(1).alias("n"))
+    return later.select("k", "at", "n").union(single)
 
 
 def removals(docs: DataFrame, spans: DataFrame, remove: Callable, schema: str) -> DataFrame:

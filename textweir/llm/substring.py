@@ -5,11 +5,9 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from textweir.llm import repeats
 from textweir.llm.hashing import xxh64
-from textweir.session import stage
 
 WINDOW = 50
 # Rounds of pair naming; a symbol grows by about a third in each.
@@ -141,50 +139,59 @@ def find(texts: list[bytes], window: int = WINDOW, rounds: int = ROUNDS):
     return owner, name[at], np.array(snip, np.uint64), at - first[at], n
 
 
-def _windows(window: int):
-    """Hashes of the asked windows of one text, once each: ``(w1, w2, k, d, at)``."""
+def _lines(parts: list[bytes]) -> tuple[list[int], list[int], np.ndarray]:
+    """Where the words of the snippets begin and end, end to end, and the words of each."""
+    split = [p.split(b" ") for p in parts]
+    count = np.fromiter(map(len, split), np.int64, len(split))
+    words = [w for mine in split for w in mine]
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(size + 1) - 1
+    return (ends - size).tolist(), ends.tolist(), count
 
-    def cut(text: bytes, k: int, h, d, at, n):
-        words = text.split()
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        line = b" ".join(words)
-        ends = np.cumsum(size + 1) - 1
-        starts = ends - size
-        places = np.unique(np.concatenate([np.arange(a, a + c) for a, c in zip(at, n, strict=True)]))
+
+def _equal(window: int):
+    """Classes of equal windows by 128-bit hashes of their words."""
+
+    def equal(parts: list[bytes], counts: np.ndarray):
+        starts, ends, words = _lines(parts)
+        line = b" ".join(parts)
+        owner = np.repeat(np.arange(len(parts)), counts)
+        inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+        first = np.repeat(np.cumsum(words) - words, counts) + inside
         of = xxhash.xxh3_128_digest
-        hashes = b"".join(
-            of(line[x:y])
-            for x, y in zip(starts[places].tolist(), ends[places + window - 1].tolist(), strict=True)
-        )
-        both = np.frombuffer(hashes, np.int64).reshape(-1, 2)
-        many = len(places)
-        return both[:, 0], both[:, 1], np.full(many, k), np.full(many, d[0]), places
+        names = b"".join(of(line[starts[a] : ends[a + window - 1]]) for a in first.tolist())
+        both = np.frombuffer(names, np.int64).reshape(-1, 2)
+        order = np.lexsort((both[:, 1], both[:, 0]))
+        near = both[order]
+        group = np.cumsum(np.concatenate([[0], (near[1:] != near[:-1]).any(axis=1)]))
+        begin = np.cumsum(counts) - counts
+
+        def name(some_owner, some_inside):
+            return both[begin[some_owner] + some_inside].tobytes()
+
+        return (group, owner[order], inside[order]), name
+
+    return equal
+
 
-    return cut
+def _cut(text: bytes, at: np.ndarray, n: np.ndarray, window: int) -> list[bytes]:
+    words = text.split()
+    return [
+        b" ".join(words[a : a + c - 1 + window]) for a, c in zip(at.tolist(), n.tolist(), strict=True)
+    ]
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, hot: int = repeats.HOT
+) -> DataFrame:
     """``(k, at, n)``: runs of windows that also start in a document with a smaller id.
 
-    ``docs`` as from ``repeats.keyed``. Snippets that are equal as a whole are settled by the
-    smallest id among them; only one copy of each snippet whose anchor has other snippets too
-    is compared window by window, by 128-bit hashes of the words.
+    ``docs`` as from ``repeats.keyed``. Shared symbols reveal the repeats; the words of the
+    snippets around them verify each window.
     """
-    places = stage(
-        repeats.occurrences(docs, lambda texts: find(texts, window, rounds)), "word-anchors"
-    )
-    lowest = places.groupBy("h", "snip").agg(F.min("d").alias("low"))
-    compared = places.join(lowest, ["h", "snip"])
-    later = compared.where("d > low").select("k", "at", "n")
-    variants = lowest.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
-    asked = compared.where("d = low").join(variants, "h", "left_semi")
-    windows = repeats.snippets(
-        docs, asked, _windows(window), "w1 long, w2 long, k long, d long, at long"
-    )
-    windows = stage(windows, "windows")
-    least = windows.groupBy("w1", "w2").agg(F.min("d").alias("low"))
-    single = windows.join(least, ["w1", "w2"]).where("d > low")
-    return later.union(single.select("k", F.col("at").cast("int"), F.lit(1).alias("n")))
+    find_ = lambda texts: find(texts, window, rounds)
+    cut = lambda text, at, n: _cut(text, at, n, window)
+    return repeats.repeated(docs, find_, cut, _equal(window), True, hot, 8 * window)
 
 
 def _remove(window: int):

@@ -3,22 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from textweir.llm import repeats
-from textweir.llm.common import grouped
-from textweir.session import stage
 
 WINDOW = 100
 # Bytes of an anchor. Every window holds ``WINDOW - GRAM + 1`` of them.
 GRAM = 32
-# Snippets of one anchor that one shard takes; the anchors beyond are dealt over several shards.
-HOT = 10_000
-# Bytes of a shard, about; more bytes make more shards.
-SHARD = 4 << 20
 _LANES = 64
 _RANDOM = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _ODD = np.random.default_rng(21).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -180,111 +172,33 @@ def equal_windows(parts: list[bytes], counts: np.ndarray, window: int):
     return group[starts], owner[place], inside[place]
 
 
+def _equal(window: int):
+    def equal(parts: list[bytes], counts: np.ndarray):
+        def name(owner, inside):
+            of = xxhash.xxh3_128_digest
+            pairs = zip(owner.tolist(), inside.tolist(), strict=True)
+            return b"".join(of(parts[o][i : i + window]) for o, i in pairs)
+
+        return equal_windows(parts, counts, window), name
+
+    return equal
+
+
 def _cut(window: int):
-    def cut(text: bytes, k: int, h, d, at, n):
-        many = len(at)
-        parts = [text[a : a + c - 1 + window] for a, c in zip(at.tolist(), n.tolist(), strict=True)]
-        return h, np.full(many, k), d, at.astype(np.int64), n.astype(np.int64), parts
+    def cut(text: bytes, at: np.ndarray, n: np.ndarray) -> list[bytes]:
+        return [text[a : a + c - 1 + window] for a, c in zip(at.tolist(), n.tolist(), strict=True)]
 
     return cut
 
 
-def _shards(window: int):
-    """Repeats within each shard, and what an anchor dealt over shards leaves to be merged."""
-
-    def run(batches):
-        rows = [b for b in batches if b.num_rows]
-        if not rows:
-            return
-        table = pa.Table.from_batches(rows)
-        h, k, d, at, n = (table[c].to_numpy() for c in ("h", "k", "d", "at", "n"))
-        hot = table["salts"].to_numpy() > 1
-        parts = table["part"].to_pylist()
-        group, owner, inside = equal_windows(parts, n, window)
-        place = at[owner] + inside
-        # Within a class the first place in order of id and text stays.
-        order = np.lexsort((place, k[owner], d[owner], group))
-        group, owner, inside, place = group[order], owner[order], inside[order], place[order]
-        first = np.concatenate([[True], group[1:] != group[:-1]])
-        left = first & hot[owner]
-        digest = xxhash.xxh3_128_digest
-        names = b"".join(
-            digest(parts[o][i : i + window])
-            for o, i in zip(owner[left].tolist(), inside[left].tolist(), strict=True)
-        )
-        both = np.frombuffer(names, np.int64).reshape(-1, 2)
-        out = np.flatnonzero(~first)
-        picked = np.concatenate([out, np.flatnonzero(left)])
-        zeros = np.zeros(len(out), np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(d[owner[picked]]), pa.array(k[owner[picked]]), pa.array(place[picked]),
-                pa.array(np.concatenate([zeros, both[:, 0]])),
-                pa.array(np.concatenate([zeros, both[:, 1]])),
-                pa.array(np.concatenate([zeros, np.ones(len(both), np.int64)])),
-            ],
-            names=["d", "k", "at", "w1", "w2", "open"],
-        )
-
-    return run
-
-
-def _merge(batches):
-    """Repeats among the leftovers of several shards, sorted by window and place.
-
-    The shards' ordered windows are one ordered run here; binary search finds where each
-    window's run begins, and what is not its first place is a repeat.
-    """
-    for table in grouped(batches, "w1"):
-        w1, w2 = table["w1"].to_numpy(), table["w2"].to_numpy()
-        begin = np.searchsorted(w1, w1, "left")
-        other = np.flatnonzero(np.concatenate([[True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])]))
-        begin = np.maximum(begin, other[np.searchsorted(other, np.arange(len(w1)), "right") - 1])
-        late = np.flatnonzero(begin < np.arange(len(w1)))
-        yield pa.RecordBatch.from_arrays(
-            [table["k"].combine_chunks().take(late), table["at"].combine_chunks().take(late)],
-            names=["k", "at"],
-        )
-
-
-def repeated_spans(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = WINDOW, hot: int = repeats.HOT) -> DataFrame:
     """``(k, at, n)``: runs of windows whose bytes also start earlier.
 
     ``docs`` as from ``repeats.keyed``; earlier is a smaller id, then a smaller ``k`` (texts
-    that share an id), then an earlier place. All copies of a snippet but the first are
-    settled as a whole. The first copies meet in shards by anchor: equal windows have equal
-    anchors, so a shard's suffix array settles all its windows. Only the windows of an anchor
-    with more than ``hot`` different snippets are dealt over several shards and merged.
+    that share an id), then an earlier place. A shard settles its windows by a suffix array.
     """
-    places = stage(repeats.occurrences(docs, lambda texts: find(texts, window)), "byte-anchors")
-    place = F.struct("d", "k", "at")
-    first = places.groupBy("h", "snip").agg(F.min(place).alias("first"))
-    compared = places.join(first, ["h", "snip"])
-    later = compared.where(place > F.col("first")).select("k", "at", "n")
-    counts = first.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    counts = counts.select("h", F.ceil(F.col("c") / hot).cast("int").alias("salts"))
-    asked = compared.where(place == F.col("first")).select("h", "k", "d", "at", "n")
-    # Windows of one snippet differ, as they lie differently around its one anchor; so an anchor
-    # with a single snippet has nothing left to compare.
-    shared = asked.join(counts.select("h"), "h", "left_semi")
-    parts = repeats.snippets(
-        docs, shared, _cut(window),
-        "h long, k long, d long, at long, n long, part binary",
-    )
-    parts = stage(parts, "snippets")
-    size = parts.agg(F.coalesce(F.sum(F.octet_length("part")), F.lit(0))).first()[0]
-    shards = max(1, -(-size // SHARD))
-    dealt = parts.join(counts, "h")
-    salt = F.pmod(F.xxhash64("part"), F.col("salts"))
-    dealt = dealt.repartition(shards, "h", salt)
-    found = dealt.mapInArrow(
-        _shards(window), "d long, k long, at long, w1 long, w2 long, open long"
-    )
-    found = stage(found, "shard-repeats")
-    left = found.where("open = 1").repartition("w1").sortWithinPartitions("w1", "w2", "d", "k", "at")
-    merged = left.mapInArrow(_merge, "k long, at long")
-    single = found.where("open = 0").select("k", "at").union(merged)
-    return later.union(single.select("k", F.col("at").cast("int"), F.lit(1).alias("n")))
+    find_ = lambda texts: find(texts, window)
+    return repeats.repeated(docs, find_, _cut(window), _equal(window), False, hot, window)
 
 
 def _remove(window: int):
