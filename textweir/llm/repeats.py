@@ -148,11 +148,12 @@ def occurrences(docs: DataFrame, find: Callable) -> DataFrame:
     """``(h, snip, k, d, at, n)``: every place of every anchor that occurs in more than one place.
 
     Counting is a partial aggregate over hashes, so copies and frequent passages add one row
-    for each task; the join back is split by adaptive execution where an anchor is frequent.
+    for each task. Both sides of the join back are stored or plain, so adaptive execution can
+    split it where an anchor is frequent.
     """
-    found = anchors(docs, find)
     often = anchors(docs, find).groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    return found.join(often.select("h"), "h").select("h", "snip", "k", "d", "at", "n")
+    often = stage(often.select("h"), "often")
+    return anchors(docs, find).join(often, "h").select("h", "snip", "k", "d", "at", "n")
 
 
 def shards(batches, equal: Callable, by_document: bool):
@@ -234,6 +235,7 @@ def repeated(
     places = stage(occurrences(docs, find), "anchors")
     place = F.struct("d", "k", "at")
     first = places.groupBy("h", "snip").agg(F.min(place).alias("first"), F.first("n").alias("n"))
+    first = stage(first, "first")
     compared = places.join(first.drop("n"), ["h", "snip"])
     counts = first.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     counts = counts.select("h", F.ceil(F.col("c") / hot).cast("int").alias("salts"))
