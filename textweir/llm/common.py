@@ -70,3 +70,14 @@ def shape(text: str) -> StructType:
 def hex_print(fingerprint: Column) -> Column:
     """Sixteen lowercase hex digits of a signed 64-bit number."""
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
+
+
+def below(h: Column, count: int, rows: int) -> Column:
+    """True for about one and a half times ``rows`` of ``count`` signed 64-bit hashes.
+
+    A first cut of a sample by smallest hash, so that sorting it moves a bounded number of
+    rows, however many tasks there are.
+    """
+    if count <= 2 * rows:
+        return F.lit(True)
+    return h < -(1 << 63) + (3 * rows << 63) // count

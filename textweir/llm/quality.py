@@ -12,6 +12,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textweir.llm.common import below
+from textweir.session import stage
+
 # Bounds of the fit: labelled rows of each class, and UTF-8 bytes of one such text.
 FIT_ROWS = 3_000
 FIT_BYTES = 1 << 16
@@ -124,8 +127,8 @@ def fit(
     """Learn from at most ``rows`` labelled texts of each class.
 
     ``docs (doc_id, text)``, ``labels (doc_id, quality 0/1)``; null ids, null labels and
-    held-out ids are left out. The sample is the rows of each class with the smallest hash of
-    their id, texts up to ``FIT_BYTES``. Half of it makes the dictionaries, the other half the
+    held-out ids are left out. The sample is the distinct texts of each class with the smallest
+    hash of their id, texts up to ``FIT_BYTES``. Half of it makes the dictionaries, the other half the
     calibration, weighted to the shares of the classes among all labels. Without both classes
     every score is the share of class 1, and 0.5 without labels.
     """
@@ -135,13 +138,20 @@ def fit(
     counts = {int(r["label"]): r["count"] for r in known.groupBy("label").count().collect()}
     if len(counts) < 2:
         return QualityModel(levels=[float(next(iter(counts), 0.5))])
-    chosen = [known.where(F.col("label") == c).orderBy("h", "doc_id").limit(rows) for c in (0, 1)]
-    few = F.broadcast(chosen[0].union(chosen[1]))  # two times ``rows`` short rows at most
+    few = F.lit(False)
+    for c, count in counts.items():
+        few |= (F.col("label") == c) & below(F.col("h"), count, rows)
+    # About three times ``rows`` short rows at most.
+    few = F.broadcast(known.where(few).distinct())
     texts = docs.select("doc_id", "text").where(
         F.col("doc_id").isNotNull() & (F.octet_length(F.coalesce("text", F.lit(""))) <= FIT_BYTES)
     )
-    sample = texts.join(few, "doc_id").select("text", "label", "h", F.xxhash64("text").alias("t"))
-    found = sample.orderBy("h", "t").limit(2 * rows).toPandas()
+    sample = texts.join(few, "doc_id").groupBy("label", "h", F.xxhash64("text").alias("t"))
+    sample = stage(sample.agg(F.first("text").alias("text")), "quality-texts")
+    found = [
+        sample.where(F.col("label") == c).orderBy("h", "t").limit(rows).toPandas() for c in (0, 1)
+    ]
+    found = pd.concat(found)
     halves: dict[tuple[int, int], list[bytes]] = {}
     for c, group in found.groupby("label"):
         whole = [(t or "").encode() for t in group["text"]]
