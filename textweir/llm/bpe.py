@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
 from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,9 +24,12 @@ PATTERN = regex.compile(
 # Pieces of up to this many bytes are merged side by side in numpy, longer ones one by one.
 SIDE_BY_SIDE = 64
 # Pieces whose tokens a worker remembers, and characters split at once: bounds of its memory.
-CACHE = 200_000
-CHUNK = 1 << 20
-_NONE = 1 << 30
+CACHE = 150_000
+CHUNK = 1 << 19
+# Bytes of the pieces that are merged in step: their trees stay in the processor's cache.
+_STEP = 1 << 16
+# More than any rank; times the largest side-by-side size it still fits 32 bits.
+_NONE = 1 << 24
 
 
 def byte_chars() -> list[str]:
@@ -45,7 +51,10 @@ class _Memory:
         self.order: dict[int, int] = {}
 
 
-_memory = _Memory()
+def _process() -> dict:
+    """What outlives a task. Functions travel by value, so module globals do not: each task
+    would keep, and leave behind, a memory of its own."""
+    return sys.modules.setdefault("_textweir_process", ModuleType("_textweir_process")).__dict__
 
 
 @dataclass
@@ -69,10 +78,10 @@ class ByteBpe:
 
     def memory(self, renew: bool = False) -> _Memory:
         """What this process remembers of this vocabulary; of one vocabulary at a time."""
-        global _memory
-        if renew or _memory.name != self.name:
-            _memory = _Memory(self.name)
-        return _memory
+        kept = _process().get("bpe")
+        if renew or kept is None or kept.name != self.name:
+            kept = _process()["bpe"] = _Memory(self.name)
+        return kept
 
     # -- encoding ---------------------------------------------------------------------------
 
@@ -80,7 +89,7 @@ class ByteBpe:
         """Rank of each pair, ``_NONE`` where it does not merge."""
         key = (left.astype(np.int64) << 32) + right
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where(self.pairs[at] == key, self.rank[at], _NONE)
+        return np.where(self.pairs[at] == key, self.rank[at], np.int32(_NONE))
 
     def merge_one(self, piece: bytes) -> list[int]:
         """Tokens of one piece, by one segment tree over its adjacent pairs.
@@ -133,74 +142,71 @@ class ByteBpe:
         round applies every row's root and updates three leaves of each, level by level.
         """
         rows = len(pieces)
-        length = np.fromiter(map(len, pieces), np.int64, rows)
-        ids = np.zeros((rows, size + 1), np.int64)
-        ids[np.arange(size + 1) < length[:, None]] = self.base[
-            np.frombuffer(b"".join(pieces), np.uint8)
-        ]
-        place = np.arange(size)
-        tree = np.full((rows, 2 * size), _NONE * size, np.int64)
-        inner = place < length[:, None] - 1
-        tree[:, size:][inner] = (
-            self.ranks(ids[:, :-1][inner], ids[:, 1:][inner]) * size
-            + np.broadcast_to(place, inner.shape)[inner]
-        )
+        length = np.fromiter(map(len, pieces), np.int32, rows)
+        place = np.arange(size + 1, dtype=np.int32)
+        ids = np.zeros((rows, size + 1), np.int32)
+        alive = place < length[:, None]
+        ids[alive] = self.base[np.frombuffer(b"".join(pieces), np.uint8)]
+        none = np.int32(_NONE * size)
+        tree = np.full((rows, 2 * size), none, np.int32)
+        inner = place[:-1] < length[:, None] - 1
+        first = self.ranks(ids[:, :-1][inner], ids[:, 1:][inner]) * size
+        tree[:, size:][inner] = first + np.broadcast_to(place[:-1], inner.shape)[inner]
         for i in range(size - 1, 0, -1):
             np.minimum(tree[:, 2 * i], tree[:, 2 * i + 1], out=tree[:, i])
-        after = np.tile(np.arange(1, size + 2), (rows, 1))
-        before = np.tile(np.arange(-1, size), (rows, 1))
-        alive = np.arange(size + 1) < length[:, None]
-        row = np.flatnonzero(tree[:, 1] < _NONE * size)
+        after = np.tile(place + 1, (rows, 1))
+        before = np.tile(place - 1, (rows, 1))
+        row = np.flatnonzero(tree[:, 1] < none)
         while len(row):
             root = tree[row, 1]
             i = root & (size - 1)
             j = after[row, i]
             k = after[row, j]
             p = before[row, i]
-            ids[row, i] = self.merged[root // size]
+            back = np.maximum(p, 0)
+            here = self.merged[root // size]
+            ids[row, i] = here
             alive[row, j] = False
             after[row, i] = k
-            before[row, np.minimum(k, size)] = i
-            end = length[row]
-            here, right, left = ids[row, i], ids[row, np.minimum(k, size)], ids[row, np.maximum(p, 0)]
-            new = np.where(k < end, self.ranks(here, right), _NONE) * size + i
-            old = np.where(p >= 0, self.ranks(left, here), _NONE) * size + np.maximum(p, 0)
-            tree[row, size + j] = _NONE * size
+            ahead = np.minimum(k, size)
+            before[row, ahead] = i
+            pairs = self.ranks(
+                np.concatenate([here, ids[row, back]]), np.concatenate([ids[row, ahead], here])
+            )
+            new = np.where(k < length[row], pairs[: len(row)], _NONE) * size + i
+            old = pairs[len(row) :] * size + back
+            tree[row, size + j] = none
             tree[row, size + i] = new
-            tree[row, size + np.maximum(p, 0)] = np.where(p >= 0, old, tree[row, size])
-            spots = [(size + x) >> 1 for x in (j, i, np.maximum(p, 0))]
-            while spots[0][0] >= 1:
+            tree[row, size + back] = np.where(p >= 0, old, tree[row, size])
+            spots = [size + j, size + i, size + back]
+            for _ in range(size.bit_length() - 1):
+                spots = [x >> 1 for x in spots]
                 for x in spots:
                     tree[row, x] = np.minimum(tree[row, 2 * x], tree[row, 2 * x + 1])
-                spots = [x >> 1 for x in spots]
-            row = row[tree[row, 1] < _NONE * size]
-        return ids[alive], alive.sum(axis=1)
+            row = row[tree[row, 1] < none]
+        return ids[:, :-1][alive[:, :-1]], alive.sum(axis=1)
 
     def _learn(self, pieces: list[str]) -> None:
         """Remember the tokens of new pieces."""
         memory = self.memory()
-        whole = sorted(((p.encode(), p) for p in pieces), key=lambda x: len(x[0]))
-        found, counts, at = [memory.ids], [np.diff(memory.ends)], 0
-        size = 4
-        while at < len(whole):
-            stop = at
-            if size <= SIDE_BY_SIDE:
-                while stop < len(whole) and len(whole[stop][0]) <= size and stop - at < CHUNK // size:
-                    stop += 1
-                if stop > at:
-                    ids, n = self.merge_many([b for b, _ in whole[at:stop]], size)
-                    found.append(ids)
-                    counts.append(n)
-                else:
-                    size *= 2
-            else:
-                ids = self.merge_one(whole[at][0])
-                found.append(np.array(ids))
-                counts.append(np.array([len(ids)]))
-                stop = at + 1
-            for _, p in whole[at:stop]:
-                memory.known[p] = len(memory.known)
-            at = stop
+        data = [p.encode() for p in pieces]
+        length = np.fromiter(map(len, data), np.int64, len(data))
+        order = np.argsort(length, kind="stable")
+        found, counts = [memory.ids], [np.diff(memory.ends)]
+        whole = [data[i] for i in order]
+        at, size = 0, 4
+        while size <= SIDE_BY_SIDE:
+            stop = int(np.searchsorted(length[order], size, "right"))
+            for a in range(at, stop, _STEP // size):
+                ids, n = self.merge_many(whole[a : min(a + _STEP // size, stop)], size)
+                found.append(ids)
+                counts.append(n)
+            at, size = stop, 2 * size
+        for piece in whole[at:]:
+            found.append(np.array(self.merge_one(piece)))
+            counts.append(np.array([len(found[-1])]))
+        numbers = range(len(memory.known), len(memory.known) + len(pieces))
+        memory.known.update(zip([pieces[i] for i in order], numbers, strict=True))
         memory.ids = np.concatenate(found).astype(np.int32)
         memory.ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
 
@@ -217,7 +223,7 @@ class ByteBpe:
             pieces += PATTERN.findall(text, at)
             borders.append(len(pieces))
         memory = self.memory()
-        new = set(pieces) - memory.known.keys()
+        new = {p for p in pieces if p not in memory.known}
         if len(memory.known) + len(new) > CACHE:
             memory = self.memory(renew=True)
             new = set(pieces)
@@ -298,9 +304,9 @@ def load(path: str) -> ByteBpe:
         content_of[i] = token.encode()
     return ByteBpe(
         keys[order],
-        order.astype(np.int64),
-        np.array([vocab[a + b] for a, b in merges], np.int64),
-        np.array([vocab[c] for c in chars], np.int64),
+        order.astype(np.int32),
+        np.array([vocab[a + b] for a, b in merges], np.int32),
+        np.array([vocab[c] for c in chars], np.int32),
         np.frombuffer(b"".join(content_of), np.uint8),
         np.concatenate([[0], np.cumsum([len(c) for c in content_of])]),
         added,
@@ -308,13 +314,25 @@ def load(path: str) -> ByteBpe:
     )
 
 
+def _slices(column: pa.Array, size: np.ndarray):
+    """Stretches of a column of about ``CHUNK`` bytes, so that little is unpacked at once."""
+    step = np.cumsum(size) // CHUNK
+    cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), len(column)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield column.slice(a, b - a)
+
+
 def encode(text: Column, bpe: ByteBpe) -> Column:
     """Token ids ``array<int>`` of whole texts, added tokens included; null gives no tokens."""
 
     @F.arrow_udf("array<int>")
     def of(texts: pa.Array) -> pa.Array:
-        ids, counts = bpe.encode([t or "" for t in texts.to_pylist()])
-        return lists(ids, np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+        parts = []
+        size = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+        for part in _slices(texts, size):
+            ids, counts = bpe.encode([t or "" for t in part.to_pylist()])
+            parts.append(lists(ids, np.concatenate([[0], np.cumsum(counts)]), pa.int32()))
+        return pa.concat_arrays(parts)
 
     return of(text)
 
@@ -327,9 +345,13 @@ def decode(ids: Column, bpe: ByteBpe) -> Column:
 
     @F.arrow_udf("string")
     def of(column: pa.Array) -> pa.Array:
-        counts = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        flat = column.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-        return pa.array(bpe.decode(flat, counts.astype(np.int64)), pa.string())
+        parts = []
+        size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        for part in _slices(column, 4 * size.astype(np.int64)):
+            counts = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat = part.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+            parts.append(pa.array(bpe.decode(flat, counts.astype(np.int64)), pa.string()))
+        return pa.concat_arrays(parts)
 
     return of(ids)
 
