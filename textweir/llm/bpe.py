@@ -24,7 +24,7 @@ PATTERN = regex.compile(
 # Pieces of up to this many bytes are merged side by side in numpy, longer ones one by one.
 SIDE_BY_SIDE = 64
 # Pieces whose tokens a worker remembers, and characters split at once: bounds of its memory.
-CACHE = 150_000
+CACHE = 400_000
 CHUNK = 1 << 19
 # Bytes of the pieces that are merged in step: their trees stay in the processor's cache.
 _STEP = 1 << 16
