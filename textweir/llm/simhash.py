@@ -45,13 +45,12 @@ def _votes(hashes: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
     return votes
 
 
-def simhash(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
-    """Unsigned fingerprints: each bit by majority over the hashes of a text's shingles.
+def shingle_hashes(texts: list[bytes], shingle: int):
+    """``(hashes, owner, texts)`` for stretches of texts: a hash for each shingle, owners ascend.
 
     Words are runs of non-blanks, A-Z lower-cased; fewer words than a shingle form one
-    shingle; no word gives 0.
+    shingle; no word gives none.
     """
-    prints = [np.zeros(0, np.uint64)]
     at = 0
     while at < len(texts):
         words: list[bytes] = []
@@ -70,9 +69,18 @@ def simhash(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
         begin = np.flatnonzero((place + shingle - 1 <= final) | (place == first))
         stop = np.minimum(begin + shingle - 1, final[begin])
         starts = (ends - size)[begin]
-        hashes = xxh64(b" ".join(words), starts, ends[stop] - starts, SEED)
-        total = np.bincount(owner[begin], minlength=len(count))
-        bits = 2 * _votes(hashes, owner[begin], len(count)) > total[:, None]
+        yield xxh64(b" ".join(words), starts, ends[stop] - starts, SEED), owner[begin], len(count)
+
+
+def simhash(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
+    """Unsigned fingerprints: each bit by majority over the hashes of a text's shingles.
+
+    Shingles as from ``shingle_hashes``; no word gives 0.
+    """
+    prints = [np.zeros(0, np.uint64)]
+    for hashes, owner, count in shingle_hashes(texts, shingle):
+        total = np.bincount(owner, minlength=count)
+        bits = 2 * _votes(hashes, owner, count) > total[:, None]
         prints.append(np.packbits(bits, axis=1).view(">u8").ravel().astype(np.uint64))
     return np.concatenate(prints)
 
