@@ -148,3 +148,27 @@ def test_empty_tables(spark):
 @pytest.mark.parametrize("name", ["op1_substring_dedup", "op9_suffix_dedup"])
 def test_queries_keep_every_document(spark, name):
     assert queries.QUERIES[name](spark, SF).count() == 200
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_windows_of_long_shared_passages(seed):
+    """Passages of 128 to 168 bytes in several snippets: classes are exactly the equal windows."""
+    rng = np.random.default_rng(seed)
+    draw = lambda n: rng.integers(97, 100, n, dtype=np.uint8).tobytes()
+    passage = draw(168)
+    parts = []
+    for _ in range(30):
+        size = int(rng.integers(128, 169))
+        at = int(rng.integers(0, 169 - size))
+        parts.append(draw(int(rng.integers(0, 20))) + passage[at : at + size] + draw(int(rng.integers(0, 20))))
+    counts = np.array([len(p) - 99 for p in parts])
+    group, owner, inside = suffix.equal_windows(parts, counts, 100)
+    assert len(group) == counts.sum()
+    found, names = {}, {}
+    for g, o, i in zip(group.tolist(), owner.tolist(), inside.tolist(), strict=True):
+        window = parts[o][i : i + 100]
+        assert found.setdefault(g, window) == window and names.setdefault(window, g) == g
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    order, _ = suffix.suffix_array(data, len(data))
+    line = data.tobytes()
+    assert order.tolist() == sorted(range(len(line)), key=lambda i: line[i:])

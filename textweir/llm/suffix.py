@@ -128,7 +128,8 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, limit: int) -> np.ndarr
     """Common prefix of each suffix with the one before it in order, up to ``limit`` bytes.
 
     Kasai's rule, in lanes: the value at a place is at least that of the place before, less
-    one. Each lane walks its own stretch of the text, all lanes side by side.
+    one. That holds only for the whole order, so no suffixes may be left tied in ``order``.
+    Each lane walks its own stretch of the text, all lanes side by side.
     """
     n = len(data)
     before = np.full(n, -1)
@@ -162,7 +163,7 @@ def equal_windows(parts: list[bytes], counts: np.ndarray, window: int):
     data = np.frombuffer(b"".join(parts), np.uint8)
     size = np.fromiter(map(len, parts), np.int64, len(parts))
     first = np.cumsum(size) - size
-    order, _ = suffix_array(data, window)
+    order, _ = suffix_array(data, len(data))
     common = common_prefixes(data, order, window)
     group = np.cumsum(common < window)
     owner = np.repeat(np.arange(len(parts)), size)
