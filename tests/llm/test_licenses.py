@@ -111,3 +111,19 @@ def test_anchors_lose_no_line(cosine):
     for _, vector in templates:
         light = math.sqrt(sum(x * x for w, x in vector.items() if w not in needed))
         assert light < cosine
+
+
+@pytest.mark.parametrize("files", [40, 4000])
+def test_embedded_and_wrapped_statements(spark, files):
+    own = [
+        "This project is released under the MIT License.",
+        "Released under the MIT License, see LICENSE file",
+        "Copyright 2024 Jane Doe. Released under the MIT License.",
+        "# This project is released\n# under the MIT\n# License.\ncode",
+    ]
+    prose = "this project has a file to see and is copyright of the house"
+    rows = [(f"p{n}/x.py", t) for n, t in enumerate(own)]
+    rows += [(f"q{n}/y.py", f"{prose} {n}") for n in range(files)]
+    found = {r.path: r.license for r in licenses.scan(frame(spark, rows)).collect()}
+    assert [found[p] for p, _ in rows[: len(own)]] == ["MIT"] * len(own)
+    assert {found[p] for p, _ in rows[len(own) :]} == {None}

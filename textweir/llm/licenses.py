@@ -72,12 +72,12 @@ def vocabulary() -> list[str]:
 
 
 def inverse_frequency(files: DataFrame, text: str = "text") -> tuple[dict[str, float], float]:
-    """Weight of each template term over all files, and that of a term no template has.
+    """Weight of each template term over all files, and that of a term in no file.
 
-    ``ln((files + 1) / (files with the term + 1)) + 1``; a foreign term counts as in no file.
+    ``ln((files + 1) / (files with the term + 1)) + 1``.
     """
     known = F.array(*map(F.lit, vocabulary()))
-    words = _words(F.translate(_plain(F.coalesce(F.col(text), F.lit(""))), "\n", " "))
+    words = _stream(F.col(text))
     held = files.select(F.explode_outer(F.array_intersect(known, words)).alias("term"))
     counts = {r["term"]: r["n"] for r in held.groupBy("term").agg(F.count("*").alias("n")).collect()}
     total = files.count()
@@ -117,18 +117,52 @@ def _mapping(values: dict[str, float]) -> Column:
     return F.map_from_arrays(keys, F.array(*map(F.lit, values.values())))
 
 
-def statements(
-    text: Column, idf: dict[str, float], foreign: float, cosine: float = COSINE
-) -> Column:
-    """License statements of a whole text: ``array<struct<cosine, license, words>>``.
+def _stream(text: Column) -> Column:
+    return _words(F.translate(_plain(F.coalesce(text, F.lit(""))), "\n", " "))
+
 
-    Every line is compared with every template; of equal cosines the later name counts.
+def _share(words: Column, vector: dict[str, float]) -> Column:
+    """The squared share of a template's vector that some words hold, repeats ignored.
+
+    By the Cauchy-Schwarz inequality no text of these words has a larger squared cosine.
+    """
+    squares = _mapping({w: x * x for w, x in vector.items()})
+    known = F.array_intersect(F.array(*map(F.lit, vector)), words)
+    return F.aggregate(known, F.lit(0.0), lambda a, w: a + F.try_element_at(squares, w))
+
+
+def _units(words: Column, lines: Column, templates, cosine: float) -> Column:
+    """What is compared: ``array<struct<at, words>>`` with places in the words of the text.
+
+    Lines that hold an anchor, and for each template all windows of as many words as it has
+    that begin with one of its words, across lines, and share enough of it.
     """
-    templates = vectors(idf)
     needed = F.array(*map(F.lit, anchors(templates, cosine)))
-    lines = F.transform(F.split(_plain(F.coalesce(text, F.lit(""))), "\n"), _words)
-    likely = F.filter(lines, lambda words: F.arrays_overlap(words, needed))
-    weight = _mapping(idf)
+    starts = F.aggregate(
+        lines, F.array(F.lit(1)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.size(x)))
+    )
+    placed = F.zip_with(starts, lines, lambda at, x: F.struct(at.alias("at"), x.alias("words")))
+    found = [F.filter(placed, lambda u: u["words"].isNotNull() & F.arrays_overlap(u["words"], needed))]
+    floor = cosine * cosine - 1e-9
+
+    def windows(vector: dict[str, float], length: int) -> Column:
+        own = F.array(*map(F.lit, vector))
+        places = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)))
+        begin = F.filter(places, lambda i: F.coalesce(F.array_contains(own, F.get(words, i - 1)), F.lit(False)))
+        cut = F.transform(begin, lambda i: F.struct(i.alias("at"), F.slice(words, i, length).alias("words")))
+        likely = F.filter(cut, lambda u: _share(u["words"], vector) >= floor)
+        return F.when(_share(words, vector) >= floor, likely).otherwise(F.slice(placed, 1, 0))
+
+    lengths = [len(template_words(t)) for texts in TEMPLATES.values() for t in texts]
+    found += [windows(vector, n) for (_, vector), n in zip(templates, lengths, strict=True)]
+    return F.array_distinct(F.concat(*found))
+
+
+def _scores(units: Column, weight: Column, foreign: float, templates, cosine: float) -> Column:
+    """The units from ``cosine`` on: ``array<struct<cosine, license, at, words>>``.
+
+    Every unit is compared with every template; of equal cosines the later name counts.
+    """
     table = F.array(
         *[F.struct(F.lit(n).alias("license"), _mapping(v).alias("vector")) for n, v in templates]
     )
@@ -153,15 +187,63 @@ def statements(
             table,
             lambda t: F.struct(
                 F.round(dot(t) / norm, 9).alias("cosine"), t["license"].alias("license"),
-                line["n"].alias("words"),
+                line["at"].alias("at"), line["n"].alias("words"),
             ),
         )
         return F.array_max(found)
 
-    weighed = F.transform(likely, lambda words: F.struct(weights(words).alias("v"), F.size(words).alias("n")))
+    weighed = F.transform(
+        units, lambda u: F.struct(weights(u["words"]).alias("v"), F.size(u["words"]).alias("n"), u["at"].alias("at"))
+    )
     return F.filter(F.transform(weighed, best), lambda s: s["cosine"] >= cosine)
 
 
+def statements(
+    files: DataFrame, text: str = "text", cosine: float = COSINE
+) -> DataFrame:
+    """``(h, best, whole)`` of each distinct text with license statements, by hash of the text.
+
+    ``best`` is the best statement, ``whole`` says that statements hold ``FILE_SHARE`` of the
+    words. Every word is weighed by the files that hold it: the words of the compared units
+    are counted over all files and joined back by text.
+    """
+    idf, foreign = inverse_frequency(files, text)
+    templates = vectors(idf)
+    total = files.count()
+    stream = _stream(F.col(text))
+    held = F.array_intersect(F.array(*map(F.lit, vocabulary())), stream)
+    maybe = F.lit(False)
+    for _, vector in templates:
+        maybe |= _share(F.col("held"), vector) >= cosine * cosine - 1e-9
+    lines = F.transform(F.split(_plain(F.coalesce(F.col(text), F.lit(""))), "\n"), _words)
+    likely = files.select(F.xxhash64(text).alias("h"), F.col(text).alias("t"), held.alias("held")).where(maybe)
+    likely = likely.groupBy("h").agg(F.first("t").alias(text))
+    likely = stage(likely.select("h", stream.alias("words"), lines.alias("lines")), "license-texts")
+    units = likely.select(
+        "h", F.size("words").alias("n"), _units(F.col("words"), F.col("lines"), templates, cosine).alias("units")
+    )
+    units = stage(units.where(F.size("units") > 0), "license-units")
+    asked = units.select("h", F.explode(F.array_distinct(F.flatten(F.col("units.words")))).alias("w"))
+    asked = stage(asked, "license-words")
+    wanted = broadcast_if_measured(stage(asked.select("w").distinct(), "license-wanted"), ["w"])
+    every = files.select(F.explode(F.array_distinct(stream)).alias("w"))
+    counts = every.join(wanted, "w", "left_semi").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    weight = F.log((F.lit(total) + 1) / (F.col("n") + 1)) + 1
+    counts = stage(counts.select("w", weight.alias("x")), "license-weights")
+    maps = asked.join(counts, "w").groupBy("h").agg(
+        F.map_from_entries(F.collect_list(F.struct("w", "x"))).alias("weight")
+    )
+    scored = units.join(maps, "h").select(
+        "h", "n", _scores(F.col("units"), F.col("weight"), foreign, templates, cosine).alias("own")
+    )
+    scored = stage(scored.where(F.size("own") > 0), "license-statements")
+    covered = F.transform("own", lambda s: F.sequence(s["at"], s["at"] + s["words"] - 1))
+    return scored.select(
+        "h", F.array_max("own").alias("best"),
+        (F.size(F.array_distinct(F.flatten(covered))) >= FILE_SHARE * F.col("n")).alias("whole"),
+    )
+
+
 def _ancestors(folder: Column) -> Column:
     """The folder and all folders above it, ``array<struct<folder, depth>>``, the root as ``''``."""
     steps = F.split(folder, "/")
@@ -174,28 +256,26 @@ def _ancestors(folder: Column) -> Column:
 def scan(files: DataFrame, path: str = "path", text: str = "text", cosine: float = COSINE) -> DataFrame:
     """``files`` with ``license, cosine, origin, license_folder``; columns so named are replaced.
 
-    ``origin`` is ``own`` where a line of the whole text is like a template (the best line
-    counts), ``inherited`` where the nearest folder at or above the file holds a license file,
+    ``origin`` is ``own`` where a line of the whole text, or a window of as many words as a
+    template has, also across lines, is like a template (the best one counts), ``inherited`` where the nearest folder at or above the file holds a license file,
     else ``none`` with null license. A license file is one whose license statements hold
     ``FILE_SHARE`` of its words; several in a folder: the highest cosine, then the later name,
     counts. Paths are ``/``-separated; a null path inherits nothing and gives nothing on, an
     empty one lies in the root. Null and empty texts have no license of their own. Repeated
     rows stay.
 
-    Lines are scored inside their row. Folders, not files, look for their ancestors: each
+    Statements are found by distinct text and joined back. Folders, not files, look for their ancestors: each
     distinct folder is joined with the license folders by path, and files by their folder.
     """
-    idf, foreign = inverse_frequency(files, text)
     taken = ("license", "cosine", "origin", "license_folder")
     base = files.drop(*[c for c in files.columns if c.lower() in taken])
-    folder, own, up, at = (fresh(n, base) for n in ("folder", "own", "up", "at"))
-    scored = base.withColumn(own, statements(F.col(text), idf, foreign, cosine))
+    folder, mark, own, up, at = (fresh(n, base) for n in ("folder", "mark", "own", "up", "at"))
+    held = stage(statements(files, text, cosine).select(F.col("h").alias(mark), F.struct("best", "whole").alias(own)), "license-own")
+    held = broadcast_if_measured(held, [])
+    scored = base.withColumn(mark, F.xxhash64(text)).join(held, mark, "left").drop(mark)
     scored = scored.withColumn(folder, F.regexp_extract(F.col(path), r"(?s)^(.*)/[^/]*$", 1))
-    count = F.size(_words(F.translate(_plain(F.coalesce(F.col(text), F.lit(""))), "\n", " ")))
-    held = F.aggregate(own, F.lit(0), lambda a, s: a + s["words"])
-    marks = scored.where((F.size(own) > 0) & F.col(path).isNotNull()).select(
-        F.col(folder).alias("folder"), F.array_max(own).alias("best"),
-        (held >= FILE_SHARE * count).alias("whole"),
+    marks = scored.where(F.col(own).isNotNull() & F.col(path).isNotNull()).select(
+        F.col(folder).alias("folder"), F.col(own)["best"].alias("best"), F.col(own)["whole"].alias("whole")
     )
     given = marks.where("whole").groupBy("folder").agg(F.max("best").alias("best"))
     given = stage(given, "license-folders")
@@ -207,8 +287,8 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", cosine: float
     nearest = nearest.withColumnRenamed("at", at)
     nearest = broadcast_if_measured(stage(nearest, "folder-licenses"), [at])
     whole = scored.join(nearest, F.col(folder) == F.col(at), "left").drop(at)
-    mine = F.array_max(own)
-    is_own = F.size(own) > 0
+    mine = F.col(own)["best"]
+    is_own = F.col(own).isNotNull()
     return whole.select(
         *base.columns,
         F.when(is_own, mine["license"]).otherwise(F.col(up)["best"]["license"]).alias("license"),
