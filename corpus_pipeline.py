@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textweir.llm import bpe, near, quality, secrets, winnow
+from textweir.llm import bpe, quality, secrets, simhash, winnow
 from textweir.session import stage
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,8 +21,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by 0.8 or more of shared five-word shingles."""
-    return near.keep_one(docs)
+    """One document of each group linked by SimHash: three-word shingles, at most three bits."""
+    return simhash.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
