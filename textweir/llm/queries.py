@@ -9,7 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from textweir.llm import bpe, chat, fingerprint, licenses, quality, secrets, simhash, substring, suffix, winnow
+from textweir.llm import (
+    audit,
+    bpe,
+    chat,
+    fingerprint,
+    language,
+    licenses,
+    periodic,
+    quality,
+    secrets,
+    simhash,
+    substring,
+    suffix,
+    winnow,
+)
 from textweir.llm.common import digest, documents, hex_print
 from textweir.session import stage
 
@@ -133,6 +147,85 @@ def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return read.select("doc_id", *bpe.digests(F.col("ids"), F.col("decoded")))
 
 
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """What five filters remove in every order, by source."""
+    failed = audit.failures(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+    return audit.interactions(failed)
+
+
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), firsts AS (
+  SELECT text, min(doc_id) AS first_id FROM docs GROUP BY text
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+    max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+    100 * len(regexp_extract_all(docs.text, '[A-Z]')) > 5 * length(docs.text) AS c,
+    regexp_matches(docs.text, '[#$%&*|]') AS d, coalesce(doc_id > first_id, false) AS e
+  FROM docs JOIN firsts USING (text) LEFT JOIN marks USING (doc_id)
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM orders),
+kinds AS (
+  SELECT part, CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END
+    || CASE WHEN c THEN 'C' ELSE '' END || CASE WHEN d THEN 'D' ELSE '' END
+    || CASE WHEN e THEN 'E' ELSE '' END AS fails,
+    count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY ALL
+), placed AS (
+  SELECT part, filter_order, step, n, good, toxic, fails,
+    contains(fails, filter_order[step]) AS bad,
+    translate(fails, filter_order[1:step - 1], '') <> fails AS gone
+  FROM kinds, steps
+), counted AS (
+  SELECT part, filter_order, step,
+    coalesce(sum(n) FILTER (WHERE NOT bad AND NOT gone), 0) AS kept,
+    coalesce(sum(n) FILTER (WHERE bad AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (WHERE bad AND gone), 0) AS redundant,
+    coalesce(sum(n) FILTER (WHERE fails = filter_order[step]), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE bad AND NOT gone), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (WHERE bad AND NOT gone), 0) AS toxic_lost
+  FROM placed GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Periodic word runs of every document; the tail of a tenth of them repeats a stretch."""
+    docs = documents(spark, sf).select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    seed = F.when(h % 10 == 0, F.floor(h / 10))
+    bent = periodic.repeat_tail(F.when(seed.isNotNull(), F.col("text")), seed)
+    found = periodic.collapse(docs.withColumn("text", F.coalesce(bent, "text")))
+    top = periodic.greatest(F.col("runs"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[top[c].alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * top["length"] / top["period"]).alias("exponent_milli"),
+        periodic.runs_digest(F.col("runs")).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+def op13_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document; languages outside the held-out fifth are learned."""
+    docs = documents(spark, sf)
+    found = language.identify(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score",
+        F.size("spans").cast("long").alias("n_spans"),
+    )
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, sf)
@@ -151,9 +244,12 @@ QUERIES: dict[str, Query] = {
         op8_quality,
         op9_suffix_dedup,
         op10_bpe,
+        op11_filter_audit,
+        op12_periodic_runs,
+        op13_language_id,
         pipeline,
     )
 }
-ORACLES: dict[str, str] = {"op3_chat_format": OP3_SQL}
+ORACLES: dict[str, str] = {"op3_chat_format": OP3_SQL, "op11_filter_audit": OP11_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
