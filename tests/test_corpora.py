@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from textweir.operators import labels, sampling
 from textweir.sources import corpora, sinks
@@ -64,8 +65,8 @@ def test_unknown_sentiment_filters_nothing(spark):
 
 
 def test_samples_are_exact_on_skewed_keys(spark, monkeypatch):
-    """Keys far apart force several histogram rounds; the result stays exact."""
-    monkeypatch.setattr(sampling, "_RANKED_AT_ONCE", 10)
+    """Keys far apart, and brackets that are narrowed several times; the result stays exact."""
+    monkeypatch.setattr(sampling, "_LISTED", 10)
     keys = list(range(5000)) + [2**60 + i for i in range(3000)] + [-7]
     df = spark.createDataFrame([(k, k % 3 == 0) for k in keys], "k bigint, c boolean")
     for n in (1, 2, 4999, 5002, 7000, 8001, 9000):
@@ -111,3 +112,18 @@ def test_samples_of_repeated_ids_are_exact(spark):
     assert sampling.draw(df, 33).count() == 33
     flagged = sampling.stratified_flag(df, 0.2)
     assert flagged.where("is_test").groupBy("label").count().orderBy("label").collect() == [(0, 8), (1, 8)]
+
+
+@pytest.mark.parametrize("listed", [200_000, 3])
+def test_samples_where_one_key_fills_a_third(spark, monkeypatch, listed):
+    """Ties of a hot key are settled by row; rows with equal keys are not listed one by one."""
+    monkeypatch.setattr(sampling, "_LISTED", listed)
+    rows = [(7 if i % 3 == 0 else i, f"t{i}", None if i % 11 == 0 else i % 2) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    kept = {n: {r.text for r in sampling.draw(df, n).collect()} for n in (1, 250, 400, 899, 900)}
+    assert {n: len(texts) for n, texts in kept.items()} == {n: n for n in kept}
+    assert kept[1] <= kept[250] <= kept[400] <= kept[899] <= kept[900]
+    flagged = sampling.stratified_flag(df, 0.3)
+    sizes = {r.label: r.n for r in flagged.where("is_test").groupBy("label").agg(F.count("*").alias("n")).collect()}
+    total = {r.label: r.n for r in df.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    assert sizes == {label: int(0.3 * n + 0.5) for label, n in total.items()}
