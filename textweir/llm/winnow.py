@@ -12,6 +12,8 @@ from textweir.session import broadcast_if_measured, stage
 
 # A window of this many words must be found wherever it occurs; a shorter item is one window.
 SPAN = 10
+# Most slots of the bits that tell which hashes an item may have.
+SIEVE = 1 << 18
 _LOW = -(1 << 63)
 # A word is a run of a-z, 0-9 and everything beyond ASCII; A-Z become a-z first.
 _KEPT = set(string.ascii_letters + string.digits)
@@ -61,7 +63,32 @@ def _join_at(df, name: str, left: str, skip: int, right: str, width: int, join)
     return df.withColumn(name, F.zip_with(_tail(F.col(left), 0, size), _tail(F.col(right), skip, size), join))
 
 
-def _prints(df: DataFrame, name: str, span: int) -> DataFrame:
+def _sieve(known: DataFrame) -> tuple[Column, int]:
+    """One bit for each slot of a hash that an item has, as a constant array, and their number.
+
+    About one slot in 16 is set, up to ``SIEVE`` slots; a larger benchmark fills more of them,
+    and lets more hashes pass to the join, which decides. The driver holds the bits only.
+    """
+    rows, slots = known.count(), 1 << 12
+    while slots < min(16 * rows, SIEVE):
+        slots *= 2
+    slot = F.col("h").bitwiseAND(slots - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(31).cast("int"))
+    words = [0] * (slots // 32)
+    for row in known.groupBy(F.shiftright(slot, 5).alias("at")).agg(F.bit_or(bit).alias("bits")).collect():
+        words[row["at"]] = row["bits"]
+    return F.expr(f"array({','.join(f'{w}L' for w in words)})"), slots
+
+
+def _passes(sieve: tuple[Column, int] | None, h: Column) -> Column:
+    if sieve is None:
+        return F.lit(True)
+    bits, slots = sieve
+    slot = h.bitwiseAND(slots - 1)
+    return F.getbit(F.get(bits, F.shiftright(slot, 5).cast("int")), slot.bitwiseAND(31).cast("int")) == 1
+
+
+def _prints(df: DataFrame, name: str, span: int, sieve: tuple[Column, int] | None = None) -> DataFrame:
     """Add ``name``: an array of ``(at, h, near)`` that guarantees every run of ``span`` words.
 
     k-grams of half the span are hashed; each window of as many k-grams as fit into a span
@@ -69,6 +96,7 @@ def _prints(df: DataFrame, name: str, span: int) -> DataFrame:
     a kept hash at the same place. ``near`` holds the words of all spans around the k-gram, null
     beyond the text.
     A span below ``SPAN`` is the whole of a short item: then every k-gram of that length is kept.
+    Of the kept hashes only those that pass the ``sieve`` get their words.
     """
     k = span // 2 if span == SPAN else span
     window = span - k + 1
@@ -80,19 +108,14 @@ def _prints(df: DataFrame, name: str, span: int) -> DataFrame:
         pad = F.array_repeat(F.lit(_LOW), window - 1)
         df = df.withColumn("m", F.when(F.size("m") > 0, F.concat(pad, "m", pad)).otherwise(F.col("m")))
         df = _sliding(df, "m", window, lambda x, y: F.greatest(x, y))
-    df = df.withColumn("m", F.zip_with("g", "m", lambda x, y: F.when(x == y, x)))
     # Element by element, as a slice inside a lambda would copy the whole text for each k-gram.
     near = lambda i: F.array(*[F.get("words", i + d) for d in range(1 - window, span)])
+    kept = F.zip_with("g", "m", lambda x, y: F.when(x == y, F.xxhash64(x, F.lit(span))))
     found = F.transform(
-        "m",
+        kept,
         lambda h, i: F.when(
-            h.isNotNull(),
-            F.struct(
-                i.alias("at"),
-                F.xxhash64(h, F.lit(span)).alias("h"),
-                F.lit(span).alias("span"),
-                near(i).alias("near"),
-            ),
+            h.isNotNull() & _passes(sieve, h),
+            F.struct(i.alias("at"), h.alias("h"), F.lit(span).alias("span"), near(i).alias("near")),
         ),
     )
     return df.withColumn(name, F.filter(found, lambda x: x.isNotNull())).drop("g", "m")
@@ -126,18 +149,19 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     once; an item without an id hits words but is not listed. ``copies`` counts equal rows.
     Null and empty texts have no words and no hits; empty tables give no rows or no hits.
 
-    One pass over the texts: each document is exploded to its kept hashes, with the few words
-    around each, plus one row that stands for the document. The hashes of the items are
-    broadcast after their size is measured, otherwise joined by a shuffle; word by word
-    comparison then settles each candidate. Only hits and one short row per document are
+    One pass over the texts: each document is exploded to those kept hashes that pass a sieve of
+    the items' hashes, with the few words around each, plus one row that stands for the document.
+    The hashes of the items are broadcast after their size is measured, otherwise joined by a
+    shuffle; word by word comparison then settles each candidate. Only hits and one short row per document are
     shuffled to be counted.
     """
     known, short = item_prints(items)
+    sieve = _sieve(known)
     base = docs.select("doc_id", row_key(docs).alias("key"), words(F.col("text")).alias("words"))
     names = []
     for span in sorted([SPAN, *short]):
         names.append(f"prints_{span}")
-        base = _prints(base, names[-1], span)
+        base = _prints(base, names[-1], span, sieve)
     itself = F.array(
         F.struct(
             F.lit(-1).alias("at"),
