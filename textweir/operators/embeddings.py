@@ -49,7 +49,7 @@ def fit_word_vectors(
     cells = stage(cooccurrence.cooccurrence(sequence, window), "cooccurrence")
     matrix = stage(cooccurrence.ppmi(cells, size), "ppmi")
     rank = min(dims, max(1, size - 1))
-    rows, _ = truncated_svd(matrix, size, rank, seed=seed)
+    rows, _ = truncated_svd(matrix, size, rank, seed=seed, symmetric=True)
     rows = rows.select("row_id", unit("embedding").alias("embedding"))
     return WordVectors(stage(_attach(vocab, rows), "word-vectors"), size, rank)
 

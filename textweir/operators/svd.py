@@ -1,28 +1,36 @@
-"""Truncated SVD of a sparse matrix in long form, by randomized subspace iteration.
-
-Method: Halko, Martinsson and Tropp, "Finding structure with randomness" (2011). One pass
-forms ``Z = A (A' Y)``: each block of columns of ``A`` multiplies down to its columns and
-back up to the rows, and the partial results are added up. The dense matrices travel as
-chunks of rows, one binary value each; only ``Z'Z`` (rank plus oversampling, squared)
-reaches the driver.
+"""Truncated SVD of a sparse matrix in long form, by a block Krylov basis.
+
+Method: Musco and Musco, "Randomized block Krylov methods" (2015). With ``M = A A'`` (``M = A``
+where ``A`` is symmetric) the basis holds ``Y, M Y, M M Y, ...``, each made orthonormal to all
+before it, and the decomposition is that of ``M`` on this basis. The matrix is packed once into
+blocks of compact rows; a pass multiplies each block with the last part of the basis. The basis
+lies in chunks of rows, one binary value each; only products of its columns, a few hundred
+squared, reach the driver.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textweir.session import stage
 
-_CELLS_PER_BLOCK = 8_000_000
+_CELLS_PER_BLOCK = 4_000_000
 _PANEL_BYTES = 256 * 1024 * 1024
 _CHUNKS = 256
 _FAN_IN = 64
 _GRAMS = 64
+# Values multiplied at once, to stay in the processor's cache.
+_PRODUCTS = 1 << 18
+# Parts of a new block below this share of its squared length are rounding, not directions.
+_NOTHING = 1e-16
+_PARTIAL = "block int, panel int, chunk int, ids binary, z binary"
 
 
 def _random_chunks(n_rows: int, rows: int, width: int, seed: int):
@@ -33,119 +41,228 @@ def _random_chunks(n_rows: int, rows: int, width: int, seed: int):
             for chunk in batch["id"]:
                 size = min(rows, n_rows - chunk * rows)
                 z = np.random.default_rng([seed, int(chunk)]).standard_normal((size, width))
-                yield pd.DataFrame({"chunk": [chunk], "z": [z.tobytes()]})
+                yield pd.DataFrame({"chunk": [chunk], "x": [z.tobytes()]})
 
     return fill
 
 
-def _turned(width: int, parts: list[np.ndarray]):
-    """Task function: every chunk times each panel of a basis."""
-
-    def turn(batches):
-        for batch in batches:
-            for chunk, data in zip(batch["chunk"], batch["z"], strict=True):
-                z = np.frombuffer(data).reshape(-1, width)
-                yield pd.DataFrame(
-                    {
-                        "chunk": chunk,
-                        "panel": range(len(parts)),
-                        "y": [(z @ part).tobytes() for part in parts],
-                    }
-                )
-
-    return turn
+def _packed(symmetric: bool):
+    """Task function: the cells of one block as compact rows, and compact columns if needed.
 
+    ``ids`` are the block's rows, ``starts`` their first cells; ``index`` tells which column a
+    cell has: its number if symmetric, else its place among the block's columns, whose first
+    cells, row numbers and values follow as ``down_*``.
+    """
 
-def _multiply_block(n_rows: int, rows: int, widths: list[int]):
-    """Task function: the contribution of one column block to one panel of ``A (A' Y)``."""
-    schema = ["block", "panel", "chunk", "y"]
+    def pack(cells: pd.DataFrame) -> pd.DataFrame:
+        row, col, x = (cells[c].to_numpy() for c in ("row_id", "col_id", "x"))
+        out = {"block": cells["block"].iloc[0]}
+        if not symmetric:
+            _, col = np.unique(col, return_inverse=True)
+            order = np.lexsort((row, col))
+            first = np.flatnonzero(np.diff(col[order], prepend=-1))
+            out |= {"down_starts": first.tobytes(), "down_index": row[order].astype("<i4").tobytes(),
+                    "down_value": x[order].tobytes()}
+        else:
+            out |= {"down_starts": b"", "down_index": b"", "down_value": b""}
+        order = np.lexsort((col, row))
+        row = row[order]
+        first = np.flatnonzero(np.diff(row, prepend=-1))
+        out |= {"ids": row[first].astype("<i4").tobytes(), "starts": first.tobytes(),
+                "index": col[order].astype("<i4").tobytes(), "value": x[order].tobytes()}
+        return pd.DataFrame({c: [v] for c, v in out.items()})
+
+    return pack
+
+
+_PACKED = (
+    "block int, down_starts binary, down_index binary, down_value binary, "
+    "ids binary, starts binary, index binary, value binary"
+)
+
+
+def _gathered(starts: np.ndarray, index: np.ndarray, value: np.ndarray, dense: np.ndarray) -> np.ndarray:
+    """For each stretch of cells the sum of the rows of ``dense`` they name, times their values."""
+    out = np.empty((len(starts), dense.shape[1]))
+    ends = np.append(starts[1:], len(index))
+    step = max(1, _PRODUCTS // max(1, dense.shape[1]))
+    cuts = [0, *(np.flatnonzero(np.diff(ends // step)) + 1).tolist(), len(starts)]
+    for a, b in itertools.pairwise(cuts):
+        if a < b:
+            lo, hi = int(starts[a]), int(ends[b - 1])
+            out[a:b] = np.add.reduceat(value[lo:hi, None] * dense[index[lo:hi]], starts[a:b] - lo, axis=0)
+    return out
+
+
+def _multiply_block(n_rows: int, rows: int, widths: list[int], symmetric: bool):
+    """Task function: what one block of the matrix adds to one panel of ``M Y``."""
+    names = ["block", "panel", "chunk", "ids", "z"]
 
     def multiply(cells: pd.DataFrame, chunks: pd.DataFrame) -> pd.DataFrame:
         if cells.empty:
-            return pd.DataFrame({c: np.array([], dtype=object) for c in schema})
-        block, panel = int(cells["block"].iloc[0]), int(cells["panel"].iloc[0])
-        y = np.empty((widths[panel], n_rows))
+            return pd.DataFrame({c: np.array([], dtype=object) for c in names})
+        cell, panel = cells.iloc[0], int(chunks["panel"].iloc[0])
+        y = np.empty((n_rows, widths[panel]))
         for chunk, data in zip(chunks["chunk"], chunks["y"], strict=True):
             part = np.frombuffer(data).reshape(-1, widths[panel])
-            y[:, chunk * rows : chunk * rows + len(part)] = part.T
-        row, x = cells["row_id"].to_numpy(), cells["x"].to_numpy()
-        cols, col = np.unique(cells["col_id"].to_numpy(), return_inverse=True)
-        for j, axis in enumerate(y):
-            down = np.bincount(col, x * axis[row], len(cols))
-            y[j] = np.bincount(row, x * down[col], n_rows)
-        out = np.ascontiguousarray(y.T)
-        starts = range(0, n_rows, rows)
-        return pd.DataFrame(
-            {
-                "block": block,
-                "panel": panel,
-                "chunk": range(len(starts)),
-                "y": [out[s : s + rows].tobytes() for s in starts],
-            }
-        )
+            y[chunk * rows : chunk * rows + len(part)] = part
+        if not symmetric:
+            starts, index, value = (cell[f"down_{c}"] for c in ("starts", "index", "value"))
+            y = _gathered(np.frombuffer(starts, "<i8"), np.frombuffer(index, "<i4"), np.frombuffer(value), y)
+        ids = np.frombuffer(cell["ids"], "<i4")
+        starts, index, value = (cell[c] for c in ("starts", "index", "value"))
+        z = _gathered(np.frombuffer(starts, "<i8"), np.frombuffer(index, "<i4"), np.frombuffer(value), y)
+        cuts = [0, *(np.flatnonzero(np.diff(ids // rows)) + 1).tolist(), len(ids)]
+        found = [
+            (int(cell["block"]), panel, int(ids[a]) // rows, (ids[a:b] % rows).tobytes(), z[a:b].tobytes())
+            for a, b in itertools.pairwise(cuts)
+        ]
+        return pd.DataFrame(found, columns=names)
 
     return multiply
 
 
-def _added(group: pd.DataFrame) -> pd.DataFrame:
+def _turned(width: int, panels: list[int]):
+    """Task function: the last ``width`` columns of every chunk, cut into panels."""
+    ends = np.cumsum(panels)
+
+    def turn(batches):
+        for batch in batches:
+            for chunk, columns, data in zip(batch["chunk"], batch["columns"], batch["x"], strict=True):
+                y = np.frombuffer(data).reshape(-1, columns)[:, columns - width :]
+                parts = [y[:, e - n : e].tobytes() for e, n in zip(ends, panels, strict=True)]
+                yield pd.DataFrame({"chunk": chunk, "panel": range(len(parts)), "y": parts})
+
+    return turn
+
+
+def _placed(group: pd.DataFrame, size: int, width: int) -> np.ndarray:
+    total = np.zeros((size, width))
+    for ids, data in zip(group["ids"], group["z"], strict=True):
+        ids = np.frombuffer(ids, "<i4")
+        total[ids] += np.frombuffer(data).reshape(len(ids), width)
+    return total
+
+
+def _added(n_rows: int, rows: int, widths: list[int]):
     """Task function: sum of the partial results of one chunk and panel."""
-    total = sum(np.frombuffer(data) for data in group["y"])
-    return group.iloc[:1][["block", "panel", "chunk"]].assign(y=[total.tobytes()])
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        first = group.iloc[:1]
+        size = min(rows, n_rows - int(first["chunk"].iloc[0]) * rows)
+        total = _placed(group, size, widths[int(first["panel"].iloc[0])])
+        ids = np.arange(size, dtype="<i4").tobytes()
+        return first[["block", "panel", "chunk"]].assign(ids=[ids], z=[total.tobytes()])
+
+    return add
 
 
-def _joined_panels(widths: list[int]):
-    """Task function: sum the partial results of a chunk and put its panels side by side."""
+def _extended(widths: list[int]):
+    """Task function: a chunk of the basis with the new columns to its right."""
 
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        panels = []
-        for panel, width in enumerate(widths):
-            parts = group["y"][group["panel"] == panel]
-            panels.append(sum(np.frombuffer(data) for data in parts).reshape(-1, width))
-        z = np.hstack(panels)
-        return pd.DataFrame({"chunk": [group["chunk"].iloc[0]], "z": [z.tobytes()]})
+    def extend(old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
+        columns = int(old["columns"].iloc[0])
+        x = np.frombuffer(old["x"].iloc[0]).reshape(-1, columns)
+        parts = [_placed(new[new["panel"] == p], len(x), w) for p, w in enumerate(widths)]
+        whole = np.hstack([x, *parts])
+        return pd.DataFrame({"chunk": old["chunk"], "columns": [whole.shape[1]], "x": [whole.tobytes()]})
 
-    return join
+    return extend
 
 
-def _gram(width: int):
-    """Task function: ``z'z`` over the chunks of one partition."""
+def _gram():
+    """Task function: ``x'x`` over the chunks of one partition."""
 
     def add(batches):
-        total = np.zeros((width, width))
+        total = 0.0
         for batch in batches:
-            for data in batch["z"]:
-                z = np.frombuffer(data).reshape(-1, width)
-                total += z.T @ z
-        yield pd.DataFrame({"g": [total.tobytes()]})
+            for columns, data in zip(batch["columns"], batch["x"], strict=True):
+                x = np.frombuffer(data).reshape(-1, columns)
+                total = total + x.T @ x
+        if not np.isscalar(total):
+            yield pd.DataFrame({"g": [total.tobytes()]})
 
     return add
 
 
-def _rows(width: int, rows: int, matrix: np.ndarray):
+def _times(matrix: np.ndarray):
+    """Task function: chunks times ``matrix``."""
+
+    def turn(batches):
+        for batch in batches:
+            found = [(np.frombuffer(x).reshape(-1, len(matrix)) @ matrix).tobytes() for x in batch["x"]]
+            yield pd.DataFrame({"chunk": batch["chunk"], "columns": matrix.shape[1], "x": found})
+
+    return turn
+
+
+def _rows(rows: int, matrix: np.ndarray):
     """Task function: chunks times ``matrix``, one output row per matrix row."""
 
     def turn(batches):
         for batch in batches:
-            for chunk, data in zip(batch["chunk"], batch["z"], strict=True):
-                z = np.frombuffer(data).reshape(-1, width) @ matrix
+            for chunk, data in zip(batch["chunk"], batch["x"], strict=True):
+                z = np.frombuffer(data).reshape(-1, len(matrix)) @ matrix
                 ids = np.arange(chunk * rows, chunk * rows + len(z))
                 yield pd.DataFrame({"row_id": ids, "embedding": list(z)})
 
     return turn
 
 
+_CHUNK = "chunk int, columns int, x binary"
+
+
+class _Basis:
+    """Chunks of orthonormal columns, of which the last block may still be raw."""
+
+    def __init__(self, chunks: DataFrame, columns: int):
+        self.chunks, self.columns = chunks, columns
+
+    def gram(self) -> np.ndarray:
+        parts = self.chunks.coalesce(_GRAMS).mapInPandas(_gram(), "g binary").collect()
+        total = sum(np.frombuffer(p["g"]) for p in parts).reshape(self.columns, self.columns)
+        return (total + total.T) / 2
+
+    def orthonormal(self, ready: int) -> tuple[_Basis, np.ndarray]:
+        """Make all columns beyond the first ``ready`` orthonormal to these and each other.
+
+        Also returns the products of the first columns with the raw ones. Done twice, as one
+        round leaves what rounding hides; what is only rounding drops out, so fewer columns, or
+        none, may be added.
+        """
+        basis, first, length = self, None, None
+        for _ in range(2):
+            gram = basis.gram()
+            over = gram[:ready, ready:]
+            first = over if first is None else first
+            squares, directions = np.linalg.eigh(gram[ready:, ready:] - over.T @ over)
+            length = max(np.trace(gram[ready:, ready:]), 1e-300) if length is None else 1.0
+            kept = squares > _NOTHING * length
+            turn = directions[:, kept] / np.sqrt(squares[kept])
+            matrix = np.zeros((basis.columns, ready + turn.shape[1]))
+            matrix[:ready, :ready] = np.eye(ready)
+            matrix[:ready, ready:] = -over @ turn
+            matrix[ready:, ready:] = turn
+            chunks = stage(basis.chunks.mapInPandas(_times(matrix), _CHUNK), "svd-basis")
+            basis = _Basis(chunks, matrix.shape[1])
+        return basis, first
+
+
 def truncated_svd(
     cells: DataFrame,
     n_rows: int,
     rank: int,
-    passes: int = 6,
+    passes: int = 3,
     oversampling: int = 10,
     seed: int = 42,
+    symmetric: bool = False,
 ) -> tuple[DataFrame, np.ndarray]:
     """Rows of ``U * Sigma`` as ``(row_id, embedding)``, and the singular values.
 
     ``cells`` is ``(row_id, col_id, x)`` with row ids ``0 .. n_rows - 1``. Rows without a cell
-    get a zero vector. Coordinates are defined up to rotation: compare cosines.
+    get a zero vector. Coordinates are defined up to rotation: compare cosines. Each pass
+    multiplies with ``A A'``; for a ``symmetric`` matrix (column ids are row ids) with ``A``
+    twice as often, each half the work, and blocks of rows need no adding up.
     """
     spark = cells.sparkSession
     rank = min(rank, n_rows)
@@ -159,58 +276,65 @@ def truncated_svd(
     rows = max(64, math.ceil(n_rows / _CHUNKS))
     blocks = max(spark.sparkContext.defaultParallelism, math.ceil(n_cells / _CELLS_PER_BLOCK))
     # A task holds one panel of the dense matrix: all its rows, but only some columns.
-    panels = min(width, math.ceil(8 * n_rows * width / _PANEL_BYTES))
-    slots = F.explode(F.sequence(F.lit(0), F.lit(panels - 1)))
-    blocked = (
-        cells.withColumn("block", F.pmod(F.hash("col_id"), F.lit(blocks)))
-        .withColumn("panel", slots)
-        .repartition(blocks * panels, "block", "panel")
-        .sortWithinPartitions("block", "panel")
-        .persist()
-    )
+    most = min(width, math.ceil(8 * n_rows * width / _PANEL_BYTES))
+    owner = F.pmod(F.hash("row_id" if symmetric else "col_id"), F.lit(blocks)).alias("block")
+    packed = cells.select(owner, "row_id", "col_id", F.col("x").cast("double").alias("x"))
+    packed = stage(packed.groupBy("block").applyInPandas(_packed(symmetric), _PACKED), "svd-cells")
+    slots = F.explode(F.sequence(F.lit(0), F.lit(most - 1)))
+    packed = packed.withColumn("panel", slots).repartition(blocks * most, "block", "panel")
+    packed = packed.persist(StorageLevel.DISK_ONLY)
     every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    z = spark.range(math.ceil(n_rows / rows)).mapInPandas(
-        _random_chunks(n_rows, rows, width, seed), "chunk int, z binary"
-    )
-    basis = np.eye(width)
-    for _ in range(passes):
-        parts = np.array_split(basis, panels, axis=1)
-        widths = [part.shape[1] for part in parts]
-        spread = z.mapInPandas(_turned(width, parts), "chunk int, panel int, y binary")
+    def multiplied(basis: _Basis, last: int) -> _Basis:
+        """The basis with ``M`` times its last columns to its right."""
+        widths = [len(p) for p in np.array_split(np.arange(last), min(most, last))]
+        spread = basis.chunks.mapInPandas(_turned(last, widths), "chunk int, panel int, y binary")
         partial = (
-            blocked.groupBy("block", "panel")
+            packed.where(F.col("panel") < len(widths)).groupBy("block", "panel")
             .cogroup(spread.withColumn("block", every_block).groupBy("block", "panel"))
-            .applyInPandas(
-                _multiply_block(n_rows, rows, widths),
-                "block int, panel int, chunk int, y binary",
-            )
+            .applyInPandas(_multiply_block(n_rows, rows, widths, symmetric), _PARTIAL)
         )
-        pending = blocks
+        pending = 1 if symmetric else blocks
         while pending > _FAN_IN:
             pending = math.ceil(pending / _FAN_IN)
             partial = (
                 partial.withColumn("block", F.pmod("block", F.lit(pending)))
                 .groupBy("chunk", "panel", "block")
-                .applyInPandas(_added, "block int, panel int, chunk int, y binary")
+                .applyInPandas(_added(n_rows, rows, widths), _PARTIAL)
             )
-        z = partial.groupBy("chunk").applyInPandas(_joined_panels(widths), "chunk int, z binary")
-        z = stage(z, "svd-rows")
-        grams = z.coalesce(_GRAMS).mapInPandas(_gram(width), "g binary").collect()
-        gram = sum(np.frombuffer(g["g"]) for g in grams).reshape(width, width)
-        squares, directions = np.linalg.eigh((gram + gram.T) / 2)
-        kept = np.flatnonzero(squares > 1e-13 * squares[-1])[::-1]
-        lengths, directions = np.sqrt(squares[kept]), directions[:, kept]
-        # Zero columns keep the width, and so every panel, when the rank is lower; they have the
-        # square 0 in the next pass and drop out there.
-        basis = np.zeros((width, width))
-        basis[:, : len(kept)] = directions / lengths
-    blocked.unpersist()
-
-    # z = A A' Y has the singular values sigma^2; its rows are turned to U * Sigma.
-    top = min(rank, len(lengths))
-    turn, sigma = np.zeros((width, rank)), np.zeros(rank)
-    turn[:, :top] = directions[:, :top] / np.sqrt(lengths[:top])
-    sigma[:top] = np.sqrt(lengths[:top])
-    found = z.mapInPandas(_rows(width, rows, turn), "row_id int, embedding array<double>")
-    return found, sigma
+        wider = basis.chunks.groupBy("chunk").cogroup(partial.groupBy("chunk"))
+        return _Basis(stage(wider.applyInPandas(_extended(widths), _CHUNK), "svd-raw"), basis.columns + last)
+
+    try:
+        start = spark.range(math.ceil(n_rows / rows)).mapInPandas(
+            _random_chunks(n_rows, rows, width, seed), "chunk int, x binary"
+        )
+        start = start.select("chunk", F.lit(width).cast("int").alias("columns"), "x")
+        basis, _ = _Basis(stage(start, "svd-start"), width).orthonormal(0)
+        ready, last, products = basis.columns, basis.columns, []
+        for left in range((2 if symmetric else 1) * passes - 1, -1, -1):
+            raw = multiplied(basis, last)
+            if left:
+                basis, over = raw.orthonormal(ready)
+            else:
+                over = raw.gram()[:ready, ready:]
+            products.append((ready - last, over))
+            if not left or basis.columns == ready:
+                break
+            ready, last = basis.columns, basis.columns - ready
+    finally:
+        packed.unpersist()
+
+    # M on the basis: each product covers the columns up to its own block, symmetry the rest.
+    whole = np.zeros((ready, ready))
+    for at, over in products:
+        whole[: len(over), at : at + over.shape[1]] = over
+        whole[at : at + over.shape[1], : len(over)] = over.T
+    values, vectors = np.linalg.eigh(whole)
+    values[np.abs(values) < 1e-13 * np.abs(values).max()] = 0.0
+    order = np.argsort(-np.abs(values), kind="stable")[:rank]
+    found = np.abs(values[order]) if symmetric else np.sqrt(np.maximum(values[order], 0))
+    turn, sigma = np.zeros((basis.columns, rank)), np.zeros(rank)
+    turn[:ready, : len(order)] = vectors[:, order] * found
+    sigma[: len(order)] = found
+    return basis.chunks.mapInPandas(_rows(rows, turn), "row_id int, embedding array<double>"), sigma
