@@ -59,16 +59,45 @@ def test_classifier_is_at_the_optimum(spark):
     weights = cells.select("row_id", "term_id", "weight")
     features = learn.sparse_features(docs, weights, 30)
     model = learn.fit_classifier(features, len(rows), tol=1e-8)
-    w, b = model.coefficients.toArray(), model.intercept
+    w, b = model.coefficients, model.intercept
     share = np.where(y == 1, 80 / (2 * y.sum()), 80 / (2 * (80 - y.sum())))
     error = share * (1 / (1 + np.exp(-(x @ w + b))) - y)
-    assert np.abs(x.T @ error / 80 + w / 80).max() < 1e-5 and abs(error.mean()) < 1e-5
-    # Scoring in long form equals the model's own transform.
+    assert np.abs(x.T @ error / 80 + w / 80).max() < 1e-7 and abs(error.mean()) < 1e-7
+    assert model.gradient < 1e-7
+    # Scoring in long form equals the probabilities of the dense matrix.
     coefs = learn.coefficients(spark, model)
     scored = learn.predictions(learn.score_weights(docs, weights, coefs, b, 30))
-    ours = {r.row_id: r.probability for r in scored.collect()}
-    for row in model.transform(features).select("row_id", "prediction", "probability").collect():
-        assert abs(row.probability[int(row.prediction)] - ours[row.row_id]) < 1e-9
+    positive = 1 / (1 + np.exp(-(x @ w + b)))
+    for row in scored.collect():
+        p = positive[row.row_id]
+        assert abs(row.probability - (p if row.prediction else 1 - p)) < 1e-9
+    # So does the gradient in long form, which shares no code with the fit.
+    found = {r.term_id: r.gradient for r in learn.gradient(docs, weights, coefs, b).collect()}
+    assert found.keys() == {-1, *x.any(axis=0).nonzero()[0].tolist()}
+    assert max(map(abs, found.values())) < 1e-7
+
+
+def test_many_tasks_and_slices_give_the_same_fit(spark, monkeypatch):
+    """Gradients cut into slices and added up in a tree."""
+    rng = np.random.default_rng(5)
+    x, y = rng.random((60, 11)), rng.integers(0, 2, 60)
+    rows = [(i, int(y[i]), x[i].tolist()) for i in range(60)]
+    docs = spark.createDataFrame(rows, "row_id int, label int, embedding array<double>")
+    features = learn.dense_features(docs.select("row_id", "label"), docs, 11)
+    plain = learn.fit_classifier(features, 660, tol=1e-9)
+    for name, value in {"_ENTRIES_PER_PARTITION": 20, "_FAN_IN": 3, "_SLICE": 4, "_BLOCK_ENTRIES": 30}.items():
+        monkeypatch.setattr(learn, name, value)
+    cut = learn.fit_classifier(learn.dense_features(docs.select("row_id", "label"), docs, 11), 660, tol=1e-9)
+    assert np.abs(cut.coefficients - plain.coefficients).max() < 1e-6
+
+
+def test_fit_without_rows_or_entries(spark):
+    none = spark.createDataFrame([], "row_id int, label int")
+    weights = spark.createDataFrame([], "row_id int, term_id int, weight double")
+    assert learn.fit_classifier(learn.sparse_features(none, weights, 3), 0).coefficients.tolist() == [0, 0, 0]
+    docs = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, None)], "row_id int, label int")
+    model = learn.fit_classifier(learn.sparse_features(docs, weights, 3), 0)
+    assert model.coefficients.tolist() == [0, 0, 0] and abs(model.intercept) < 1e-6
 
 
 def test_metrics_without_positives(spark):

@@ -1,126 +1,298 @@
-"""Feature tables, class-weighted logistic regression and scoring in long form."""
+"""Feature blocks, class-weighted logistic regression and scoring in long form."""
 
 from __future__ import annotations
 
 import math
+from collections import deque
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.linalg import Vectors, VectorUDT
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from textweir.functions.text import label_name
 from textweir.operators import metrics
 from textweir.operators.terms import ROW
 from textweir.session import broadcast_if_bounded, stage
 
-# The storage form of an ML vector: kind (0 sparse, 1 dense), size, indices, values.
-_SPARSE, _DENSE = 0, 1
-# Weight of the row that evens out the variances; real rows weigh about one.
-_NEGLIGIBLE = 1e-16
-_ENTRIES_PER_PARTITION = 10_000_000
+_ENTRIES_PER_PARTITION = 2_000_000
+# Entries of one stored block; columns of one slice of a gradient; gradients added up directly.
+_BLOCK_ENTRIES = 500_000
+_SLICE = 1 << 17
+_FAN_IN = 64
+# Steps that the optimizer remembers.
+_MEMORY = 12
+_BLOCK = "rows int, label binary, size binary, index binary, value binary"
 
 
-def _vector(kind: int, size: Column, indices: Column, values: Column) -> Column:
-    return F.struct(
-        F.lit(kind).cast("tinyint").alias("type"),
-        size.cast("int").alias("size"),
-        indices.alias("indices"),
-        values.alias("values"),
-    )
+@dataclass(frozen=True)
+class Features:
+    """Labelled rows as blocks of a sparse or dense matrix with ``columns`` columns.
+
+    ``blocks`` is stored: ``(rows, label, size, index, value)``, little-endian arrays of the
+    labels, entries per row, column numbers (empty for dense rows) and values of some rows.
+    ``classes`` is ``(label, n, weight)``, with the balanced weight of each class.
+    """
+
+    blocks: DataFrame
+    columns: int
+    classes: DataFrame
+
+
+@dataclass(frozen=True)
+class Classifier:
+    """Coefficients by column, the intercept, the data passes of the fit and the largest
+    absolute component of the gradient where it ended."""
 
+    coefficients: np.ndarray
+    intercept: float
+    passes: int = 0
+    gradient: float = 0.0
 
-def _stage_features(rows: DataFrame) -> DataFrame:
-    """Store the rows and read ``features`` back as an ML vector, without any Python row."""
-    fields = [
-        T.StructField(f.name, VectorUDT() if f.name == "features" else f.dataType)
-        for f in rows.schema.fields
-    ]
-    return stage(rows, "features", T.StructType(fields))
 
+def _packed(dense: bool):
+    """Task function: rows of arrays to blocks."""
 
-def sparse_features(docs: DataFrame, weights: DataFrame, size: int) -> DataFrame:
-    """``docs`` with ``features``, a sparse vector of the long-form weights.
+    def pack(batches):
+        for batch in batches:
+            label = batch.column("label").to_numpy(zero_copy_only=False).astype("<f8")
+            lists = batch.column("value")
+            size = lists.value_lengths().to_numpy(zero_copy_only=False).astype("<i8")
+            value = lists.flatten().to_numpy(zero_copy_only=False).astype("<f8")
+            index = np.zeros(0, "<i4") if dense else batch.column("index").flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(size)
+            cuts = [0, *(np.flatnonzero(np.diff(ends // _BLOCK_ENTRIES)) + 1).tolist(), len(size)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                lo, hi = int(ends[a] - size[a]), int(ends[b - 1])
+                parts = (label[a:b], size[a:b], index if dense else index[lo:hi].astype("<i4"), value[lo:hi])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b - a], pa.int32()), *[pa.array([p.tobytes()], pa.binary()) for p in parts]],
+                    names=["rows", "label", "size", "index", "value"],
+                )
 
-    Documents without a known term get an empty vector.
+    return pack
+
+
+def _features(docs: DataFrame, rows: DataFrame, columns: int, dense: bool) -> Features:
+    """Store the ``rows (label, index, value)`` of the labelled ones among ``docs``."""
+    blocks = stage(rows.select("label", "index", "value").mapInArrow(_packed(dense), _BLOCK), "features")
+    return Features(blocks, columns, metrics.class_weights(docs.select("label")))
+
+
+def sparse_features(docs: DataFrame, weights: DataFrame, size: int) -> Features:
+    """``docs (row_id, label)`` with their long-form weights as sparse rows.
+
+    Documents without a known term get an empty row.
     """
-    entries = weights.groupBy(ROW).agg(
-        F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("entries")
-    )
+    entries = weights.groupBy(ROW).agg(F.collect_list(F.struct("term_id", "weight")).alias("entries"))
+    docs = docs.where(F.col("label").isNotNull())
     joined = docs.join(entries, ROW, "left")
-    indices = F.coalesce(F.col("entries.term_id"), F.array().cast("array<int>"))
-    values = F.coalesce(F.col("entries.weight"), F.array().cast("array<double>"))
-    vector = _vector(_SPARSE, F.lit(size), indices, values)
-    return _stage_features(joined.withColumn("features", vector).drop("entries"))
+    index = F.coalesce(F.col("entries.term_id"), F.array().cast("array<int>")).alias("index")
+    value = F.coalesce(F.col("entries.weight"), F.array().cast("array<double>")).alias("value")
+    return _features(docs, joined.select("label", index, value), size, False)
 
 
-def dense_features(docs: DataFrame, embeddings: DataFrame) -> DataFrame:
-    """``docs`` with ``features`` from ``(row_id, embedding)``."""
-    joined = docs.join(embeddings.select(ROW, "embedding"), ROW)
-    empty = F.lit(None)
-    vector = _vector(_DENSE, empty, empty.cast("array<int>"), F.col("embedding"))
-    return _stage_features(joined.withColumn("features", vector).drop("embedding"))
+def dense_features(docs: DataFrame, embeddings: DataFrame, size: int) -> Features:
+    """``docs (row_id, label)`` with ``(row_id, embedding)`` of ``size`` values as dense rows."""
+    docs = docs.where(F.col("label").isNotNull())
+    joined = docs.join(embeddings.select(ROW, F.col("embedding").alias("value")), ROW)
+    index = F.lit(None).cast("array<int>").alias("index")
+    return _features(docs, joined.select("label", index, "value"), size, True)
 
 
-def _evening_row(training: DataFrame, rows: int) -> DataFrame:
-    """One row of negligible weight that gives all features the same variance.
+def _block(rows: int, label: bytes, size: bytes, index: bytes, value: bytes):
+    y, n = np.frombuffer(label, "<f8"), np.frombuffer(size, "<i8")
+    return y, n, np.frombuffer(index, "<i4"), np.frombuffer(value, "<f8")
 
-    Spark always fits on features divided by their deviation, which turns an equal L2
-    penalty into a very unequal one: rare terms make it converge in hundreds of passes. The
-    row evens the deviations out, so the fit runs on the features as they are. Its weight falls
-    with the number of rows, so its share of the gradient, 1e-8 deviations, is the same at
-    every size.
-    """
-    summary = Summarizer.metrics("variance").summary(F.col("features"), F.col("class_weight"))
-    variance = training.select(summary.alias("s")).first()["s"]["variance"].toArray()
-    weight = _NEGLIGIBLE / max(rows, 1)
-    values = np.sqrt((variance.max(initial=0.0) - variance) * rows / weight)
-    row = (1.0, weight, Vectors.dense(values))
-    return training.sparkSession.createDataFrame([row], training.schema).coalesce(1)
+
+def _each(batches):
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in batch.schema.names), strict=True):
+            yield _block(*row)
+
+
+def _slices(total: np.ndarray, loss: float):
+    """A gradient cut into slices, so that no value and no sum of many holds all columns."""
+    for n, at in enumerate(range(0, len(total), _SLICE)):
+        data = total[at : at + _SLICE].tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([n], pa.int32()), pa.array([loss if n == 0 else 0.0]), pa.array([data], pa.binary())],
+            names=["slice", "loss", "gradient"],
+        )
+
+
+def _margins(n, index, value, columns: int, point: np.ndarray) -> np.ndarray:
+    if not len(index):
+        return (value.reshape(len(n), -1) @ point[:columns] if len(value) else np.zeros(len(n))) + point[columns]
+    out = np.zeros(len(n))
+    some = n > 0
+    out[some] = np.add.reduceat(value * point[index], (np.cumsum(n) - n)[some])
+    return out + point[columns]
+
+
+def _spread(n, index, value, columns: int, share: np.ndarray) -> np.ndarray:
+    """Sum of the rows, each times its share, and of the shares themselves."""
+    out = np.empty(columns + 1)
+    if len(index):
+        out[:columns] = np.bincount(index, value * np.repeat(share, n), columns)
+    else:
+        out[:columns] = share @ value.reshape(len(n), -1) if len(value) else 0.0
+    out[columns] = share.sum()
+    return out
+
+
+def _losses(point: np.ndarray, columns: int, weight: dict[float, float]):
+    """Task function: weighted logistic loss of all rows and its gradient."""
+
+    def add(batches):
+        total, loss = np.zeros(columns + 1), 0.0
+        for y, n, index, value in _each(batches):
+            w = np.where(y == 1, weight.get(1, 0.0), weight.get(0, 0.0))
+            margin = _margins(n, index, value, columns, point)
+            loss += float(w @ (np.logaddexp(0, margin) - y * margin))
+            positive = 0.5 * (1 + np.tanh(margin / 2))
+            total += _spread(n, index, value, columns, w * (positive - y))
+        yield from _slices(total, loss)
+
+    return add
+
+
+def _curvatures(columns: int, weight: dict[float, float]):
+    """Task function: the diagonal of the Hessian at zero."""
+
+    def add(batches):
+        total = np.zeros(columns + 1)
+        for y, n, index, value in _each(batches):
+            w = np.where(y == 1, weight.get(1, 0.0), weight.get(0, 0.0)) / 4
+            total += _spread(n, index, value * value, columns, w)
+        yield from _slices(total, 0.0)
+
+    return add
+
+
+def _added(batches):
+    """Task function: sums of the slices of one partition, one value at a time."""
+    total: dict[int, np.ndarray] = {}
+    loss = 0.0
+    for batch in batches:
+        for n, part, data in zip(*(batch.column(c).to_pylist() for c in ("slice", "loss", "gradient")), strict=True):
+            values = np.frombuffer(data)
+            total[n] = total[n] + values if n in total else values
+            loss += part
+    for n, values in total.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([n], pa.int32()), pa.array([loss]), pa.array([values.tobytes()], pa.binary())],
+            names=["slice", "loss", "gradient"],
+        )
+        loss = 0.0
+
+
+def _summed(blocks: DataFrame, task, tasks: int) -> tuple[float, np.ndarray]:
+    """Loss and gradient over all blocks; many partial ones are added up in a tree first."""
+    schema = "slice int, loss double, gradient binary"
+    partial = blocks.mapInArrow(task, schema)
+    while tasks > _FAN_IN:
+        tasks = math.ceil(tasks / _FAN_IN)
+        group = F.pmod(F.spark_partition_id(), F.lit(tasks))
+        partial = partial.withColumn("group", group).repartition("group", "slice").drop("group")
+        partial = partial.mapInArrow(_added, schema)
+    total: dict[int, np.ndarray] = {}
+    loss = 0.0
+    for row in partial.collect():
+        values = np.frombuffer(row["gradient"])
+        total[row["slice"]] = total[row["slice"]] + values if row["slice"] in total else values
+        loss += row["loss"]
+    return loss, np.concatenate([total[n] for n in sorted(total)])
+
+
+def _direction(gradient: np.ndarray, steps: deque, scale: np.ndarray) -> np.ndarray:
+    """Two-loop recursion of limited-memory BFGS on top of a diagonal."""
+    q, shares = gradient.copy(), []
+    for s, y in reversed(steps):
+        a = (s @ q) / (s @ y)
+        q -= a * y
+        shares.append(a)
+    q /= scale
+    if steps:
+        s, y = steps[-1]
+        q *= (s @ y) / (y @ (y / scale))
+    for (s, y), a in zip(steps, reversed(shares), strict=True):
+        q += s * (a - (y @ q) / (s @ y))
+    return -q
 
 
 def fit_classifier(
-    features: DataFrame,
-    entries: int,
-    max_iter: int = 1000,
-    strength: float = 1.0,
-    tol: float = 1e-4,
-) -> LogisticRegressionModel:
+    features: Features, entries: int, max_iter: int = 1000, strength: float = 1.0, tol: float = 1e-6
+) -> Classifier:
     """Logistic regression with an L2 penalty of ``1/strength`` and balanced classes.
 
-    Spark averages the weighted loss, so the penalty is divided by the number of rows.
-    ``entries`` is the number of stored feature values; every pass is a job over all
-    partitions, so there are no more of them than that many values are worth.
+    Minimizes the mean of the weighted losses plus half the squared coefficients over
+    ``strength`` times the rows, on the features as they are, by limited-memory BFGS whose first
+    metric is the Hessian's diagonal at zero. Ends where no component of the gradient exceeds
+    ``tol`` times the largest one at zero (or ``tol`` itself, if larger), after ``max_iter``
+    steps, or where the loss cannot fall any more. Labels are 0 and 1. No rows give zeros.
+
+    Every pass is one job over the blocks, which are kept on the executors for the fit only and
+    read again from storage where an executor is lost; ``entries``, the number of values, decides
+    on the number of tasks. The driver holds a few vectors of the length of the coefficients.
     """
-    features = features.coalesce(max(1, math.ceil(entries / _ENTRIES_PER_PARTITION)))
-    balance = metrics.class_weights(features).select("label", "n", "weight").collect()
-    weight = F.lit(None).cast("double")
-    for row in balance:
-        weight = F.when(F.col("label") == row["label"], F.lit(row["weight"])).otherwise(weight)
-    rows = sum(r["n"] for r in balance)
-    training = features.select(
-        F.col("label").cast("double").alias("label"), weight.alias("class_weight"), "features"
-    )
-    model = LogisticRegression(
-        maxIter=max_iter,
-        regParam=1.0 / (strength * max(rows, 1)),
-        elasticNetParam=0.0,
-        standardization=False,
-        weightCol="class_weight",
-        tol=tol,
-    )
-    return model.fit(training.unionByName(_evening_row(training, rows)))
+    columns = features.columns
+    classes = features.classes.select("label", "n", "weight").collect()
+    rows = sum(r["n"] for r in classes)
+    if not rows:
+        return Classifier(np.zeros(columns), 0.0)
+    weight = {int(r["label"]): float(r["weight"]) for r in classes}
+    penalty = np.full(columns + 1, 1.0 / strength)
+    penalty[columns] = 0.0
+    tasks = max(1, math.ceil(entries / _ENTRIES_PER_PARTITION), features.blocks.sparkSession.sparkContext.defaultParallelism)
+    blocks = features.blocks.repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    passes = 0
 
+    def at(point: np.ndarray) -> tuple[float, np.ndarray]:
+        nonlocal passes
+        passes += 1
+        loss, gradient = _summed(blocks, _losses(point, columns, weight), tasks)
+        return (loss + point @ (penalty * point) / 2) / rows, (gradient + penalty * point) / rows
 
-def coefficients(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:
+    try:
+        _, curve = _summed(blocks, _curvatures(columns, weight), tasks)
+        scale = np.maximum((curve + penalty) / rows, 1e-300)
+        point = np.zeros(columns + 1)
+        loss, gradient = at(point)
+        enough = tol * max(1.0, np.abs(gradient).max())
+        steps: deque = deque(maxlen=_MEMORY)
+        for _ in range(max_iter):
+            if np.abs(gradient).max() <= enough:
+                break
+            move = _direction(gradient, steps, scale)
+            slope, length = float(gradient @ move), 1.0
+            while True:
+                new_loss, new_gradient = at(point + length * move)
+                if new_loss <= loss + 1e-4 * length * slope or length < 1e-10:
+                    break
+                # The minimum of the parabola through both losses and the slope, within bounds.
+                bend = new_loss - loss - length * slope
+                length = min(max(-slope * length * length / (2 * bend), length / 10), length / 2)
+            if new_loss >= loss:
+                break
+            step, change = length * move, new_gradient - gradient
+            if step @ change > 1e-12 * np.sqrt((step @ step) * (change @ change)):
+                steps.append((step, change))
+            point, loss, gradient = point + step, new_loss, new_gradient
+    finally:
+        blocks.unpersist()
+    return Classifier(point[:columns], float(point[columns]), passes, float(np.abs(gradient).max()))
+
+
+def coefficients(spark: SparkSession, model: Classifier) -> DataFrame:
     """``(term_id, coef)`` of the non-zero coefficients."""
-    values = model.coefficients.toArray()
-    used = values.nonzero()[0]
-    table = pd.DataFrame({"term_id": used.astype("int32"), "coef": values[used]})
+    used = model.coefficients.nonzero()[0]
+    table = pd.DataFrame({"term_id": used.astype("int32"), "coef": model.coefficients[used]})
     return spark.createDataFrame(table, "term_id int, coef double")
 
 
@@ -140,15 +312,36 @@ def score_weights(
     return docs.join(margins, ROW, "left").withColumn("margin", margin).drop("m")
 
 
-def predictions(scored: DataFrame) -> DataFrame:
-    """Replace ``margin`` by ``prediction``, ``sentiment`` and the probability of that class."""
+def gradient(
+    docs: DataFrame, weights: DataFrame, coefs: DataFrame, intercept: float, strength: float = 1.0
+) -> DataFrame:
+    """``(term_id, gradient)`` of the loss that ``fit_classifier`` minimizes, in long form.
+
+    A check of a fit that shares no code with it: the errors of ``docs (row_id, label)`` meet
+    their ``weights`` again, and the penalty of each coefficient is added. The intercept has
+    ``term_id`` -1. Terms without any weight are not listed.
+    """
+    classes = metrics.class_weights(docs.select("label"))
+    scored = predictions(score_weights(docs, weights, coefs, intercept, None), keep_margin=True)
+    positive = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
+    rows = classes.agg(F.sum("n")).scalar()
+    balanced = scored.join(F.broadcast(classes.select("label", F.col("weight").alias("share"))), "label")
+    errors = balanced.select(ROW, (F.col("share") * (positive - F.col("label")) / rows).alias("error"))
+    terms = weights.join(errors, ROW).groupBy("term_id").agg(F.sum(F.col("weight") * F.col("error")).alias("g"))
+    penalty = F.coalesce("coef", F.lit(0.0)) / (F.lit(strength) * rows)
+    whole = terms.join(coefs, "term_id", "left").select("term_id", (F.col("g") + penalty).alias("gradient"))
+    return whole.union(errors.select(F.lit(-1).alias("term_id"), "error").groupBy("term_id").agg(F.sum("error")))
+
+
+def predictions(scored: DataFrame, keep_margin: bool = False) -> DataFrame:
+    """Replace (or, if kept, follow) ``margin`` by ``prediction``, ``sentiment`` and the probability of that class."""
     positive = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin")))
     label = F.when(F.col("margin") > 0, 1).otherwise(0)
-    return (
+    found = (
         scored.withColumn("prediction", label)
         .withColumn("sentiment", label_name(F.col("prediction")))
         .withColumn(
             "probability", F.when(F.col("prediction") == 1, positive).otherwise(1 - positive)
         )
-        .drop("margin")
     )
+    return found if keep_margin else found.drop("margin")
