@@ -1,7 +1,11 @@
+import random
+from collections import defaultdict
+
 import pytest
 
 from textweir.functions.text import Normalizer
 from textweir.operators import retrieval
+from textweir.session import stage
 
 DOCS = [
     (1, "good coffee good smell", 1), (2, "bad coffee bad smell", 0), (3, "good tea", 1),
@@ -96,3 +100,55 @@ def test_stored_index_equals_fitted_one(spark, documents, stored):
 
 def test_open_index_is_returned(stored):
     assert retrieval.load_index(stored) is stored
+
+
+def test_blocks_are_skipped_and_hits_stay(spark, monkeypatch):
+    """Against scores of all postings, with small blocks, ties and class filters."""
+    monkeypatch.setattr(retrieval, "BLOCK_BITS", 2)
+    rng = random.Random(6)
+    words = [f"w{n}" for n in range(60)]
+    rows = [
+        (i % 150, " ".join(rng.choices(words, [1 / (n + 1) for n in range(60)], k=rng.choice((3, 8, 40)))),
+         rng.choice((0, 1, 1, None)))
+        for i in range(400)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, label int").repartition(1)
+    index = retrieval.fit_index(docs, Normalizer(reduction="none"))
+    asked = [
+        (n, " ".join(rng.choices(words, k=rng.randint(1, 4))), rng.choice((None, "positive", "negative")),
+         rng.choice((1, 3, 20)))
+        for n in range(40)
+    ]
+    requests = spark.createDataFrame(asked, "query_id bigint, query string, sentiment string, top_k int")
+    asked_terms = stage(retrieval.query_weights(index, requests), "asked")
+    got = retrieval.rank_hits(index.postings, index.blocks, asked_terms).collect()
+    wanted = {"positive": 1, "negative": 0}
+    scores: dict = {}
+    held = defaultdict(list)
+    for p in index.postings.collect():
+        held[p.term_id].append(p)
+    tops = {}
+    for t in asked_terms.collect():
+        tops[t.request] = t.top_k
+        for p in held[t.term_id]:
+            if t.sentiment is None or p.label == wanted[t.sentiment]:
+                key = (t.request, p.row_id, p.doc_id)
+                scores[key] = scores.get(key, 0.0) + p.weight * t.query_weight
+    want = set()
+    for request, top_k in tops.items():
+        mine = sorted((-round(s, 9), k[2], k[1]) for k, s in scores.items() if k[0] == request)
+        want |= {(request, rank + 1, m[2]) for rank, m in enumerate(mine[:top_k])}
+    assert {(r.request, r["rank"], r.row_id) for r in got} == want
+    kept = retrieval.kept_blocks(index.postings, index.blocks, asked_terms).count()
+    every = retrieval.block_bounds(index.blocks, asked_terms).count()
+    assert 0 < kept < 0.8 * every
+
+
+def test_stored_blocks(spark, stored):
+    """Stored maxima are those of the stored postings; each row lies in one block of its class."""
+    tops = {(r.term_id, r.block): r.top for r in stored.blocks.collect()}
+    want: dict = {}
+    for p in stored.postings.collect():
+        assert p.block % 3 == p.label and p.block // 3 == p.row_id >> retrieval.BLOCK_BITS
+        want[p.term_id, p.block] = max(want.get((p.term_id, p.block), 0.0), p.weight)
+    assert tops == want

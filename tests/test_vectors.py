@@ -1,8 +1,12 @@
+import functools
 import math
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from textweir.operators import cooccurrence, nearest, svd, terms, weights
+from textweir import session
+from textweir.operators import cooccurrence, nearest, skew, svd, terms, weights
+from textweir.session import stage
 
 
 def _docs(spark, texts):
@@ -89,12 +93,28 @@ def test_svd_matches_numpy(spark, monkeypatch):
     exact = u[:, :8] * s[:8]
     for panel_bytes in (1 << 28, 90 * 8 * 6):
         monkeypatch.setattr(svd, "_PANEL_BYTES", panel_bytes)
-        found, sigma = svd.truncated_svd(cells, 90, 8, passes=8, oversampling=20)
+        found, sigma = svd.truncated_svd(cells, 90, 8, oversampling=20)
         got = np.array([r.embedding for r in found.orderBy("row_id").collect()])
         assert np.allclose(sigma, s[:8], rtol=1e-3)
         assert np.abs(got @ got.T - exact @ exact.T).max() < 0.02 * s[0]
 
 
+def test_svd_of_symmetric_matrices(spark):
+    """Half the work for a symmetric matrix, with singular values of either sign."""
+    rng = np.random.default_rng(7)
+    q, _ = np.linalg.qr(rng.standard_normal((120, 120)))
+    values = np.r_[9, -8, 7, -6, 5, 1 / np.arange(2, 117)]
+    matrix = (q * values) @ q.T
+    rows = [(i, j, float(matrix[i, j])) for i in range(120) for j in range(120)]
+    cells = spark.createDataFrame(rows, "row_id int, col_id int, x double")
+    exact = q[:, :5] * np.abs(values[:5])
+    for symmetric in (True, False):
+        found, sigma = svd.truncated_svd(cells, 120, 5, symmetric=symmetric)
+        got = np.array([r.embedding for r in found.orderBy("row_id").collect()])
+        assert np.allclose(sigma, [9, 8, 7, 6, 5], rtol=1e-6)
+        assert np.abs(got @ got.T - exact @ exact.T).max() < 1e-3
+
+
 def test_svd_of_empty_and_low_rank(spark):
     empty = spark.createDataFrame([], "row_id int, col_id int, x double")
     found, sigma = svd.truncated_svd(empty, 3, 2)
@@ -183,3 +203,27 @@ def test_bigrams_need_no_second_shuffle(spark):
     docs = terms.by_document(spark.createDataFrame([(1, "aa bb")], "doc_id bigint, clean string"))
     plan = terms.term_counts(docs, (1, 2))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_frequent_terms_are_dealt_over_tasks(spark, monkeypatch, request):
+    """A vocabulary that must not be broadcast gives the same counts, no task a whole term."""
+    rows = [(i, "common " * (i % 3 + 1) + f"rare{i % 40} both") for i in range(300)]
+    docs = stage(spark.createDataFrame(rows, "doc_id bigint, clean string").withColumn("row_id", F.col("doc_id")), "d")
+    fitted = terms.fit_terms(docs, (1, 1), 1)
+    plain = weights.bag_of_words(docs, fitted.vocab, (1, 1), fitted.size).collect()
+    stored = stage(fitted.vocab, "vocab")
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 50)
+    settings = {"autoBroadcastJoinThreshold": "-1", "adaptive.coalescePartitions.enabled": "false"}
+    for name, value in settings.items():
+        request.addfinalizer(functools.partial(spark.conf.unset, f"spark.sql.{name}"))
+        spark.conf.set(f"spark.sql.{name}", value)
+    dealt = weights.bag_of_words(docs, stored, (1, 1), fitted.size)
+    assert sorted(dealt.collect()) == sorted(plain)
+    grams = terms.document_terms(docs).select("row_id", "term")
+    joined = skew.spread_join(grams, stored, "term", "cf", F.col("row_id"))
+    assert joined.columns == ["term", "row_id", "term_id", "df", "cf"] and joined.count() == grams.count()
+    sizes = joined.groupBy("term", F.spark_partition_id().alias("p")).count()
+    whole = {r.term: r.cf for r in stored.collect()}
+    assert whole["common"] > 500
+    assert max(r["count"] for r in sizes.where("term = 'common'").collect()) < whole["common"]

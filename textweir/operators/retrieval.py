@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textweir.functions.text import Normalizer, label_name, snippet
@@ -23,14 +23,19 @@ NGRAMS = (1, 2)
 BUCKETS = 64
 # Hits up to this number are looked up by a list of their rows.
 IN_LIST = 1_000
+# Rows of a block of postings, as a power of two.
+BLOCK_BITS = 7
+# More than scores that count as equal, at nine decimals, can differ by.
+_TIE = 2e-9
 REQUEST_COLUMNS = ("query_id", "query", "sentiment", "top_k")
 
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """``vocab`` (term, term_id, df, cf), ``postings`` (term_id, row_id, doc_id, label,
-    weight) and
-    ``documents`` (row_id, doc_id, label, text) with whole texts.
+    """``vocab`` (term, term_id, df, cf), ``postings`` (term_id, block, row_id, doc_id, label,
+    weight), ``blocks`` (term_id, block, top) and ``documents`` (row_id, doc_id, label, text) with
+    whole texts. A block is a stretch of rows of one class; ``top`` is the largest weight of a
+    term in it.
 
     ``vocab`` is stored, and carries a broadcast hint if its measured size allows. A stored
     index has a ``bucket`` column on postings and documents, by which reads are pruned:
@@ -39,6 +44,7 @@ class SearchIndex:
     normalizer: Normalizer
     vocab: DataFrame
     postings: DataFrame
+    blocks: DataFrame
     documents: DataFrame
     n_docs: int
     avgdl: float
@@ -56,11 +62,11 @@ def fit_index(
     k1: float = 1.5,
     b: float = 0.75,
 ) -> SearchIndex:
-    """An index over ``(doc_id, text, label)``; its postings are a lazy DataFrame.
+    """An index over ``(doc_id, text, label)``, all of it stored.
 
-    Rows are numbered and stored with their clean text, the vocabulary is stored; the postings
-    are computed from both, so the vocabulary is known, and its size measured, before it is
-    joined. Documents may share a ``doc_id``.
+    Rows are numbered and stored with their clean text, then the vocabulary, so its size is known
+    before it is joined, then the postings and the largest weights of their blocks. Documents may
+    share a ``doc_id``.
     """
     known = terms.identified(documents.select("doc_id", "text", "label"))
     rows = stage(normalizer.apply(known), "documents")
@@ -68,12 +74,16 @@ def fit_index(
     fitted = terms.fit_terms(clean, NGRAMS, min_df, max_features)
     postings = _weighted(
         terms.by_document(clean, "label"), fitted.vocab, fitted.n_docs, fitted.avgdl, k1, b,
-        ("label",),
+        ("label",), fitted.size,
+    )
+    postings = stage(
+        postings.select("term_id", block_of().alias("block"), terms.ROW, "doc_id", "label", "weight"), "postings"
     )
     return SearchIndex(
         normalizer,
         fitted.vocab,
-        postings.select("term_id", terms.ROW, "doc_id", "label", "weight"),
+        postings,
+        stage(block_tops(postings), "blocks"),
         rows.select(terms.ROW, "doc_id", "label", "text"),
         fitted.n_docs,
         fitted.avgdl,
@@ -82,8 +92,19 @@ def fit_index(
     )
 
 
-def _weighted(docs, vocab, n_docs, avgdl, k1, b, carry: tuple[str, ...]) -> DataFrame:
-    return weights.bm25(docs, vocab, NGRAMS, n_docs, avgdl, None, k1, b, carry)
+def _weighted(docs, vocab, n_docs, avgdl, k1, b, carry: tuple[str, ...], size: int | None = None):
+    return weights.bm25(docs, vocab, NGRAMS, n_docs, avgdl, size, k1, b, carry)
+
+
+def block_of(row: str = terms.ROW, label: str = "label") -> Column:
+    """Number of a row's block: rows that follow each other, by class (0, 1, any other)."""
+    kind = F.when(F.col(label) == 0, 0).when(F.col(label) == 1, 1).otherwise(2)
+    return F.shiftright(F.col(row).cast("bigint"), BLOCK_BITS) * 3 + kind
+
+
+def block_tops(postings: DataFrame) -> DataFrame:
+    """``(term_id, block, top)``: the largest weight of each term in each block."""
+    return postings.groupBy("term_id", "block").agg(F.max("weight").alias("top"))
 
 
 def build_index(
@@ -98,7 +119,8 @@ def build_index(
     """Fit and store an index.
 
     Postings lie in folders of term ranges, range-partitioned by (term, row) inside: a
-    frequent term spreads over many files, and a search reads the folders of its terms only.
+    frequent term spreads over many files, and a search reads the folders of its terms only. So
+    do the largest weights of the blocks.
     Documents lie in folders of row ranges. Row numbers are dense in ranges of even size, so
     the folders are even.
     """
@@ -110,6 +132,7 @@ def build_index(
     term_width = max(1, math.ceil((top_term + 1) / BUCKETS))
     row_width = max(1, math.ceil((top_row + 1) / BUCKETS))
     _store(index.postings, "term_id", term_width, f"{path}/postings")
+    _store(index.blocks, "term_id", term_width, f"{path}/blocks", "block")
     _store(index.documents, terms.ROW, row_width, f"{path}/documents")
     stats = (
         "n_docs bigint, avgdl double, k1 double, b double, term_width bigint, row_width bigint"
@@ -120,8 +143,8 @@ def build_index(
     return path
 
 
-def _store(table: DataFrame, key: str, width: int, path: str) -> None:
-    keys = list(dict.fromkeys([key, terms.ROW]))
+def _store(table: DataFrame, key: str, width: int, path: str, second: str = terms.ROW) -> None:
+    keys = list(dict.fromkeys([key, second]))
     ordered = table.repartitionByRange(*keys).sortWithinPartitions(*keys)
     bucket = F.floor(F.col(key) / width).cast("int")
     ordered.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(path)
@@ -136,27 +159,30 @@ def _pruned(table: DataFrame, wanted: DataFrame, key: str, width: int | None) ->
 
 
 def save_normalizer(spark: SparkSession, normalizer: Normalizer, path: str) -> None:
-    """Settings as one JSON object, the lemma table next to it."""
+    """Settings as one row, the tables of lemmas and stop words next to it."""
     settings = (
         "mode string, reduction string, lowercase boolean, remove_stopwords boolean, "
         "keep_negations boolean, min_token_length int, extra_stopwords array<string>, "
-        "missing string, has_lemmas boolean"
+        "missing string, has_lemmas boolean, has_stopwords boolean"
     )
     row = (
         normalizer.mode, normalizer.reduction, normalizer.lowercase, normalizer.remove_stopwords,
         normalizer.keep_negations, normalizer.min_token_length, list(normalizer.extra_stopwords),
-        normalizer.missing, normalizer.lemmas is not None,
+        normalizer.missing, normalizer.lemmas is not None, normalizer.stopwords_table is not None,
     )
     spark.createDataFrame([row], settings).write.mode("overwrite").parquet(f"{path}/settings")
     if normalizer.lemmas is not None:
         normalizer.lemmas.write.mode("overwrite").parquet(f"{path}/lemmas")
+    if normalizer.stopwords_table is not None:
+        normalizer.stopwords_table.write.mode("overwrite").parquet(f"{path}/stopwords")
 
 
 def load_normalizer(spark: SparkSession, path: str) -> Normalizer:
     row = spark.read.parquet(f"{path}/settings").first().asDict()
     lemmas = spark.read.parquet(f"{path}/lemmas") if row.pop("has_lemmas") else None
+    stopwords = spark.read.parquet(f"{path}/stopwords") if row.pop("has_stopwords") else None
     row["extra_stopwords"] = tuple(row["extra_stopwords"])
-    return Normalizer(lemmas=lemmas, **row)
+    return Normalizer(lemmas=lemmas, stopwords_table=stopwords, **row)
 
 
 def load_index(source: SparkSession | SearchIndex, path: str | None = None) -> SearchIndex:
@@ -169,6 +195,7 @@ def load_index(source: SparkSession | SearchIndex, path: str | None = None) -> S
         load_normalizer(source, f"{path}/config"),
         vocab,
         source.read.parquet(f"{path}/postings"),
+        source.read.parquet(f"{path}/blocks"),
         source.read.parquet(f"{path}/documents"),
         stats["n_docs"],
         stats["avgdl"],
@@ -213,28 +240,80 @@ def query_weights(index: SearchIndex, requests: DataFrame) -> DataFrame:
     )
 
 
-def rank_hits(postings: DataFrame, query_terms: DataFrame) -> DataFrame:
-    """``(request, query_id, row_id, score, rank)``: the best documents of each request.
+def _most(query_terms: DataFrame) -> int:
+    """The largest ``top_k`` of a batch, as a literal limit of what tasks keep per request."""
+    return query_terms.agg(F.coalesce(F.max("top_k"), F.lit(0))).first()[0]
+
 
-    ``query_terms`` is stored. The class filter applies before scoring. The literal limit, the
-    largest ``top_k`` asked for, lets each task drop all other rows of a request before they
-    are shuffled. Scores are compared at nine decimals, so copies of a document tie however
-    their terms were added up; ties go by ``doc_id``, then row.
+def block_bounds(blocks: DataFrame, query_terms: DataFrame) -> DataFrame:
+    """``(request, top_k, block, bound)``: no row of the block scores higher for the request.
+
+    Blocks of classes that a request does not ask for are left out.
     """
-    limit = query_terms.agg(F.coalesce(F.max("top_k"), F.lit(0))).first()[0]
     wanted = F.when(F.col("sentiment") == "positive", 1).when(F.col("sentiment") == "negative", 0)
-    scores = (
-        postings.join(query_terms, "term_id")
-        .where(wanted.isNull() | (F.col("label") == wanted))
+    return (
+        blocks.join(query_terms, "term_id")
+        .where(wanted.isNull() | (F.pmod("block", F.lit(3)) == wanted))
+        .groupBy("request", "top_k", "block")
+        .agg(F.sum(F.col("top") * F.col("query_weight")).alias("bound"))
+        .where("bound > 0")
+    )
+
+
+def _ranked(rows: DataFrame, limit: int, *order) -> DataFrame:
+    """The first ``top_k`` rows of each request; tasks drop all beyond ``limit`` on their own."""
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("request").orderBy(*order)))
+    return ranked.where((F.col("rank") <= limit) & (F.col("rank") <= F.col("top_k")))
+
+
+def _scores(postings: DataFrame, query_terms: DataFrame, kept: DataFrame) -> DataFrame:
+    """Scores of the rows in the kept ``(request, block)``.
+
+    The terms of a request are listed for each of its blocks first, so postings of all other
+    blocks drop out in the join, and a frequent term meets the query in pieces of one block.
+    """
+    asked = query_terms.join(kept.select("request", "block"), "request")
+    asked = broadcast_if_measured(
+        stage(asked.select("request", "query_id", "top_k", "term_id", "block", "query_weight"), "asked-blocks"), []
+    )
+    return (
+        postings.join(asked, ["term_id", "block"])
         .groupBy("request", "query_id", "top_k", terms.ROW, "doc_id")
         .agg(F.sum(F.col("weight") * F.col("query_weight")).alias("score"))
         .where("score > 0")
     )
-    order = Window.partitionBy("request").orderBy(F.desc(F.round("score", 9)), "doc_id", terms.ROW)
-    ranked = scores.withColumn("rank", F.row_number().over(order))
-    return ranked.where((F.col("rank") <= limit) & (F.col("rank") <= F.col("top_k"))).select(
-        "request", "query_id", terms.ROW, "score", "rank"
-    )
+
+
+def kept_blocks(postings: DataFrame, blocks: DataFrame, query_terms: DataFrame) -> DataFrame:
+    """``(request, top_k, block, bound)`` of the blocks that can hold a hit; exact.
+
+    The ``top_k`` blocks of the highest bounds hold at least as many matching rows. The score of
+    the ``top_k``-th best of these is a threshold; blocks whose bound lies below it (beyond what
+    counts as a tie) are skipped.
+    """
+    limit = _most(query_terms)
+    bounds = stage(block_bounds(blocks, query_terms), "block-bounds")
+    first = _ranked(bounds, limit, F.desc("bound"), "block")
+    best = _ranked(_scores(postings, query_terms, first), limit, F.desc("score"), terms.ROW)
+    least = best.groupBy("request", "top_k").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
+    least = least.where("n = top_k").select("request", "least")
+    least = broadcast_if_measured(stage(least, "thresholds"), [])
+    near = bounds.join(least, "request", "left")
+    return near.where(F.col("least").isNull() | (F.col("bound") >= F.col("least") - _TIE)).drop("least")
+
+
+def rank_hits(postings: DataFrame, blocks: DataFrame, query_terms: DataFrame) -> DataFrame:
+    """``(request, query_id, row_id, score, rank)``: the best documents of each request.
+
+    ``query_terms`` is stored. Blocks that cannot hold a hit are skipped by their bounds before
+    their postings are joined; the class filter is one of blocks. The literal limit, the largest
+    ``top_k`` asked for, lets each task drop all other rows of a request before they are
+    shuffled. Scores are compared at nine decimals, so copies of a document tie however their
+    terms were added up; ties go by ``doc_id``, then row.
+    """
+    scores = _scores(postings, query_terms, kept_blocks(postings, blocks, query_terms))
+    best = _ranked(scores, _most(query_terms), F.desc(F.round("score", 9)), "doc_id", terms.ROW)
+    return best.select("request", "query_id", terms.ROW, "score", "rank")
 
 
 def _show(hits: DataFrame, documents: DataFrame) -> DataFrame:
@@ -257,8 +336,10 @@ def search_many(index: SearchIndex, requests: DataFrame) -> DataFrame:
     """
     valid, _ = split_requests(requests)
     query_terms = stage(query_weights(index, valid), "query-terms")
-    postings = _pruned(index.postings, query_terms, "term_id", index.term_width)
-    hits = stage(rank_hits(postings, broadcast_if_measured(query_terms, [])), "hits")
+    postings, blocks = (
+        _pruned(t, query_terms, "term_id", index.term_width) for t in (index.postings, index.blocks)
+    )
+    hits = stage(rank_hits(postings, blocks, broadcast_if_measured(query_terms, [])), "hits")
     documents = _pruned(index.documents, hits, terms.ROW, index.row_width)
     return _show(broadcast_if_measured(hits, []), documents)
 
@@ -294,9 +375,11 @@ def search(
     )
     query_terms = stage(query_weights(index, request), "query-terms")
     known = [r["term_id"] for r in query_terms.select("term_id").collect()]
-    postings = _pruned(index.postings, query_terms, "term_id", index.term_width)
-    postings = postings.where(F.col("term_id").isin(known))
-    hits = stage(rank_hits(postings, broadcast_if_measured(query_terms, [])), "hits")
+    postings, blocks = (
+        _pruned(t, query_terms, "term_id", index.term_width).where(F.col("term_id").isin(known))
+        for t in (index.postings, index.blocks)
+    )
+    hits = stage(rank_hits(postings, blocks, broadcast_if_measured(query_terms, [])), "hits")
     documents = _pruned(index.documents, hits, terms.ROW, index.row_width)
     if top_k <= IN_LIST:
         rows = [r[terms.ROW] for r in hits.select(terms.ROW).collect()]

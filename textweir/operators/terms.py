@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textweir.session import broadcast_if_bounded, broadcast_if_measured, stage
+from textweir.operators.skew import spread_join
+from textweir.session import broadcast_fits, broadcast_if_bounded, broadcast_if_measured, stage
 
 ROW = "row_id"
 _NOT_WORD = r"[^\p{L}\p{N}_]+"
@@ -178,16 +179,21 @@ def known_counts(
     max_rows: int | None,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(row_id, doc_id, term_id, tf)``, carried columns and the vocabulary columns but ``term``.
+    """``(row_id, doc_id, term_id, tf)``, carried columns and the vocabulary columns but ``term``
+    and ``cf``.
 
     Unknown n-grams, most of the distinct ones, drop out before anything is counted, and
     the counting keys are numbers. ``max_rows`` bounds the vocabulary: within the broadcast
-    limit the documents stay where they are, beyond it Spark joins on the term.
+    limit the documents stay where they are. Beyond it n-grams meet the vocabulary by term, and
+    the frequent terms, by their ``cf``, are dealt over several tasks. Without ``max_rows`` the
+    vocabulary's own hint decides.
     """
-    keys = [c for c in vocabulary.columns if c != "term"]
-    known = document_terms(docs, ngram_range, carry).join(
-        broadcast_if_bounded(vocabulary, max_rows), "term"
-    )
+    keys = [c for c in vocabulary.columns if c not in ("term", "cf")]
+    grams = document_terms(docs, ngram_range, carry)
+    if "cf" in vocabulary.columns and max_rows is not None and not broadcast_fits(max_rows):
+        known = spread_join(grams, vocabulary, "term", "cf", F.col(ROW))
+    else:
+        known = grams.join(broadcast_if_bounded(vocabulary, max_rows), "term")
     return known.groupBy(ROW, "doc_id", *carry, *keys).agg(F.count(F.lit(1)).alias("tf"))
 
 

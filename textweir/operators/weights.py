@@ -17,11 +17,16 @@ def _per_document() -> WindowSpec:
     return Window.partitionBy(ROW)
 
 
+def _frequency(vocabulary: DataFrame) -> list[str]:
+    """By which frequent terms are known, where the vocabulary tells."""
+    return [c for c in ("cf",) if c in vocabulary.columns]
+
+
 def bag_of_words(
     docs: DataFrame, vocabulary: DataFrame, ngram_range: tuple[int, int], max_rows: int | None
 ) -> DataFrame:
     """Raw counts."""
-    counts = known_counts(docs, vocabulary.select("term", "term_id"), ngram_range, max_rows)
+    counts = known_counts(docs, vocabulary.select("term", "term_id", *_frequency(vocabulary)), ngram_range, max_rows)
     return counts.select(ROW, "doc_id", "term_id", F.col("tf").cast("double").alias("weight"))
 
 
@@ -38,7 +43,8 @@ def tfidf(
 ) -> DataFrame:
     """Count times smoothed idf, rows scaled to length one."""
     idf = tfidf_idf(F.col("df"), n_docs).alias("idf")
-    counts = known_counts(docs, vocabulary.select("term", "term_id", idf), ngram_range, max_rows)
+    known = vocabulary.select("term", "term_id", idf, *_frequency(vocabulary))
+    counts = known_counts(docs, known, ngram_range, max_rows)
     raw = counts.select(ROW, "doc_id", "term_id", (F.col("tf") * F.col("idf")).alias("x"))
     length = F.sqrt(F.sum(F.col("x") * F.col("x")).over(_per_document()))
     return raw.select(ROW, "doc_id", "term_id", (F.col("x") / length).alias("weight"))
@@ -71,7 +77,7 @@ def bm25(
 ) -> DataFrame:
     """``(row_id, doc_id, term_id, tf, weight)`` and carried columns, by the fitted statistics."""
     idf = bm25_idf(F.col("df"), n_docs).alias("idf")
-    known = vocabulary.select("term", "term_id", idf)
+    known = vocabulary.select("term", "term_id", idf, *_frequency(vocabulary))
     counts = known_counts(docs, known, ngram_range, max_rows, carry)
     lengths = counts.withColumn("doc_len", F.sum("tf").over(_per_document()))
     share = F.lit(1.0 - b) + F.lit(b) * F.col("doc_len") / F.lit(max(float(avgdl), 1e-12))

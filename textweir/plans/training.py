@@ -6,7 +6,6 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,18 +42,18 @@ class SentimentModel:
 
     ``vocab`` is ``(term, term_id, df, cf)``; ``coefs`` ``(term_id, coef)``. For word vectors
     ``vocab`` is ``(term, score)``, the product of each vector with the coefficients, since
-    the mean of the vectors times the coefficients is the mean of these scores.
+    the mean of the vectors times the coefficients is the mean of these scores; ``coefs`` then
+    has one row for each dimension.
     """
 
     vectorizer: str
     normalizer: Normalizer
     vocab: DataFrame
-    coefs: DataFrame | None
+    coefs: DataFrame
     intercept: float
     n_docs: int
     avgdl: float
     vocabulary_size: int
-    classifier: LogisticRegressionModel | None = None
 
 
 @dataclass(frozen=True)
@@ -98,13 +97,15 @@ def fit_terms(prepared: PreparedCorpus) -> terms.FittedTerms:
     return terms.fit_terms(prepared.train, NGRAMS, 2, MAX_FEATURES)
 
 
-def _weigh(vectorizer: str, docs: DataFrame, vocab: DataFrame, n_docs: int, avgdl: float):
-    """Long-form weights; ``vocab`` carries a broadcast hint where its measured size allows."""
+def _weigh(
+    vectorizer: str, docs: DataFrame, vocab: DataFrame, n_docs: int, avgdl: float, size: int
+) -> DataFrame:
+    """Long-form weights by a vocabulary of ``size`` terms."""
     if vectorizer == "bow":
-        return weights.bag_of_words(docs, vocab, NGRAMS, None)
+        return weights.bag_of_words(docs, vocab, NGRAMS, size)
     if vectorizer == "tfidf":
-        return weights.tfidf(docs, vocab, NGRAMS, n_docs, None)
-    return weights.bm25(docs, vocab, NGRAMS, n_docs, avgdl, None)
+        return weights.tfidf(docs, vocab, NGRAMS, n_docs, size)
+    return weights.bm25(docs, vocab, NGRAMS, n_docs, avgdl, size)
 
 
 def fit_model(
@@ -122,24 +123,25 @@ def fit_model(
     if vectorizer == "embedding":
         words = embeddings.fit_word_vectors(docs)
         means = nearest.mean_embedding(docs, words.vectors, words.dims, words.rows)
-        features = learn.dense_features(labels, means)
+        features = learn.dense_features(labels, means, words.dims)
         classifier = learn.fit_classifier(features, n_docs * words.dims)
-        coef = F.array(*[F.lit(float(x)) for x in classifier.coefficients.toArray()])
+        coef = F.array(*[F.lit(float(x)) for x in classifier.coefficients])
         products = F.zip_with("embedding", coef, lambda x, y: x * y)
         score = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
         scored = stage(words.vectors.select("term", score.alias("score")), "term-scores")
         return SentimentModel(
-            vectorizer, prepared.normalizer, broadcast_if_measured(scored, ["term"]), None,
-            classifier.intercept, n_docs, 0.0, words.rows, classifier,
+            vectorizer, prepared.normalizer, broadcast_if_measured(scored, ["term"]),
+            learn.coefficients(docs.sparkSession, classifier), classifier.intercept, n_docs, 0.0,
+            words.rows,
         )
     fitted = fitted or fit_terms(prepared)
-    weighed = _weigh(vectorizer, docs, fitted.vocab, n_docs, fitted.avgdl)
+    weighed = _weigh(vectorizer, docs, fitted.vocab, n_docs, fitted.avgdl, fitted.size)
     features = learn.sparse_features(labels, weighed, fitted.size)
     classifier = learn.fit_classifier(features, fitted.total)
     return SentimentModel(
         vectorizer, prepared.normalizer, fitted.vocab,
         learn.coefficients(docs.sparkSession, classifier), classifier.intercept, n_docs,
-        fitted.avgdl, fitted.size, classifier,
+        fitted.avgdl, fitted.size,
     )
 
 
@@ -153,7 +155,9 @@ def predict_clean(model: SentimentModel, docs: DataFrame) -> DataFrame:
         margin = F.lit(model.intercept) + F.coalesce("m", F.lit(0.0))
         scored = kept.join(means, terms.ROW, "left").withColumn("margin", margin).drop("m")
         return learn.predictions(scored)
-    weighed = _weigh(model.vectorizer, spread, model.vocab, model.n_docs, model.avgdl)
+    weighed = _weigh(
+        model.vectorizer, spread, model.vocab, model.n_docs, model.avgdl, model.vocabulary_size
+    )
     return learn.predictions(
         learn.score_weights(kept, weighed, model.coefs, model.intercept, model.vocabulary_size)
     )
@@ -173,8 +177,7 @@ def predict(model: SentimentModel, requests: DataFrame, key: str = "doc_id") ->
 def save_model(model: SentimentModel, path: str) -> str:
     spark = model.vocab.sparkSession
     model.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    if model.coefs is not None:
-        model.coefs.write.mode("overwrite").parquet(f"{path}/coefs")
+    model.coefs.write.mode("overwrite").parquet(f"{path}/coefs")
     schema = (
         "vectorizer string, intercept double, n_docs bigint, avgdl double, vocabulary_size bigint"
     )
@@ -184,24 +187,20 @@ def save_model(model: SentimentModel, path: str) -> str:
     )
     spark.createDataFrame([row], schema).write.mode("overwrite").parquet(f"{path}/settings")
     save_normalizer(spark, model.normalizer, f"{path}/normalizer")
-    if model.classifier is not None:
-        model.classifier.write().overwrite().save(f"{path}/classifier")
     return path
 
 
 def load_model(spark: SparkSession, path: str) -> SentimentModel:
     row = spark.read.parquet(f"{path}/settings").first()
-    coefs = None if row["vectorizer"] == "embedding" else spark.read.parquet(f"{path}/coefs")
     return SentimentModel(
         row["vectorizer"],
         load_normalizer(spark, f"{path}/normalizer"),
         broadcast_if_measured(spark.read.parquet(f"{path}/vocab"), ["term"]),
-        coefs,
+        spark.read.parquet(f"{path}/coefs"),
         row["intercept"],
         row["n_docs"],
         row["avgdl"],
         row["vocabulary_size"],
-        LogisticRegressionModel.load(f"{path}/classifier"),
     )
 
 

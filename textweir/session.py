@@ -88,12 +88,14 @@ def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFra
     return spark.read.schema(schema or df.schema).parquet(path)
 
 
+def broadcast_fits(max_rows: int | None, row_bytes: int = 64) -> bool:
+    """Whether ``max_rows`` rows of about ``row_bytes`` may be broadcast; unknown numbers may not."""
+    return max_rows is not None and max_rows <= BROADCAST_ROWS and max_rows * row_bytes <= BROADCAST_BYTES
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None, row_bytes: int = 64) -> DataFrame:
     """Broadcast hint when ``max_rows`` rows of about ``row_bytes`` are small, else Spark's choice."""
-    small = max_rows is not None and max_rows * row_bytes <= BROADCAST_BYTES
-    if small and max_rows <= BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if broadcast_fits(max_rows, row_bytes) else df
 
 
 def broadcast_if_measured(df: DataFrame, text_columns: list[str]) -> DataFrame:
