@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +95,7 @@ def test_sinks(spark, tmp_path):
     sinks.append_runs(table, str(tmp_path / "ledger"))
     sinks.append_runs(table, str(tmp_path / "ledger"))
     assert spark.read.parquet(str(tmp_path / "ledger")).count() == 2
+    assert sinks.read_runs(spark, str(tmp_path / "ledger")).collect() == table.collect()
     sinks.write_summary(table, str(tmp_path / "json"))
     assert spark.read.json(str(tmp_path / "json")).count() == 1
 
@@ -127,3 +130,16 @@ def test_samples_where_one_key_fills_a_third(spark, monkeypatch, listed):
     sizes = {r.label: r.n for r in flagged.where("is_test").groupBy("label").agg(F.count("*").alias("n")).collect()}
     total = {r.label: r.n for r in df.groupBy("label").agg(F.count("*").alias("n")).collect()}
     assert sizes == {label: int(0.3 * n + 0.5) for label, n in total.items()}
+
+
+def test_ledger_gives_each_run_once(spark, tmp_path):
+    """Retries, concurrent writers, null settings, and runs that differ in one setting only."""
+    path = str(tmp_path / "ledger")
+    rows = [("a", "bow", None, 0.5), ("a", "bow", "10", 0.6), ("a", "tfidf", None, 0.7), ("b", "bow", None, 0.8)]
+    runs = spark.createDataFrame(rows, "dataset string, vectorizer string, sample string, f1 double").coalesce(1)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: sinks.append_runs(runs.where(f"f1 > 0.{n}"), path), (4, 5, 6, 7)))
+    sinks.append_runs(runs.where("f1 = 0.5").withColumn("f1", F.lit(0.1)), path)
+    found = sinks.read_runs(spark, path)
+    assert found.columns == runs.columns
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(rows, key=str)

@@ -111,7 +111,8 @@ class Normalizer:
     """Settings of the normalizer; ``apply`` adds the clean text to a DataFrame.
 
     ``lemmas`` is an optional table ``(surface, lemma)`` for ``reduction="lemma"``; without
-    one, lemmatization leaves tokens as they are. ``missing`` stands in for null texts.
+    one, lemmatization leaves tokens as they are. ``stopwords_table``, a table with a column
+    ``word`` of any size, adds to the stop words. ``missing`` stands in for null texts.
     """
 
     mode: str = "standard"
@@ -123,6 +124,7 @@ class Normalizer:
     extra_stopwords: tuple[str, ...] = ()
     lemmas: DataFrame | None = None
     missing: str = ""
+    stopwords_table: DataFrame | None = None
 
     def __post_init__(self) -> None:
         if self.mode not in MODES:
@@ -162,27 +164,42 @@ class Normalizer:
         return stem_tokens(tokens) if self.reduction == "stem" else tokens
 
     def apply(self, df: DataFrame, text: str = "text", into: str = "clean") -> DataFrame:
-        """Add the space-joined clean text."""
-        if self.reduction == "lemma" and self.lemmas is not None:
-            return _with_lemmas(df, self.surface_tokens(F.col(text)), self.lemmas, into)
-        return df.withColumn(into, F.array_join(self.tokens(F.col(text)), " "))
-
-
-def _with_lemmas(df: DataFrame, tokens: Column, lemmas: DataFrame, into: str) -> DataFrame:
-    """Look tokens up in ``(surface, lemma)``, broadcast if its measured size allows.
-
-    Rows are numbered and stored first, so each is put together again by its number; the table
-    is stored as well, so it is computed once and measured as it is.
+        """Add the space-joined clean text.
+
+        Tables of stop words or lemmas are joined, before and as the reduction; everything else is
+        one expression of the row, which also serves ``tokens``.
+        """
+        lemmas = self.lemmas if self.reduction == "lemma" else None
+        if lemmas is None and self.stopwords_table is None:
+            return df.withColumn(into, F.array_join(self.tokens(F.col(text)), " "))
+        stopwords = self.stopwords_table if self.remove_stopwords else None
+        found = _looked_up(df, self.surface_tokens(F.col(text)), into, stopwords, lemmas)
+        if self.reduction == "stem":
+            found = found.withColumn(into, F.array_join(stem_tokens(F.split(into, " ")), " "))
+        return found
+
+
+def _looked_up(
+    df: DataFrame, tokens: Column, into: str, stopwords: DataFrame | None, lemmas: DataFrame | None
+) -> DataFrame:
+    """Drop tokens listed in ``stopwords (word)``, then look them up in ``(surface, lemma)``.
+
+    Rows are numbered and stored first, so each is put together again by its number. The tables
+    are stored as well, so each is computed once and broadcast by its measured size; a larger one
+    is joined by word.
     """
     row = "__row"
-    table = lemmas.groupBy("surface").agg(F.min("lemma").alias("lemma"))
     docs = df.withColumn(into, F.array_join(tokens, " "))
     docs = stage(docs.withColumn(row, F.monotonically_increasing_id()), "surface").repartition(row)
     words = docs.select(row, F.posexplode(F.split(into, " ")).alias("pos", "surface"))
-    table = broadcast_if_measured(stage(table, "lemmas"), ["surface", "lemma"])
-    reduced = words.join(table, "surface", "left").select(
-        row, "pos", F.coalesce("lemma", "surface").alias("token")
-    )
+    if stopwords is not None:
+        listed = stage(stopwords.select(F.col("word").alias("surface")).distinct(), "stop-words")
+        words = words.join(broadcast_if_measured(listed, ["surface"]), "surface", "left_anti")
+    reduced = words.withColumn("token", F.col("surface"))
+    if lemmas is not None:
+        table = stage(lemmas.groupBy("surface").agg(F.min("lemma").alias("lemma")), "lemmas")
+        table = broadcast_if_measured(table, ["surface", "lemma"])
+        reduced = words.join(table, "surface", "left").withColumn("token", F.coalesce("lemma", "surface"))
     joined = reduced.groupBy(row).agg(
         F.array_join(
             F.transform(
@@ -191,4 +208,5 @@ def _with_lemmas(df: DataFrame, tokens: Column, lemmas: DataFrame, into: str) ->
             " ",
         ).alias(into)
     )
-    return docs.drop(into).join(joined, row, "left").drop(row)
+    whole = docs.drop(into).join(joined, row, "left").drop(row)
+    return whole.withColumn(into, F.coalesce(into, F.lit("")))

@@ -255,6 +255,16 @@ unit AS (SELECT vec_id, list_transform(e, lambda x: CASE WHEN n > 0 THEN x / n E
   FROM (SELECT *, sqrt(list_inner_product(e, e)) AS n FROM vecs))"""
 
 
+# The training rows of the split, and their vocabulary.
+TRAINED = f"""{REVIEWS}, marked AS (SELECT doc_id, text, quality AS label FROM documents
+JOIN labels USING (doc_id)), flagged AS (SELECT doc_id, text, r <= round(0.2::DOUBLE * n) AS test
+  FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat(doc_id, '-42'))) AS r,
+    count(*) OVER (PARTITION BY label) AS n FROM marked)),
+{fitted("SELECT doc_id, text FROM flagged WHERE NOT test")}"""
+FLAT = """SELECT doc_id, regexp_replace(coalesce(text, 'nan'), '[^\\x00-\\xFF]|[\\r\\n]', ' ', 'g') AS text
+  FROM corpus"""
+
+
 def binary(where: str, by: str = "") -> str:
     """Metrics of class 1 over a table with ``label`` and ``prediction``."""
     first, group = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
@@ -485,15 +495,24 @@ FROM asked a CROSS JOIN asked b""",
         f"CAST(embedding[{i + 1}] AS DOUBLE) AS dim_{i}" for i in range(64)
     ) + " FROM embeddings",
     "reviews_csv": f"WITH {CORPUS} SELECT doc_id, text FROM corpus",
-    "messages_csv": f"WITH {MESSAGES} SELECT dataset, doc_id, label, raw_score FROM corpus",
+    "messages_csv": f"WITH {MESSAGES} SELECT dataset, doc_id, text, label, raw_score FROM corpus",
+    "dispatch_modes": f"""SELECT * FROM (WITH {CORPUS}, {normalized("SELECT doc_id, text FROM corpus")}
+SELECT dataset, doc_id, label, clean FROM corpus JOIN clean USING (doc_id))
+UNION ALL SELECT * FROM (WITH {MESSAGES}, {normalized(FLAT, mode="tweet")}
+SELECT dataset, doc_id, label, clean FROM corpus JOIN clean USING (doc_id))""",
+    "model_roundtrip": f"""WITH {fitted()}, {GIVEN} SELECT * FROM given""",
+    "stopwords_table": f"""WITH {normalized(DOCUMENTS)} SELECT doc_id, coalesce(array_to_string(
+list_filter(tokens, lambda x: md5(x) >= '8'), ' '), '') AS clean FROM clean""",
+    "fit_gradient": f"""WITH {TRAINED} SELECT term, 0.0::DOUBLE AS gradient FROM vocab
+UNION ALL SELECT '(intercept)', 0.0::DOUBLE""",
+    "ledger_rows": f"""WITH {JUDGED},
+placed AS (SELECT j.*, d.source AS dataset FROM judged j JOIN documents d ON j.doc_id = d.doc_id),
+runs AS ({binary("placed", "dataset")})
+SELECT dataset, round(accuracy, 6) AS accuracy, round(f1, 6) AS f1, rows FROM runs""",
     "score_given": f"""WITH {fitted()}, {GIVEN} SELECT * FROM given""",
     "stream_scores": f"""WITH {fitted()}, {GIVEN} SELECT doc_id, prediction AS label, sentiment,
 probability FROM given JOIN documents USING (doc_id) WHERE length(text) >= 1""",
-    "run_sizes": f"""WITH {REVIEWS}, marked AS (SELECT doc_id, text, quality AS label FROM documents
-JOIN labels USING (doc_id)), flagged AS (SELECT doc_id, text, r <= round(0.2::DOUBLE * n) AS test
-  FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(concat(doc_id, '-42'))) AS r,
-    count(*) OVER (PARTITION BY label) AS n FROM marked)),
-{fitted("SELECT doc_id, text FROM flagged WHERE NOT test")}
+    "run_sizes": f"""WITH {TRAINED}
 SELECT (SELECT count(*) FROM vocab) AS vocabulary_size,
   (SELECT count(*) FROM flagged WHERE NOT test) AS train_rows,
   (SELECT count(*) FROM flagged WHERE test) AS test_rows""",
@@ -542,3 +561,7 @@ runs AS ({binary("placed", "source")})
 SELECT count(*) AS rows, round(max(f1), 6) AS best_f1, round(max(accuracy), 6) AS best_accuracy,
 max(rows) AS best_vocabulary_size FROM runs""",
 }
+# The class report three times: whole from two sinks, one line from the third.
+ORACLES["sink_roundtrips"] = f"""SELECT 'csv' AS sink, * FROM ({ORACLES["class_report"]})
+UNION ALL SELECT 'report', * FROM ({ORACLES["class_report"]})
+UNION ALL SELECT 'json', * FROM ({ORACLES["class_report"]}) WHERE class = 'accuracy'"""

@@ -15,6 +15,7 @@ from textweir.functions.vectors import unit
 from textweir.operators import (
     cooccurrence,
     labels,
+    learn,
     metrics,
     nearest,
     retrieval,
@@ -323,21 +324,76 @@ def wide_sink(spark, sf):
 def reviews_csv(spark, sf):
     """Reviews written as the raw CSV and read back."""
     path = f"{scratch_root(spark)}/reviews-{uuid.uuid4().hex}"
-    table = tables.reviews(spark, sf)
-    table.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    _write_reviews(tables.reviews(spark, sf), path)
     corpus = corpora.review_corpus(corpora.read_reviews(spark, path))
     return corpus.select("doc_id", "text")
 
 
+def _as_latin(text: Column) -> Column:
+    """Every UTF-8 byte of a text as the Latin-1 character of that number."""
+    return F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
+
+
+def _from_latin(text: Column) -> Column:
+    return F.decode(F.encode(text, "ISO-8859-1"), "UTF-8")
+
+
+def _write_messages(table: DataFrame, path: str) -> None:
+    plain = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    table.write.options(escape='"', quoteAll="true", encoding="ISO-8859-1", **plain).csv(path)
+
+
+def _write_reviews(table: DataFrame, path: str) -> None:
+    table.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+
+
 def messages_csv(spark, sf):
-    """Messages written as the raw CSV (texts by number only, as it is Latin-1) and read back."""
+    """Whole messages written as the raw Latin-1 CSV, their UTF-8 bytes as characters, and read back."""
     path = f"{scratch_root(spark)}/messages-{uuid.uuid4().hex}"
-    table = tables.messages(spark, sf).withColumn("text", F.concat(F.lit("say, "), F.length("text")))
-    table.write.option("escape", '"').option("quoteAll", True).option(
-        "encoding", "ISO-8859-1"
-    ).csv(path)
-    corpus = corpora.message_corpus(corpora.read_messages(spark, path))
-    return corpus.select("dataset", "doc_id", "label", "raw_score")
+    _write_messages(tables.messages(spark, sf).withColumn("text", _as_latin(F.col("text"))), path)
+    corpus = corpora.message_corpus(corpora.read_messages(spark, path, multiline=True))
+    return corpus.withColumn("text", _from_latin(F.col("text")))
+
+
+def dispatch_modes(spark, sf):
+    """Both raw files read by corpus name, each normalized in the mode of its corpus."""
+    folder = f"{scratch_root(spark)}/raw-{uuid.uuid4().hex}"
+    _write_reviews(tables.reviews(spark, sf), f"{folder}/{corpora.REVIEW_FILE}")
+    flat = F.regexp_replace("text", r"[^\x00-\xFF]|[\r\n]", " ")
+    _write_messages(tables.messages(spark, sf).withColumn("text", flat), f"{folder}/{corpora.MESSAGE_FILE}")
+    found = None
+    for name in corpora.DATASETS:
+        corpus = corpora.load_dataset(spark, name, folder)
+        clean = training.normalizer_for(name, "none").apply(corpus)
+        clean = clean.select("dataset", "doc_id", "label", "clean")
+        found = clean if found is None else found.unionByName(clean)
+    return found
+
+
+def sink_roundtrips(spark, sf):
+    """The class report through the CSV, report and JSON sinks."""
+    report = stage(class_report(spark, sf), "class-report")
+    folder = f"{scratch_root(spark)}/sinks-{uuid.uuid4().hex}"
+    csv = spark.read.option("header", True).csv(sinks.write_csv(report, f"{folder}/csv"))
+    stored = spark.read.parquet(sinks.write_report(report, f"{folder}/report"))
+    json = spark.read.json(sinks.write_summary(report.where(F.col("class") == "accuracy"), f"{folder}/json"))
+    found = None
+    for name, table in {"csv": csv, "report": stored, "json": json}.items():
+        columns = [F.col(c).cast(kind).alias(c) for c, kind in report.dtypes]
+        rows = table.select(F.lit(name).alias("sink"), *columns)
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def ledger_rows(spark, sf):
+    """Runs appended twice, by source; the ledger gives each once."""
+    sources = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("source").alias("dataset"))
+    runs = metrics.binary_metrics(tables.judged(spark, sf).join(sources, "doc_id"), by=("dataset",))
+    path = f"{scratch_root(spark)}/ledger-{uuid.uuid4().hex}"
+    for _ in range(2):
+        sinks.append_runs(runs, path)
+    found = sinks.read_runs(spark, path)
+    return found.select("dataset", *[rounded(c, c) for c in ("accuracy", "f1")], "rows")
 
 
 # Rows that share an id
@@ -525,6 +581,40 @@ def score_given(spark, sf):
     return found.select("doc_id", "prediction", "sentiment", rounded("probability", "probability"))
 
 
+def model_roundtrip(spark, sf):
+    """The given model saved, loaded and applied."""
+    model, clean = _given_model(spark, sf)
+    path = training.save_model(model, f"{scratch_root(spark)}/model-{uuid.uuid4().hex}")
+    found = training.predict_clean(training.load_model(spark, path), clean)
+    return found.select("doc_id", "prediction", "sentiment", rounded("probability", "probability"))
+
+
+def fit_gradient(spark, sf):
+    """The gradient at the fitted coefficients, by term, computed apart from the fit: zero."""
+    prepared = training.prepare(tables.labelled(spark, sf), "amazon", "none")
+    fitted = training.fit_terms(prepared)
+    model = training.fit_model(prepared, "tfidf", fitted)
+    docs = terms.by_document(prepared.train)
+    weighed = stage(weights.tfidf(docs, fitted.vocab, training.NGRAMS, fitted.n_docs, fitted.size), "weights")
+    found = learn.gradient(
+        prepared.train.select(terms.ROW, "label"), weighed.select(terms.ROW, "term_id", "weight"),
+        model.coefs, model.intercept,
+    )
+    named = found.join(fitted.vocab.select("term_id", "term"), "term_id", "left")
+    return named.select(
+        F.coalesce("term", F.lit("(intercept)")).alias("term"), F.round(F.abs("gradient"), 5).alias("gradient")
+    )
+
+
+def stopwords_table(spark, sf):
+    """A table of stop words: half of all words of the documents, by their hash."""
+    docs = tables.documents(spark, sf)
+    words = STANDARD.apply(docs).select(F.explode(F.split("clean", " ")).alias("word"))
+    listed = words.distinct().where(F.md5("word") < "8")
+    normalizer = Normalizer(reduction="none", stopwords_table=listed)
+    return normalizer.apply(docs).select("doc_id", "clean")
+
+
 def stream_scores(spark, sf):
     model, _ = _given_model(spark, sf)
     found = _finished(
@@ -628,6 +718,12 @@ QUERIES: dict[str, Query] = {
     "wide_sink": wide_sink,
     "reviews_csv": reviews_csv,
     "messages_csv": messages_csv,
+    "dispatch_modes": dispatch_modes,
+    "sink_roundtrips": sink_roundtrips,
+    "ledger_rows": ledger_rows,
+    "model_roundtrip": model_roundtrip,
+    "fit_gradient": fit_gradient,
+    "stopwords_table": stopwords_table,
     "repeated_ids": repeated_ids,
     "repeated_ids_split": repeated_ids_split,
     "index_roundtrip": index_roundtrip,
