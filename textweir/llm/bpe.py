@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import sys
 from dataclasses import dataclass
@@ -15,7 +16,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textweir.llm.common import digest, lists
+from textweir.llm.common import lists
 
 # Fixed value: how byte-level vocabularies of this family split a text into pieces.
 PATTERN = regex.compile(
@@ -23,8 +24,9 @@ PATTERN = regex.compile(
 )
 # Pieces of up to this many bytes are merged side by side in numpy, longer ones one by one.
 SIDE_BY_SIDE = 64
-# Pieces whose tokens a worker remembers, and characters split at once: bounds of its memory.
-CACHE = 400_000
+# Pieces of each of the two generations a worker remembers, and characters split at once: bounds
+# of its memory.
+CACHE = 300_000
 CHUNK = 1 << 19
 # Bytes of the pieces that are merged in step: their trees stay in the processor's cache.
 _STEP = 1 << 16
@@ -40,15 +42,35 @@ def byte_chars() -> list[str]:
 
 
 class _Memory:
-    """Tokens of the pieces met so far, kept by a worker from task to task."""
+    """Tokens of the pieces met lately, kept by a worker from task to task.
+
+    A full generation becomes the older one; pieces met again are taken over from there, so only
+    pieces not met for a whole generation are forgotten.
+    """
 
     name = ""
 
-    def __init__(self, name: str = ""):
+    def __init__(self, name: str = "", older: _Memory | None = None):
         self.name = name
         self.known: dict[str, int] = {}
         self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
-        self.order: dict[int, int] = {}
+        self.order: dict[int, int] = older.order if older else {}
+        self.older = older
+        if older:
+            older.older = None
+
+    def add(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
+        self.ids = np.concatenate([self.ids, ids]).astype(np.int32)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+
+    def recall(self, pieces: set[str]) -> None:
+        """Take over what the older generation knows of these."""
+        if self.older:
+            again = [p for p in pieces if p in self.older.known]
+            at = np.fromiter(map(self.older.known.__getitem__, again), np.int64, len(again))
+            self.add(again, *_pick(self.older.ids, self.older.ends, at))
+            pieces.difference_update(again)
 
 
 def _process() -> dict:
@@ -79,8 +101,10 @@ class ByteBpe:
     def memory(self, renew: bool = False) -> _Memory:
         """What this process remembers of this vocabulary; of one vocabulary at a time."""
         kept = _process().get("bpe")
-        if renew or kept is None or kept.name != self.name:
+        if kept is None or kept.name != self.name:
             kept = _process()["bpe"] = _Memory(self.name)
+        elif renew:
+            kept = _process()["bpe"] = _Memory(self.name, kept)
         return kept
 
     # -- encoding ---------------------------------------------------------------------------
@@ -192,7 +216,7 @@ class ByteBpe:
         data = [p.encode() for p in pieces]
         length = np.fromiter(map(len, data), np.int64, len(data))
         order = np.argsort(length, kind="stable")
-        found, counts = [memory.ids], [np.diff(memory.ends)]
+        found, counts = [], []
         whole = [data[i] for i in order]
         at, size = 0, 4
         while size <= SIDE_BY_SIDE:
@@ -205,10 +229,7 @@ class ByteBpe:
         for piece in whole[at:]:
             found.append(np.array(self.merge_one(piece)))
             counts.append(np.array([len(found[-1])]))
-        numbers = range(len(memory.known), len(memory.known) + len(pieces))
-        memory.known.update(zip([pieces[i] for i in order], numbers, strict=True))
-        memory.ids = np.concatenate(found).astype(np.int32)
-        memory.ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        memory.add([pieces[i] for i in order], np.concatenate(found), np.concatenate(counts))
 
     def _chunk(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         pieces: list[str] = []
@@ -223,18 +244,19 @@ class ByteBpe:
             pieces += PATTERN.findall(text, at)
             borders.append(len(pieces))
         memory = self.memory()
-        new = {p for p in pieces if p not in memory.known}
+        at = np.fromiter(map(memory.known.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+        unknown = np.flatnonzero(at < 0)
+        new = {pieces[i] for i in unknown.tolist()}
         if len(memory.known) + len(new) > CACHE:
             memory = self.memory(renew=True)
-            new = set(pieces)
-        for token in new & self.added.keys():
-            memory.ids = np.append(memory.ids, np.int32(self.added[token]))
-            memory.ends = np.append(memory.ends, len(memory.ids))
-            memory.known[token] = len(memory.known)
-            new.discard(token)
+            new, unknown = set(pieces), np.arange(len(pieces))
+        memory.recall(new)
+        special = [t for t in self.added if t in new]
+        memory.add(special, np.array([self.added[t] for t in special], np.int32), np.ones(len(special), np.int64))
+        new.difference_update(special)
         if new:
             self._learn(list(new))
-        at = np.fromiter(map(memory.known.__getitem__, pieces), np.int64, len(pieces))
+        at[unknown] = [memory.known[pieces[i]] for i in unknown.tolist()]
         ids, n = _pick(memory.ids, memory.ends, at)
         total = np.concatenate([[0], np.cumsum(n)])
         return ids, np.diff(total[borders])
@@ -356,10 +378,37 @@ def decode(ids: Column, bpe: ByteBpe) -> Column:
     return of(ids)
 
 
-def digests(ids: Column, decoded: Column) -> list[Column]:
-    """``n_tokens``, ``ids_sha256`` (decimal ids joined by commas) and ``decoded_sha256``."""
-    return [
-        F.coalesce(F.size(ids), F.lit(0)).cast("long").alias("n_tokens"),
-        digest(F.coalesce(F.array_join(ids.cast("array<string>"), ","), F.lit(""))).alias("ids_sha256"),
-        digest(F.coalesce(decoded, F.lit(""))).alias("decoded_sha256"),
-    ]
+def coded(text: Column, bpe: ByteBpe, keep_ids: bool = True) -> Column:
+    """``struct<n_tokens, ids_sha256, decoded_sha256, ids>`` of whole texts in one step.
+
+    ``ids`` as ``encode`` gives them, left out if not kept; ``ids_sha256`` is that of the decimal
+    ids joined by commas, ``decoded_sha256`` that of the text that ``decode`` makes of them. One
+    function, as Spark would encode anew for each column made of the ids, and send all decoded
+    texts back.
+    """
+    fields = "n_tokens:long,ids_sha256:string,decoded_sha256:string" + ",ids:array<int>" * keep_ids
+
+    @F.arrow_udf(f"struct<{fields}>")
+    def of(texts: pa.Array) -> pa.Array:
+        digits = [f"{i},".encode() for i in range(len(bpe.border) - 1)]
+        border = np.concatenate([[0], np.cumsum([len(d) for d in digits])])
+        digits = np.frombuffer(b"".join(digits), np.uint8)
+        parts = []
+        size = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+        for part in _slices(texts, size):
+            ids, counts = bpe.encode([t or "" for t in part.to_pylist()])
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            spelled, n = _pick(digits, border, ids)
+            cuts = np.concatenate([[0], np.cumsum(n)])[ends].tolist()
+            spelled = spelled.tobytes()
+            sha = [hashlib.sha256(spelled[a : max(a, b - 1)]).hexdigest() for a, b in itertools.pairwise(cuts)]
+            read = [hashlib.sha256(t.encode()).hexdigest() for t in bpe.decode(ids, counts)]
+            columns = [pa.array(counts.astype(np.int64)), pa.array(sha, pa.string()), pa.array(read, pa.string())]
+            names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+            if keep_ids:
+                columns.append(lists(ids, ends, pa.int32()))
+                names.append("ids")
+            parts.append(pa.StructArray.from_arrays(columns, names=names))
+        return pa.concat_arrays(parts)
+
+    return of(text)

@@ -140,11 +140,9 @@ def op9_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Every document as tokens and back."""
     vocabulary = bpe.load(VOCABULARY)
-    coded = documents(spark, sf).select(
-        "doc_id", bpe.encode(F.col("text"), vocabulary).alias("ids")
-    )
-    read = coded.select("doc_id", "ids", bpe.decode(F.col("ids"), vocabulary).alias("decoded"))
-    return read.select("doc_id", *bpe.digests(F.col("ids"), F.col("decoded")))
+    coded = bpe.coded(F.col("text"), vocabulary, keep_ids=False)
+    found = documents(spark, sf).select("doc_id", coded.alias("coded"))
+    return found.select("doc_id", "coded.*")
 
 
 def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
