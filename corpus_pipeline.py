@@ -44,9 +44,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every document, their digest, and the digest of the decoded text."""
     vocabulary = bpe.load(VOCABULARY)
-    coded = docs.select("doc_id", bpe.encode(F.col("text"), vocabulary).alias("ids"))
-    read = coded.select("doc_id", "ids", bpe.decode(F.col("ids"), vocabulary).alias("decoded"))
-    return read.select("doc_id", "ids", *bpe.digests(F.col("ids"), F.col("decoded")))
+    found = docs.select("doc_id", bpe.coded(F.col("text"), vocabulary).alias("coded"))
+    return found.select("doc_id", "coded.ids", "coded.n_tokens", "coded.ids_sha256", "coded.decoded_sha256")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
