@@ -57,21 +57,21 @@ def plain(rows):
             v = vector(x)
             score = max((round(sum(v[w] * t.get(w, 0) for w in v), 9), n) for n, t in templates)
             if score[0] >= licenses.COSINE:
-                found.append((*score, len(x)))
+                found.append((len(x), *score))
         own.append(max(found, default=None))
-        if path is not None and found and 2 * sum(f[2] for f in found) >= sum(map(len, text)):
+        if path is not None and found and 2 * sum(f[0] for f in found) >= sum(map(len, text)):
             folder = path.rpartition("/")[0]
-            given[folder] = max(given.get(folder, (0, "", 0)), max(found))
+            given[folder] = max(given.get(folder, (0, 0, "")), max(found))
     out = []
     for (path, _), mine in zip(rows, own, strict=True):
         row = (path, None, "none", None)
         if mine:
-            row = (path, mine[1], "own", None)
+            row = (path, mine[2], "own", None)
         elif path is not None:
             steps = path.rpartition("/")[0].split("/")
             for n in range(len(steps), -1, -1):
                 if (folder := "/".join(steps[:n])) in given:
-                    row = (path, given[folder][1], "inherited", folder)
+                    row = (path, given[folder][2], "inherited", folder)
                     break
         out.append(row)
     return ordered(out)
@@ -127,3 +127,91 @@ def test_embedded_and_wrapped_statements(spark, files):
     found = {r.path: r.license for r in licenses.scan(frame(spark, rows)).collect()}
     assert [found[p] for p, _ in rows[: len(own)]] == ["MIT"] * len(own)
     assert {found[p] for p, _ in rows[len(own) :]} == {None}
+
+
+# The usual texts of whole license files and headers.
+MIT_FILE = """MIT License
+
+Copyright (c) 2024 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD_FILE = """Copyright (c) 2024, Jane Doe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE.
+"""
+ISC_FILE = """Copyright 2024 Jane Doe
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS.
+"""
+APACHE_HEADER = """# Copyright 2024 Example Company. All rights reserved.
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+
+
+def test_whole_license_files_pass_their_license_on(spark):
+    code = "value = compute(first, second)\n" * 60
+    rows = []
+    for name, text in {"mit": MIT_FILE, "bsd": BSD_FILE, "isc": ISC_FILE}.items():
+        rows += [(f"{name}/LICENSE", text), (f"{name}/src/a.py", code), (f"{name}/src/deep/b.py", "x = 1")]
+    rows += [("other/c.py", APACHE_HEADER + code), ("other/d.py", code), (None, code)]
+    rows += [(f"prose/{n}.txt", f"the owner of the house and {n} more words in all kinds of use") for n in range(40)]
+    found = {r.path: (r.license, r.origin, r.license_folder) for r in licenses.scan(frame(spark, rows)).collect()}
+    for name, license in {"mit": "MIT", "bsd": "BSD-3-Clause", "isc": "ISC"}.items():
+        assert found[f"{name}/LICENSE"] == (license, "own", None)
+        assert found[f"{name}/src/a.py"] == found[f"{name}/src/deep/b.py"] == (license, "inherited", name)
+    assert found["other/c.py"] == ("Apache-2.0", "own", None)
+    assert found["other/d.py"] == found["prose/3.txt"] == (None, "none", None)

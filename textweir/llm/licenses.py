@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import string
 from collections import Counter
@@ -18,23 +19,66 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
         "file except in compliance with the License.",
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the "
+        "License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY "
+        "KIND, either express or implied.",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
         "software and associated documentation files",
+        "to deal in the Software without restriction, including without limitation the rights to "
+        "use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+        "Software, and to permit persons to whom the Software is furnished to do so",
+        "The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT.",
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+        "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT "
+        "OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
         "SPDX-License-Identifier: MIT",
     ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO "
+        "THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+        "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+        "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING "
+        "OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+        "SPDX-License-Identifier: ISC",
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+        "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+        "You should have received a copy of the GNU General Public License along with this program.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
     "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials "
+        "provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written "
+        "permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY "
+        "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+        "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
     "MPL-2.0": (
@@ -159,9 +203,10 @@ def _units(words: Column, lines: Column, templates, cosine: float) -> Column:
 
 
 def _scores(units: Column, weight: Column, foreign: float, templates, cosine: float) -> Column:
-    """The units from ``cosine`` on: ``array<struct<cosine, license, at, words>>``.
+    """The units from ``cosine`` on: ``array<struct<words, cosine, license, at>>``.
 
-    Every unit is compared with every template; of equal cosines the later name counts.
+    Every unit is compared with every template; of equal cosines the later name counts. Among
+    units the longest counts, so a general phrase does not outrank a whole statement.
     """
     table = F.array(
         *[F.struct(F.lit(n).alias("license"), _mapping(v).alias("vector")) for n, v in templates]
@@ -195,7 +240,8 @@ def _scores(units: Column, weight: Column, foreign: float, templates, cosine: fl
     weighed = F.transform(
         units, lambda u: F.struct(weights(u["words"]).alias("v"), F.size(u["words"]).alias("n"), u["at"].alias("at"))
     )
-    return F.filter(F.transform(weighed, best), lambda s: s["cosine"] >= cosine)
+    found = F.filter(F.transform(weighed, best), lambda s: s["cosine"] >= cosine)
+    return F.transform(found, lambda s: F.struct(*[s[c].alias(c) for c in ("words", "cosine", "license", "at")]))
 
 
 def statements(
@@ -203,7 +249,7 @@ def statements(
 ) -> DataFrame:
     """``(h, best, whole)`` of each distinct text with license statements, by hash of the text.
 
-    ``best`` is the best statement, ``whole`` says that statements hold ``FILE_SHARE`` of the
+    ``best`` is the longest statement, ``whole`` says that statements hold ``FILE_SHARE`` of the
     words. Every word is weighed by the files that hold it: the words of the compared units
     are counted over all files and joined back by text.
     """
@@ -212,11 +258,15 @@ def statements(
     total = files.count()
     stream = _stream(F.col(text))
     held = F.array_intersect(F.array(*map(F.lit, vocabulary())), stream)
-    maybe = F.lit(False)
-    for _, vector in templates:
-        maybe |= _share(F.col("held"), vector) >= cosine * cosine - 1e-9
+
+    def maybe(own: Column) -> Column:
+        return functools.reduce(
+            lambda a, t: a | (_share(own, t[1]) >= cosine * cosine - 1e-9), templates, F.lit(False)
+        )
+
     lines = F.transform(F.split(_plain(F.coalesce(F.col(text), F.lit(""))), "\n"), _words)
-    likely = files.select(F.xxhash64(text).alias("h"), F.col(text).alias("t"), held.alias("held")).where(maybe)
+    # Bound by a lambda: as a column, the filter would cut the text into words for each template.
+    likely = files.where(F.exists(F.array(held), maybe)).select(F.xxhash64(text).alias("h"), F.col(text).alias("t"))
     likely = likely.groupBy("h").agg(F.first("t").alias(text))
     likely = stage(likely.select("h", stream.alias("words"), lines.alias("lines")), "license-texts")
     units = likely.select(
@@ -257,10 +307,11 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", cosine: float
     """``files`` with ``license, cosine, origin, license_folder``; columns so named are replaced.
 
     ``origin`` is ``own`` where a line of the whole text, or a window of as many words as a
-    template has, also across lines, is like a template (the best one counts), ``inherited`` where the nearest folder at or above the file holds a license file,
-    else ``none`` with null license. A license file is one whose license statements hold
-    ``FILE_SHARE`` of its words; several in a folder: the highest cosine, then the later name,
-    counts. Paths are ``/``-separated; a null path inherits nothing and gives nothing on, an
+    template has, also across lines, is like a template (the longest such statement counts, then
+    the highest cosine), ``inherited`` where the nearest folder at or above the file holds a
+    license file, else ``none`` with null license. A license file is one whose license statements hold
+    ``FILE_SHARE`` of its words; several in a folder: the longest statement, then the highest
+    cosine and the later name, counts. Paths are ``/``-separated; a null path inherits nothing and gives nothing on, an
     empty one lies in the root. Null and empty texts have no license of their own. Repeated
     rows stay.
 
