@@ -18,13 +18,15 @@ from textweir.operators import metrics
 from textweir.operators.terms import ROW
 from textweir.session import broadcast_if_bounded, stage
 
-_ENTRIES_PER_PARTITION = 2_000_000
+_ENTRIES_PER_PARTITION = 1_000_000
 # Entries of one stored block; columns of one slice of a gradient; gradients added up directly.
 _BLOCK_ENTRIES = 500_000
 _SLICE = 1 << 17
 _FAN_IN = 64
-# Steps that the optimizer remembers.
-_MEMORY = 12
+# Steps that the optimizer remembers: vectors on the driver, which spare passes over the rows.
+_MEMORY = 60
+# Largest component of the gradient of the mean loss at which a fit ends, as is usual for this fit.
+TOLERANCE = 1e-4
 _BLOCK = "rows int, label binary, size binary, index binary, value binary"
 
 
@@ -162,19 +164,6 @@ def _losses(point: np.ndarray, columns: int, weight: dict[float, float]):
     return add
 
 
-def _curvatures(columns: int, weight: dict[float, float]):
-    """Task function: the diagonal of the Hessian at zero."""
-
-    def add(batches):
-        total = np.zeros(columns + 1)
-        for y, n, index, value in _each(batches):
-            w = np.where(y == 1, weight.get(1, 0.0), weight.get(0, 0.0)) / 4
-            total += _spread(n, index, value * value, columns, w)
-        yield from _slices(total, 0.0)
-
-    return add
-
-
 def _added(batches):
     """Task function: sums of the slices of one partition, one value at a time."""
     total: dict[int, np.ndarray] = {}
@@ -203,43 +192,46 @@ def _summed(blocks: DataFrame, task, tasks: int) -> tuple[float, np.ndarray]:
         partial = partial.mapInArrow(_added, schema)
     total: dict[int, np.ndarray] = {}
     loss = 0.0
-    for row in partial.collect():
-        values = np.frombuffer(row["gradient"])
-        total[row["slice"]] = total[row["slice"]] + values if row["slice"] in total else values
-        loss += row["loss"]
+    # As Arrow: rows of long binary values are slow to collect.
+    found = partial.toArrow()
+    for n, part, data in zip(*(found.column(c) for c in ("slice", "loss", "gradient")), strict=True):
+        values = np.frombuffer(data.as_buffer())
+        total[n.as_py()] = total[n.as_py()] + values if n.as_py() in total else values
+        loss += part.as_py()
     return loss, np.concatenate([total[n] for n in sorted(total)])
 
 
-def _direction(gradient: np.ndarray, steps: deque, scale: np.ndarray) -> np.ndarray:
-    """Two-loop recursion of limited-memory BFGS on top of a diagonal."""
+def _direction(gradient: np.ndarray, steps: deque) -> np.ndarray:
+    """Two-loop recursion of limited-memory BFGS."""
     q, shares = gradient.copy(), []
-    for s, y in reversed(steps):
-        a = (s @ q) / (s @ y)
+    for s, y, sy in reversed(steps):
+        a = (s @ q) / sy
         q -= a * y
         shares.append(a)
-    q /= scale
     if steps:
-        s, y = steps[-1]
-        q *= (s @ y) / (y @ (y / scale))
-    for (s, y), a in zip(steps, reversed(shares), strict=True):
-        q += s * (a - (y @ q) / (s @ y))
+        _, y, sy = steps[-1]
+        q *= sy / (y @ y)
+    else:
+        q /= max(1.0, np.abs(q).sum())
+    for (s, y, sy), a in zip(steps, reversed(shares), strict=True):
+        q += s * (a - (y @ q) / sy)
     return -q
 
 
 def fit_classifier(
-    features: Features, entries: int, max_iter: int = 1000, strength: float = 1.0, tol: float = 1e-6
+    features: Features, entries: int, max_iter: int = 1000, strength: float = 1.0, tol: float = TOLERANCE
 ) -> Classifier:
     """Logistic regression with an L2 penalty of ``1/strength`` and balanced classes.
 
     Minimizes the mean of the weighted losses plus half the squared coefficients over
-    ``strength`` times the rows, on the features as they are, by limited-memory BFGS whose first
-    metric is the Hessian's diagonal at zero. Ends where no component of the gradient exceeds
+    ``strength`` times the rows, on the features as they are, by limited-memory BFGS. Ends where no component of the gradient exceeds
     ``tol`` times the largest one at zero (or ``tol`` itself, if larger), after ``max_iter``
     steps, or where the loss cannot fall any more. Labels are 0 and 1. No rows give zeros.
 
     Every pass is one job over the blocks, which are kept on the executors for the fit only and
     read again from storage where an executor is lost; ``entries``, the number of values, decides
-    on the number of tasks. The driver holds a few vectors of the length of the coefficients.
+    on the number of tasks. The driver holds ``_MEMORY`` pairs of vectors of the length of the
+    coefficients.
     """
     columns = features.columns
     classes = features.classes.select("label", "n", "weight").collect()
@@ -249,7 +241,7 @@ def fit_classifier(
     weight = {int(r["label"]): float(r["weight"]) for r in classes}
     penalty = np.full(columns + 1, 1.0 / strength)
     penalty[columns] = 0.0
-    tasks = max(1, math.ceil(entries / _ENTRIES_PER_PARTITION), features.blocks.sparkSession.sparkContext.defaultParallelism)
+    tasks = max(1, math.ceil(entries / _ENTRIES_PER_PARTITION))
     blocks = features.blocks.repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK)
     passes = 0
 
@@ -260,8 +252,6 @@ def fit_classifier(
         return (loss + point @ (penalty * point) / 2) / rows, (gradient + penalty * point) / rows
 
     try:
-        _, curve = _summed(blocks, _curvatures(columns, weight), tasks)
-        scale = np.maximum((curve + penalty) / rows, 1e-300)
         point = np.zeros(columns + 1)
         loss, gradient = at(point)
         enough = tol * max(1.0, np.abs(gradient).max())
@@ -269,7 +259,7 @@ def fit_classifier(
         for _ in range(max_iter):
             if np.abs(gradient).max() <= enough:
                 break
-            move = _direction(gradient, steps, scale)
+            move = _direction(gradient, steps)
             slope, length = float(gradient @ move), 1.0
             while True:
                 new_loss, new_gradient = at(point + length * move)
@@ -281,8 +271,9 @@ def fit_classifier(
             if new_loss >= loss:
                 break
             step, change = length * move, new_gradient - gradient
-            if step @ change > 1e-12 * np.sqrt((step @ step) * (change @ change)):
-                steps.append((step, change))
+            bend = float(step @ change)
+            if bend > 1e-12 * np.sqrt((step @ step) * (change @ change)):
+                steps.append((step, change, bend))
             point, loss, gradient = point + step, new_loss, new_gradient
     finally:
         blocks.unpersist()

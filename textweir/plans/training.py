@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from textweir.functions.text import Normalizer
@@ -19,6 +21,8 @@ from textweir.sources.corpora import missing_text_for, mode_for
 VECTORIZERS = ("bow", "tfidf", "bm25", "embedding")
 MAX_FEATURES = 100_000
 NGRAMS = (1, 2)
+# Runs of a grid that are in work together.
+RUNS_AT_ONCE = 4
 
 RUN_SCHEMA = (
     "dataset string, vectorizer string, reduction string, sample string, test_size double, "
@@ -109,9 +113,12 @@ def _weigh(
 
 
 def fit_model(
-    prepared: PreparedCorpus, vectorizer: str, fitted: terms.FittedTerms | None = None
+    prepared: PreparedCorpus,
+    vectorizer: str,
+    fitted: terms.FittedTerms | None = None,
+    tol: float = learn.TOLERANCE,
 ) -> SentimentModel:
-    """Fit one vectorizer and the classifier on the training rows only.
+    """Fit one vectorizer and the classifier, to a gradient of ``tol``, on the training rows only.
 
     ``fitted`` is the vocabulary of the same corpus, if it is known already.
     """
@@ -124,7 +131,7 @@ def fit_model(
         words = embeddings.fit_word_vectors(docs)
         means = nearest.mean_embedding(docs, words.vectors, words.dims, words.rows)
         features = learn.dense_features(labels, means, words.dims)
-        classifier = learn.fit_classifier(features, n_docs * words.dims)
+        classifier = learn.fit_classifier(features, n_docs * words.dims, tol=tol)
         coef = F.array(*[F.lit(float(x)) for x in classifier.coefficients])
         products = F.zip_with("embedding", coef, lambda x, y: x * y)
         score = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
@@ -137,7 +144,7 @@ def fit_model(
     fitted = fitted or fit_terms(prepared)
     weighed = _weigh(vectorizer, docs, fitted.vocab, n_docs, fitted.avgdl, fitted.size)
     features = learn.sparse_features(labels, weighed, fitted.size)
-    classifier = learn.fit_classifier(features, fitted.total)
+    classifier = learn.fit_classifier(features, fitted.total, tol=tol)
     return SentimentModel(
         vectorizer, prepared.normalizer, fitted.vocab,
         learn.coefficients(docs.sparkSession, classifier), classifier.intercept, n_docs,
@@ -250,26 +257,46 @@ def run_grid(
     test_size: float = 0.2,
     seed: int = 42,
     lemmas: DataFrame | None = None,
+    at_once: int = RUNS_AT_ONCE,
 ) -> DataFrame:
     """One run per dataset, reduction and vectorizer; each run is a chain of Spark jobs.
 
     ``load`` gives the corpus of a dataset. Reading, splitting, normalizing and the vocabulary
-    of the term vectorizers happen once per dataset and reduction. Finished runs go to ``ledger`` at once when it is given.
+    of the term vectorizers happen once per dataset and reduction, and are stored. Runs only read
+    these tables, so up to ``at_once`` of them are in work together, while the next corpus is
+    prepared; on a session with fair scheduling each has a pool of its own. Runs come back in
+    the order of the settings. Finished ones go to ``ledger`` at once when it is given; where one
+    fails, the others end first.
     """
-    runs = None
-    for dataset in datasets:
-        corpus = load(dataset)
-        for reduction in reductions:
-            prepared = prepare(corpus, dataset, reduction, test_size, seed, lemmas)
-            shared = fit_terms(prepared) if set(vectorizers) - {"embedding"} else None
-            for vectorizer in vectorizers:
-                run, _ = train_evaluate(
-                    prepared, vectorizer, model_dir, sample, test_size, shared
-                )
-                if ledger:
-                    sinks.append_runs(run, ledger)
-                runs = run if runs is None else runs.unionByName(run)
-    return runs
+    found = []
+    with ThreadPoolExecutor(at_once) as workers:
+        for dataset in datasets:
+            corpus = load(dataset)
+            for reduction in reductions:
+                prepared = prepare(corpus, dataset, reduction, test_size, seed, lemmas)
+                shared = fit_terms(prepared) if set(vectorizers) - {"embedding"} else None
+                for vectorizer in vectorizers:
+                    work = _cell(prepared, vectorizer, model_dir, ledger, sample, test_size, shared)
+                    found.append(workers.submit(work))
+        rows = [row for f in found for row in f.result()]
+    spark = SparkSession.getActiveSession()
+    return spark.createDataFrame(rows, RUN_SCHEMA)
+
+
+def _cell(prepared: PreparedCorpus, vectorizer: str, model_dir, ledger, sample, test_size, shared):
+    """The work of one run, for a thread of its own: its row, which is in the ledger by then."""
+    spark = prepared.train.sparkSession
+    name = f"{prepared.dataset}-{vectorizer}-{prepared.normalizer.reduction}"
+
+    @inheritable_thread_target
+    def work() -> list[Row]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        run, _ = train_evaluate(prepared, vectorizer, model_dir, sample, test_size, shared)
+        if ledger:
+            sinks.append_runs(run, ledger)
+        return run.collect()
+
+    return work
 
 
 def compare_representations(load, datasets, output: str, **settings) -> DataFrame:

@@ -533,6 +533,15 @@ CASE WHEN length(query) < 1 THEN 'empty query'
 WHEN sentiment NOT IN ('positive', 'negative') THEN 'unknown sentiment'
 WHEN top_k NOT BETWEEN 1 AND 50 THEN 'bad top_k' END AS reason FROM requests)
 WHERE reason IS NOT NULL""",
+    "grid_cells": f"""WITH {MESSAGES}, both_corpora AS (SELECT 'amazon' AS dataset, quality AS label
+  FROM documents JOIN labels USING (doc_id) UNION ALL SELECT dataset, label FROM corpus),
+classes AS (SELECT dataset, count(*) AS n, CAST(floor(0.2::DOUBLE * count(*) + 0.5) AS BIGINT) AS t
+  FROM both_corpora GROUP BY dataset, label),
+sizes AS (SELECT dataset, CAST(sum(n - t) AS BIGINT) AS train_rows, CAST(sum(t) AS BIGINT) AS test_rows
+  FROM classes GROUP BY dataset)
+SELECT dataset, vectorizer, reduction, train_rows, test_rows FROM sizes,
+  (SELECT unnest(['bow', 'tfidf', 'bm25', 'embedding']) AS vectorizer),
+  (SELECT unnest(['none', 'stem', 'lemma']) AS reduction)""",
     "class_weights": f"""WITH {JUDGED} SELECT label, n, round(sum(n) OVER () /
 (count(*) OVER () * n)::DOUBLE, 6) AS weight FROM (SELECT label, count(*) AS n FROM judged
 GROUP BY label)""",

@@ -593,7 +593,7 @@ def fit_gradient(spark, sf):
     """The gradient at the fitted coefficients, by term, computed apart from the fit: zero."""
     prepared = training.prepare(tables.labelled(spark, sf), "amazon", "none")
     fitted = training.fit_terms(prepared)
-    model = training.fit_model(prepared, "tfidf", fitted)
+    model = training.fit_model(prepared, "tfidf", fitted, tol=1e-6)
     docs = terms.by_document(prepared.train)
     weighed = stage(weights.tfidf(docs, fitted.vocab, training.NGRAMS, fitted.n_docs, fitted.size), "weights")
     found = learn.gradient(
@@ -641,6 +641,11 @@ def predict(spark, sf):
     return training.predict(model, tables.documents(spark, sf))
 
 
+def grid_cells(spark, sf):
+    """The settings and sizes of every run of the grid."""
+    return grid_runs(spark, sf).select("dataset", "vectorizer", "reduction", "train_rows", "test_rows")
+
+
 def grid_runs(spark, sf):
     """Both corpora, all vectorizers, all reductions."""
     corpora_of = {"amazon": tables.labelled, "sentiment140": tables.short_texts}
@@ -743,5 +748,6 @@ QUERIES: dict[str, Query] = {
     "train_embedding": _trained("embedding"),
     "train_tfidf_stem": _trained("tfidf", "stem"),
     "predict": predict,
+    "grid_cells": grid_cells,
     "grid_runs": grid_runs,
 }
