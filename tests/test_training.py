@@ -3,7 +3,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from textweir.operators import learn, metrics
+from textweir.operators import learn, metrics, terms, weights
 from textweir.plans import training, words
 from textweir.streaming.serve import score_stream
 
@@ -48,6 +48,21 @@ def test_unknown_vectorizer(prepared):
         training.fit_model(prepared, "other")
 
 
+def test_a_pass_has_one_task_for_each_core(prepared, monkeypatch):
+    """More tasks than cores make a pass wait, until tasks grow too large; few entries need one."""
+    asked, summed = [], learn._summed
+    monkeypatch.setattr(learn, "_summed", lambda blocks, task, tasks, *a: asked.append(tasks) or summed(blocks, task, 1, *a))
+    fitted = training.fit_terms(prepared)
+    docs = terms.by_document(prepared.train)
+    weighed = weights.bag_of_words(docs, fitted.vocab, training.NGRAMS, fitted.size)
+    features = learn.sparse_features(prepared.train.select(terms.ROW, "label"), weighed, fitted.size)
+    cores = prepared.train.sparkSession.sparkContext.defaultParallelism
+    for entries, tasks in ((1000, 1), (cores * 2_000_000, cores), (cores * 16_000_000, 2 * cores)):
+        asked.clear()
+        learn.fit_classifier(features, entries, max_iter=1)
+        assert set(asked) == {tasks}
+
+
 def test_classifier_is_at_the_optimum(spark):
     """The gradient of the balanced, penalized loss vanishes on the plain features."""
     rng = np.random.default_rng(3)
