@@ -227,3 +227,12 @@ def test_frequent_terms_are_dealt_over_tasks(spark, monkeypatch, request):
     whole = {r.term: r.cf for r in stored.collect()}
     assert whole["common"] > 500
     assert max(r["count"] for r in sizes.where("term = 'common'").collect()) < whole["common"]
+
+
+def test_documents_are_spread_by_size(spark, monkeypatch):
+    docs = spark.createDataFrame([(n, "word " * 100) for n in range(40)], "doc_id bigint, clean string")
+    monkeypatch.setattr(terms, "TASK_BYTES", 1_000)
+    spread = terms.by_document(docs)
+    assert spread.rdd.getNumPartitions() == 20
+    assert terms.term_counts(spread).count() == 40
+    assert terms.by_document(docs.where("doc_id < 0")).count() == 0
