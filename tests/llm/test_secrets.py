@@ -104,3 +104,17 @@ def test_small_and_empty_tables(spark):
     assert secrets.fit(table(spark, [])).threshold > 1
     assert table(spark, []).select(secrets.scan(F.col("text"), secrets.SecretModel())).count() == 0
     assert queries.QUERIES["op2_secrets"](spark, SF).count() == 200
+
+
+def test_fit_reads_every_text_whole(spark, monkeypatch):
+    """All findings count, also those of long texts and of several shards."""
+    texts = corpus(240, 3)
+    long = [" ".join(["w"] * 40_000) + " " + " ".join(texts[i::12]) for i in range(12)]
+    monkeypatch.setattr(secrets, "SHARD", 100)
+    df = table(spark, list(enumerate([*long, None, ""])))
+    found = secrets.fit(df)
+    assert found.threshold <= secrets.PROBABILITY
+    rows, y, _ = secrets.labelled(corpus(300, 2))
+    p = found.probability(rows)
+    assert (p[y == 1] >= found.threshold).mean() >= 0.9
+    assert secrets.fit(df.repartition(3)).thresholds.keys() == found.thresholds.keys()
