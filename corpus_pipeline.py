@@ -43,9 +43,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every document, their digest, and the digest of the decoded text."""
-    vocabulary = bpe.load(VOCABULARY)
-    found = docs.select("doc_id", bpe.coded(F.col("text"), vocabulary).alias("coded"))
-    return found.select("doc_id", "coded.ids", "coded.n_tokens", "coded.ids_sha256", "coded.decoded_sha256")
+    found = bpe.tokens(docs, bpe.load(VOCABULARY))
+    return found.select("doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

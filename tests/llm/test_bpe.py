@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import SF, table, texts
 from pyspark.sql import functions as F
@@ -77,6 +78,21 @@ def test_columns(spark, vocabulary, library):
     assert table(spark, []).select(bpe.encode(F.col("text"), vocabulary)).count() == 0
 
 
+def test_token_rows_come_in_stretches(spark, vocabulary, library, monkeypatch):
+    """Ids leave a task some rows at a time, not a whole batch; rows of a stretch stay in order."""
+    some = samples()
+    rows = spark.createDataFrame(list(enumerate([None, *some])), "n int, text string")
+    got = {r.n: r for r in bpe.tokens(rows, vocabulary, "n").collect()}
+    assert len(got) == len(some) + 1 and got[0].ids == []
+    for n, text in enumerate(some, 1):
+        assert got[n].ids == library.encode(text, add_special_tokens=False).ids
+        assert got[n].n_tokens == len(got[n].ids)
+        assert got[n].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    monkeypatch.setattr(bpe, "CHUNK", 2000)
+    sizes = [len(c[0]) for c in bpe._coded_parts(vocabulary, True)(pa.array(some))]
+    assert sum(sizes) == len(some) and len(sizes) > 10
+
+
 def test_query(spark, library):
     texts_of = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in queries.QUERIES["op10_bpe"](spark, SF).collect():

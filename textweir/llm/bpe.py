@@ -13,10 +13,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from textweir.llm.common import lists
+from textweir.llm.common import lists, shape
 
 # Fixed value: how byte-level vocabularies of this family split a text into pieces.
 PATTERN = regex.compile(
@@ -26,7 +27,7 @@ PATTERN = regex.compile(
 SIDE_BY_SIDE = 64
 # Pieces of each of the two generations a worker remembers, and characters split at once: bounds
 # of its memory.
-CACHE = 300_000
+CACHE = 200_000
 CHUNK = 1 << 19
 # Bytes of the pieces that are merged in step: their trees stay in the processor's cache.
 _STEP = 1 << 16
@@ -378,22 +379,13 @@ def decode(ids: Column, bpe: ByteBpe) -> Column:
     return of(ids)
 
 
-def coded(text: Column, bpe: ByteBpe, keep_ids: bool = True) -> Column:
-    """``struct<n_tokens, ids_sha256, decoded_sha256, ids>`` of whole texts in one step.
-
-    ``ids`` as ``encode`` gives them, left out if not kept; ``ids_sha256`` is that of the decimal
-    ids joined by commas, ``decoded_sha256`` that of the text that ``decode`` makes of them. One
-    function, as Spark would encode anew for each column made of the ids, and send all decoded
-    texts back.
-    """
-    fields = "n_tokens:long,ids_sha256:string,decoded_sha256:string" + ",ids:array<int>" * keep_ids
+def _coded_parts(bpe: ByteBpe, keep_ids: bool):
+    """Task function: the fields of ``coded`` for texts, a stretch of them at a time."""
 
-    @F.arrow_udf(f"struct<{fields}>")
-    def of(texts: pa.Array) -> pa.Array:
+    def parts(texts: pa.Array):
         digits = [f"{i},".encode() for i in range(len(bpe.border) - 1)]
         border = np.concatenate([[0], np.cumsum([len(d) for d in digits])])
         digits = np.frombuffer(b"".join(digits), np.uint8)
-        parts = []
         size = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
         for part in _slices(texts, size):
             ids, counts = bpe.encode([t or "" for t in part.to_pylist()])
@@ -404,11 +396,52 @@ def coded(text: Column, bpe: ByteBpe, keep_ids: bool = True) -> Column:
             sha = [hashlib.sha256(spelled[a : max(a, b - 1)]).hexdigest() for a, b in itertools.pairwise(cuts)]
             read = [hashlib.sha256(t.encode()).hexdigest() for t in bpe.decode(ids, counts)]
             columns = [pa.array(counts.astype(np.int64)), pa.array(sha, pa.string()), pa.array(read, pa.string())]
-            names = ["n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
                 columns.append(lists(ids, ends, pa.int32()))
-                names.append("ids")
-            parts.append(pa.StructArray.from_arrays(columns, names=names))
-        return pa.concat_arrays(parts)
+            yield columns
+
+    return parts
+
+
+def _coded_fields(keep_ids: bool) -> list[str]:
+    return ["n_tokens long", "ids_sha256 string", "decoded_sha256 string", *["ids array<int>"] * keep_ids]
+
+
+def coded(text: Column, bpe: ByteBpe, keep_ids: bool = True) -> Column:
+    """``struct<n_tokens, ids_sha256, decoded_sha256, ids>`` of whole texts in one step.
+
+    ``ids`` as ``encode`` gives them, left out if not kept; ``ids_sha256`` is that of the decimal
+    ids joined by commas, ``decoded_sha256`` that of the text that ``decode`` makes of them. One
+    function, as Spark would encode anew for each column made of the ids, and send all decoded
+    texts back. Where the ids of large tables are kept, :func:`tokens` needs less memory.
+    """
+    fields = [f.replace(" ", ":", 1) for f in _coded_fields(keep_ids)]
+    names = [f.split(":")[0] for f in fields]
+    of_parts = _coded_parts(bpe, keep_ids)
+
+    @F.arrow_udf(f"struct<{','.join(fields)}>")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.concat_arrays([pa.StructArray.from_arrays(c, names=names) for c in of_parts(texts)])
 
     return of(text)
+
+
+def tokens(docs: DataFrame, bpe: ByteBpe, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key`` and the fields of ``coded``, ids included, for every row of ``docs``.
+
+    A task hands on the ids of about ``CHUNK`` bytes of text at a time, so neither a worker nor
+    its executor holds those of a whole batch of rows.
+    """
+    fields, of_parts = _coded_fields(True), _coded_parts(bpe, True)
+    names = [key, *(f.split(" ")[0] for f in fields)]
+    schema = StructType([docs.schema[key], *shape(", ".join(fields))])
+
+    def run(batches):
+        for batch in batches:
+            at = 0
+            for columns in of_parts(batch.column(1)):
+                rows = len(columns[0])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, rows), *columns], names=names)
+                at += rows
+
+    return docs.select(key, text).mapInArrow(run, schema)
