@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from textweir import session
-from textweir.operators import cooccurrence, nearest, skew, svd, terms, weights
+from textweir.operators import cooccurrence, embeddings, nearest, skew, svd, terms, weights
 from textweir.session import stage
 
 
@@ -36,6 +36,29 @@ def test_bm25_golden(spark):
     assert all(math.isclose(got[k], expected[k], rel_tol=1e-12) for k in expected)
 
 
+def test_statistics_of_a_fit_are_counted_in_bounded_tasks(spark, monkeypatch):
+    """However few partitions the documents come in, a task counts some of the text only."""
+    seen = []
+    whole = terms.term_statistics
+    monkeypatch.setattr(terms, "term_statistics", lambda docs, *a: seen.append(docs) or whole(docs, *a))
+    monkeypatch.setattr(terms, "TASK_BYTES", 1000)
+    docs = stage(_docs(spark, ["red blue " * 20] * 40).coalesce(1), "one-part")
+    fitted = terms.fit_terms(docs, (1, 2), 1, None)
+    assert seen[0].rdd.getNumPartitions() >= 7
+    got = {r.term: (r.df, r.cf) for r in fitted.vocab.collect()}
+    assert got == {"red": (40, 800), "blue": (40, 800), "red blue": (40, 800), "blue red": (40, 760)}
+
+
+def test_word_vectors_from_given_counts(spark, monkeypatch):
+    """Counts that are stored already are not made again."""
+    docs = stage(_docs(spark, ["aa bb cc aa", "bb cc dd", "aa dd bb"] * 3), "few").repartition("row_id")
+    counts = terms.term_statistics(docs)
+    want = {r.term: r.term_id for r in embeddings.fit_word_vectors(docs, 2).vectors.collect()}
+    monkeypatch.setattr(terms, "term_statistics", None)
+    found = embeddings.fit_word_vectors(docs, 2, stats=counts).vectors.collect()
+    assert {r.term: r.term_id for r in found} == want and len(want) == 4
+
+
 def test_ngrams_and_second_tokenization(spark):
     docs = _docs(spark, ["<num> good go o", "x", ""])
     found = sorted((r.term, r.tf) for r in terms.term_counts(docs, (1, 3)).collect())
