@@ -152,3 +152,16 @@ def test_stored_blocks(spark, stored):
         assert p.block % 3 == p.label and p.block // 3 == p.row_id >> retrieval.BLOCK_BITS
         want[p.term_id, p.block] = max(want.get((p.term_id, p.block), 0.0), p.weight)
     assert tops == want
+
+
+def test_largest_weights_are_found_in_bounded_tasks(spark, stored, monkeypatch):
+    """Postings are dealt by their number, a block to one task, and the maxima stay the same."""
+    postings = stage(stored.postings, "postings")
+    want = {(r.term_id, r.block, r.top) for r in stored.blocks.collect()}
+    monkeypatch.setattr(retrieval, "TASK_POSTINGS", 5)
+    tops = retrieval.block_tops(postings)
+    assert tops._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert tops.rdd.getNumPartitions() == -(-postings.count() // 5) > 1
+    found = [(r.term_id, r.block, r.top) for r in tops.collect()]
+    assert len(found) == len(want) and set(found) == want
+    assert retrieval.block_tops(postings.where("term_id < 0")).count() == 0
