@@ -33,8 +33,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mark; ``n_chars`` follows."""
     model = secrets.fit(docs)
-    found = secrets.scan(F.col("text"), model)
-    clean = docs.withColumn("text", secrets.redact(F.col("text"), found))
+    clean = docs.withColumn("text", secrets.redacted(F.col("text"), model))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         clean = clean.withColumn("n_chars", F.length("text").cast(kind))

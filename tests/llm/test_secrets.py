@@ -8,6 +8,7 @@ import pytest
 from cases import SF, table
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from textweir.llm import queries, secrets
 
 TEXTS = [
@@ -95,6 +96,19 @@ def test_redaction(spark, model):
     assert got == {1: "a [secret] b [secret] c", 2: None, 3: "clean", 4: ""}
 
 
+def test_redaction_in_one_step(spark, model, monkeypatch):
+    """The same texts as by scan and redact, from one Python function instead of two."""
+    monkeypatch.setattr(secrets, "CHUNK", 1_000)
+    df = table(spark, list(enumerate([*TEXTS, *corpus(40, 5), "", None])))
+    whole = secrets.redacted(F.col("text"), model)
+    two = secrets.redact(F.col("text"), secrets.scan(F.col("text"), model))
+    got = df.select("doc_id", whole.alias("one"), two.alias("two")).collect()
+    assert all(r.one == r.two for r in got) and any("[secret]" in (r.one or "") for r in got)
+    stage = corpus_pipeline.redact_secrets(spark, df, "")
+    plan = stage._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_long_candidates_are_scored_whole(model):
     value = "e" * 500 + "9f86d081884c7d659a2f8b3c" + "t" * 300
     assert len(secrets.rows_of(value, (0, len(value)))) == -(-len(value) // secrets.PART)

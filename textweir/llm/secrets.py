@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +47,8 @@ _WIDTH = BEFORE + PART + AFTER
 _CODES = 130
 _DIMS, _KERNEL, _FILTERS = 8, 5, 24
 _BATCH = 512
+# Bytes of text that a redaction unpacks at once.
+CHUNK = 1 << 20
 
 Span = tuple[int, int]
 
@@ -69,7 +73,7 @@ def candidates(text: str, taken: list[Span]) -> list[Span]:
 
 def _row(before: str, value: str, after: str) -> np.ndarray:
     """Codes of a candidate and its surroundings; 0 is padding, other values say which part."""
-    row = np.zeros(_WIDTH, np.int64)
+    row = np.zeros(_WIDTH, np.int16)
     for at, part, base in (
         (BEFORE - len(before), before, 0), (BEFORE, value, _CODES), (BEFORE + len(value), after, 0)
     ):
@@ -212,7 +216,7 @@ def labelled(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     y = np.concatenate([np.ones(len(rows)), np.zeros(len(bad))])
     every = rows + bad
     return (
-        np.stack(every) if every else np.zeros((0, _WIDTH), np.int64), y,
+        np.stack(every) if every else np.zeros((0, _WIDTH), np.int16), y,
         np.concatenate([np.array(kinds, int), np.full(len(bad), -1)]),
     )
 
@@ -424,6 +428,15 @@ def scan(text: Column, model: SecretModel) -> Column:
     return of(text)
 
 
+def _cut(text: str, found: list[dict], mark: str) -> str:
+    done, parts = 0, []
+    for f in sorted(found, key=lambda f: f["start"]):
+        if f["start"] >= done:
+            parts += [text[done : f["start"]], mark]
+        done = max(done, f["end"])
+    return "".join(parts) + text[done:]
+
+
 def redact(text: Column, findings: Column, mark: str = "[secret]") -> Column:
     """The text with every finding replaced by ``mark``; overlapping findings by one mark."""
 
@@ -431,17 +444,31 @@ def redact(text: Column, findings: Column, mark: str = "[secret]") -> Column:
     def of(texts: pa.Array, found: pa.Array) -> pa.Array:
         out = texts.to_pylist()
         for i in np.flatnonzero(found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)):
-            done, parts = 0, []
-            for f in sorted(found[int(i)].as_py(), key=lambda f: f["start"]):
-                if f["start"] >= done:
-                    parts += [out[i][done : f["start"]], mark]
-                done = max(done, f["end"])
-            out[i] = "".join(parts) + out[i][done:]
+            out[i] = _cut(out[i], found[int(i)].as_py(), mark)
         return pa.array(out, pa.string())
 
     return of(text, findings)
 
 
+def redacted(text: Column, model: SecretModel, mark: str = "[secret]") -> Column:
+    """:func:`redact` by the findings of :func:`scan`, in one step.
+
+    As two functions they keep two worker processes a task, and each of them the texts of a
+    whole batch. Here one worker unpacks about ``CHUNK`` bytes of text at a time.
+    """
+
+    @F.arrow_udf("string")
+    def of(texts: pa.Array) -> pa.Array:
+        step = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // CHUNK
+        parts = [pa.array([], pa.string())]
+        for a, b in itertools.pairwise([0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), len(texts)]):
+            some = texts.slice(a, b - a).to_pylist()
+            parts.append(pa.array([_cut(t, _scan(t, model), mark) if t else t for t in some], pa.string()))
+        return pa.concat_arrays(parts)
+
+    return of(text)
+
+
 def spans_text(findings: Column) -> Column:
     return F.array_join(
         F.transform(findings, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ","
