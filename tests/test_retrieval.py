@@ -165,3 +165,25 @@ def test_largest_weights_are_found_in_bounded_tasks(spark, stored, monkeypatch):
     found = [(r.term_id, r.block, r.top) for r in tops.collect()]
     assert len(found) == len(want) and set(found) == want
     assert retrieval.block_tops(postings.where("term_id < 0")).count() == 0
+
+
+def test_stored_index_and_joins_are_dealt_by_size(spark, documents, stored, tmp_path, monkeypatch):
+    """Whatever the session's number of partitions, tasks that store or join postings are bounded."""
+    requests = spark.createDataFrame(
+        [(1, "good coffee", None, 3), (2, "tea bad", "negative", 2), (3, "good smell tea", "positive", 5)],
+        "query_id bigint, query string, sentiment string, top_k int",
+    )
+    shown = lambda hits: sorted((*h[:3], round(h.score, 9), *h[4:]) for h in hits.collect())
+    want = shown(retrieval.search_many(stored, requests))
+    monkeypatch.setattr(retrieval, "TASK_POSTINGS", 4)
+    monkeypatch.setattr(retrieval, "TASK_TEXTS", 2)
+    path = str(tmp_path / "index")
+    retrieval.build_index(documents, path, Normalizer(reduction="none"))
+    parts = {f.rsplit("/", 1)[1][:10] for f in spark.read.parquet(f"{path}/postings").inputFiles()}
+    assert len(parts) > 4
+    index = retrieval.load_index(spark, path)
+    monkeypatch.setattr(retrieval, "broadcast_fits", lambda *_: False)
+    assert shown(retrieval.search_many(index, requests)) == want
+    asked = stage(retrieval.query_weights(index, requests), "asked")
+    kept = retrieval.block_bounds(index.blocks, asked)
+    assert retrieval._scores(index.postings, asked, kept).rdd.getNumPartitions() > 4

@@ -49,6 +49,15 @@ def test_statistics_of_a_fit_are_counted_in_bounded_tasks(spark, monkeypatch):
     assert got == {"red": (40, 800), "blue": (40, 800), "red blue": (40, 800), "blue red": (40, 760)}
 
 
+def test_sums_by_term_follow_the_tasks_that_count(spark):
+    """The sums of a fit are dealt to as many tasks as its text, not to the session's number."""
+    docs = stage(_docs(spark, [f"red blue w{i} red" for i in range(40)]), "sums")
+    found = terms.term_statistics(terms.by_document(docs, tasks=9), (1, 2), 9)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(term") == 1
+    assert found.rdd.getNumPartitions() == 9
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, terms.term_statistics(docs, (1, 2)).collect()))
+
+
 def test_word_vectors_from_given_counts(spark, monkeypatch):
     """Counts that are stored already are not made again."""
     docs = stage(_docs(spark, ["aa bb cc aa", "bb cc dd", "aa dd bb"] * 3), "few").repartition("row_id")
