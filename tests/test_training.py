@@ -106,6 +106,21 @@ def test_many_tasks_and_slices_give_the_same_fit(spark, monkeypatch):
     assert np.abs(cut.coefficients - plain.coefficients).max() < 1e-3
 
 
+def test_a_small_fit_runs_in_one_task(spark, monkeypatch):
+    """Only its first loss and curvature are jobs of their own; it ends where a fit by jobs ends."""
+    rng = np.random.default_rng(6)
+    x, y = rng.random((60, 5)), rng.integers(0, 2, 60)
+    docs = spark.createDataFrame([(i, int(y[i]), x[i].tolist()) for i in range(60)], "row_id int, label int, embedding array<double>")
+    features = learn.dense_features(docs.select("row_id", "label"), docs, 5)
+    jobs, summed = [], learn._summed
+    monkeypatch.setattr(learn, "_summed", lambda *a: jobs.append(1) or summed(*a))
+    alone = learn.fit_classifier(features, 300, tol=1e-8)
+    assert len(jobs) == 2 and alone.passes > 3 and alone.gradient <= 1e-8
+    monkeypatch.setattr(learn, "_ENTRIES_PER_PARTITION", 100)
+    spread = learn.fit_classifier(features, 300, tol=1e-8)
+    assert len(jobs) > 5 and np.abs(alone.coefficients - spread.coefficients).max() < 1e-6
+
+
 def test_fit_without_rows_or_entries(spark):
     none = spark.createDataFrame([], "row_id int, label int")
     weights = spark.createDataFrame([], "row_id int, term_id int, weight double")
