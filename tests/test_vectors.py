@@ -2,6 +2,7 @@ import functools
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from textweir import session
@@ -147,6 +148,58 @@ def test_svd_of_symmetric_matrices(spark):
         assert np.abs(got @ got.T - exact @ exact.T).max() < 1e-3
 
 
+def test_svd_of_few_columns_by_chunks_of_rows(spark, monkeypatch):
+    """Where the matrix is narrow, no task holds all rows; both ways give the same products."""
+    rng = np.random.default_rng(11)
+    matrix = np.where(rng.random((300, 12)) < 0.6, rng.standard_normal((300, 12)), 0)
+    matrix[64:128] = 0
+    rows = [(int(i), int(j), float(matrix[i, j])) for i, j in zip(*matrix.nonzero(), strict=True)]
+    cells = spark.createDataFrame(rows, "row_id int, col_id int, x double").repartition(3)
+    whole = svd._add_product
+    for narrow in (True, False):
+        monkeypatch.setattr(svd, "_NARROW", 64 if narrow else 1 << 30)
+        monkeypatch.setattr(svd, "_add_product", None if narrow else whole)
+        found, sigma = svd.truncated_svd(cells, 300, 12)
+        got = np.array([r.embedding for r in found.orderBy("row_id").collect()])
+        assert np.allclose(sigma, np.linalg.svd(matrix)[1]) and np.allclose(got @ got.T, matrix @ matrix.T)
+
+
+@pytest.mark.parametrize("symmetric", [True, False])
+def test_svd_is_the_same_by_panels_and_by_whole_columns(spark, monkeypatch, symmetric):
+    rng = np.random.default_rng(13)
+    matrix = np.where(rng.random((70, 70)) < 0.3, rng.random((70, 70)), 0)
+    matrix = matrix + matrix.T
+    rows = [(int(i), int(j), float(matrix[i, j])) for i, j in zip(*matrix.nonzero(), strict=True)]
+    cells = spark.createDataFrame(rows, "row_id int, col_id int, x double")
+    monkeypatch.setattr(svd, "_NARROW", 1 << 30)
+    monkeypatch.setattr(svd, "_CELLS_PER_PIECE", 150)
+    found = []
+    for small, panel in ((1 << 25, 1 << 26), (0, 1 << 26), (0, 70 * 8 * 4)):
+        monkeypatch.setattr(svd, "_SMALL_BYTES", small)
+        monkeypatch.setattr(svd, "_PANEL_BYTES", panel)
+        rows, _ = svd.truncated_svd(cells, 70, 5, symmetric=symmetric)
+        got = np.array([r.embedding for r in rows.orderBy("row_id").collect()])
+        found.append(got @ got.T)
+    assert np.allclose(found[0], found[1]) and np.allclose(found[0], found[2])
+
+
+def test_svd_packs_blocks_in_pieces(spark, monkeypatch):
+    """Few cells are sorted at once, however large a block; pieces of a block add up."""
+    rng = np.random.default_rng(12)
+    matrix = np.where(rng.random((80, 90)) < 0.4, rng.standard_normal((80, 90)), 0)
+    matrix = matrix + 20 * np.outer(rng.random(80), rng.random(90))
+    rows = [(int(i), int(j), float(matrix[i, j])) for i, j in zip(*matrix.nonzero(), strict=True)]
+    cells = spark.createDataFrame(rows, "row_id int, col_id int, x double")
+    monkeypatch.setattr(svd, "_NARROW", 1 << 30)
+    stored, sizes = svd.stage, []
+    monkeypatch.setattr(svd, "stage", lambda df, name: sizes.append(df.count()) or stored(df, name))
+    monkeypatch.setattr(svd, "_CELLS_PER_PIECE", len(rows) // 24)
+    found, sigma = svd.truncated_svd(cells, 80, 4, oversampling=40)
+    assert sizes[0] >= 16
+    exact = np.linalg.svd(matrix)[1][:4]
+    assert np.allclose(sigma, exact, rtol=1e-6)
+
+
 def test_svd_of_empty_and_low_rank(spark):
     empty = spark.createDataFrame([], "row_id int, col_id int, x double")
     found, sigma = svd.truncated_svd(empty, 3, 2)
@@ -223,6 +276,30 @@ def test_mean_embedding(spark):
     assert np.allclose(found[0], [2, 1]) and found[1] == [0, 0] and found[2] == [0, 0]
 
 
+def test_mean_embedding_skips_missing_elements(spark):
+    """Missing vectors and elements add nothing, their words count; a sum of nothing is null."""
+    docs = spark.createDataFrame(
+        [(i, i, text) for i, text in enumerate(["aa bb bb", "cc", "aa dd", "zz", "ee aa"])],
+        "row_id bigint, doc_id bigint, clean string",
+    ).repartition(2, "row_id")
+    rows = [("aa", [1.0, 2.0]), ("bb", [4.0, None]), ("cc", None), ("dd", [3.0]), ("ee", [1.0, 1.0, 9.0])]
+    vectors = spark.createDataFrame(rows, "term string, embedding array<double>")
+    for bound in (5, None):
+        found = {r.doc_id: r.embedding for r in nearest.mean_embedding(docs, vectors, 2, bound).collect()}
+        assert found == {0: [3.0, 2 / 3], 1: [None, None], 2: [2.0, 1.0], 3: [0.0, 0.0], 4: [1.0, 1.5]}
+
+
+def test_vectors_are_summed_before_they_are_shuffled(spark):
+    """A document's vectors leave the task as one sum, not as one row for each word."""
+    docs = spark.range(4).selectExpr("id AS row_id", "id AS doc_id", "'aa bb cc dd' AS clean").repartition(2, "row_id")
+    vectors = spark.createDataFrame([(w, [1.0]) for w in ("aa", "bb", "cc", "dd")], "term string, embedding array<double>")
+    known = docs.selectExpr("row_id", "explode(split(clean, ' ')) AS term").join(vectors, "term").selectExpr("row_id", "1L AS n", "embedding")
+    sums = known.coalesce(1).sortWithinPartitions("row_id").mapInArrow(
+        nearest._weighted_sums(1), "row_id bigint, total array<double>, words bigint"
+    ).collect()
+    assert sum(r.words for r in sums) == 16 and len(sums) < 16
+
+
 def test_unit_rows(spark):
     from textweir.functions.vectors import unit
 
