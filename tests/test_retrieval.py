@@ -3,8 +3,9 @@ from collections import defaultdict
 
 import pytest
 
+from textweir import session
 from textweir.functions.text import Normalizer
-from textweir.operators import retrieval
+from textweir.operators import retrieval, terms
 from textweir.session import stage
 
 DOCS = [
@@ -187,3 +188,35 @@ def test_stored_index_and_joins_are_dealt_by_size(spark, documents, stored, tmp_
     asked = stage(retrieval.query_weights(index, requests), "asked")
     kept = retrieval.block_bounds(index.blocks, asked)
     assert retrieval._scores(index.postings, asked, kept).rdd.getNumPartitions() > 4
+
+
+def test_a_stored_index_leaves_no_tables_behind(spark, tmp_path, monkeypatch):
+    """What an index is stored from goes when it is stored; clean text goes when postings are."""
+    docs = spark.createDataFrame([(i, f"red apple number {w}", i % 2) for i, w in enumerate("ab cd ab ef cd ab".split())],
+                                 "doc_id bigint, text string, label int")
+    scratch = tmp_path / "scratch"
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(scratch))
+    index = retrieval.fit_index(docs, Normalizer(reduction="none"))
+    known = {p.name.rsplit("-", 1)[0] for p in scratch.iterdir()}
+    assert "clean" not in known and {"documents", "postings", "blocks", "vocab"} <= known
+    assert index.documents.count() == 6
+    known = {p.name for p in scratch.iterdir()}
+    path = retrieval.build_index(docs, str(tmp_path / "index"), Normalizer(reduction="none"))
+    assert {p.name for p in scratch.iterdir() if not p.name.startswith(".")} <= known
+    found = retrieval.search(retrieval.load_index(spark, path), "apple ab", None, 2).collect()
+    assert [r.doc_id for r in found] == ["0", "2"]
+
+
+def test_statistics_deal_the_text_once(spark):
+    """Documents of a fit are shuffled once before their terms are counted."""
+    docs = spark.createDataFrame([(0, 0, "aa bb")], "row_id bigint, doc_id bigint, clean string")
+    plan = terms.term_statistics(terms.identified(docs), (1, 2), 3)._jdf.queryExecution().optimizedPlan().toString()
+    seen = []
+    original = terms.term_statistics
+    try:
+        terms.term_statistics = lambda *a: seen.append(original(*a)) or seen[-1]
+        terms.fit_terms(docs, (1, 2), 1)
+    finally:
+        terms.term_statistics = original
+    fitted = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Repartition") == fitted.count("Repartition") == 2
