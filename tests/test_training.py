@@ -121,6 +121,17 @@ def test_a_small_fit_runs_in_one_task(spark, monkeypatch):
     assert len(jobs) > 5 and np.abs(alone.coefficients - spread.coefficients).max() < 1e-6
 
 
+def test_small_counts_are_stored_in_a_byte(spark):
+    """Counts below 256 come back as they were; other values keep eight bytes."""
+    docs = spark.createDataFrame([(0, 1), (1, 0)], "row_id int, label int")
+    for values, width in (([255.0, 1.0, 0.0], 1), ([256.0, 1.0, 2.0], 8), ([0.5, 1.0, 2.0], 8), ([-1.0, 1.0, 2.0], 8)):
+        cells = spark.createDataFrame([(0, 0, values[0]), (0, 2, values[1]), (1, 1, values[2])], "row_id int, term_id int, weight double")
+        rows = learn.sparse_features(docs, cells.coalesce(1), 3).blocks.collect()
+        assert sum(len(r["value"]) for r in rows) >= 3 * width if width == 8 else sum(len(r["value"]) for r in rows) == 3
+        found = [learn._block(*r) for r in rows]
+        assert sorted(float(v) for b in found for v in b[3]) == sorted(values) and all(b[3].dtype == "f8" for b in found)
+
+
 def test_fit_without_rows_or_entries(spark):
     none = spark.createDataFrame([], "row_id int, label int")
     weights = spark.createDataFrame([], "row_id int, term_id int, weight double")
