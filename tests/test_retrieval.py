@@ -218,5 +218,6 @@ def test_statistics_deal_the_text_once(spark):
         terms.fit_terms(docs, (1, 2), 1)
     finally:
         terms.term_statistics = original
-    fitted = seen[0]._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Repartition") == fitted.count("Repartition") == 2
+    fitted = seen[0]._jdf.queryExecution()
+    assert plan.count("Repartition") == fitted.optimizedPlan().toString().count("Repartition") == 2
+    assert fitted.executedPlan().toString().count("Exchange") == 2
